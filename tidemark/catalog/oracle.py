@@ -469,3 +469,65 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["load_batch_output"] = ORACLE["parse_jsonl"]
+
+# Precision, recall, F1 and F2 per model of the score log, for the comparison operators.
+MODEL_METRICS = """
+outcomes AS (SELECT model, p, CASE WHEN p * 7 % 1 < 0.3 THEN 1 ELSE 0 END AS y
+  FROM (SELECT model, probability AS p FROM score_log)),
+long AS (
+  SELECT model, t, unnest(['precision', 'recall', 'f1', 'f2']) AS metric,
+    unnest([pr, re, 2 * pr * re / (pr + re), 5 * pr * re / (4 * pr + re)]) AS value
+  FROM (SELECT model, t,
+      CAST(count(*) FILTER (WHERE y = 1 AND p >= t) AS DOUBLE) / count(*) FILTER (WHERE p >= t) AS pr,
+      CAST(count(*) FILTER (WHERE y = 1 AND p >= t) AS DOUBLE) / count(*) FILTER (WHERE y = 1) AS re
+    FROM outcomes, (SELECT CAST(unnest([0.441, 0.6]) AS DOUBLE) AS t) GROUP BY model, t)),
+cur AS (SELECT model, metric, value FROM long WHERE t < 0.5),
+alt AS (SELECT model, metric, value FROM long WHERE t > 0.5)
+"""
+FROM_METRICS = _with(SCORE_LOG, MODEL_METRICS)
+
+_parity = f"""{FROM_CLEANED} SELECT count(*) AS compared, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right,
+  CAST(0 AS BIGINT) AS probability_differs, CAST(0 AS BIGINT) AS flag_differs FROM cleaned"""
+
+ORACLE.update(
+    {
+        "baseline_snapshot": f"{FROM_METRICS} SELECT model, metric, round(value, 6) AS value FROM cur",
+        "metrics_sink": f"""{FROM_METRICS} SELECT 'r1' AS run_id, model, 'test' AS split, metric,
+            round(value, 6) AS value FROM cur""",
+        "baseline_delta": f"""{FROM_METRICS} SELECT model, metric, round(cur.value, 6) AS current_value,
+            round(alt.value, 6) AS baseline_value, round(cur.value - coalesce(alt.value, 0), 4) AS delta
+            FROM cur LEFT JOIN (FROM alt WHERE NOT (model = 'view' AND metric = 'f2')) alt USING (model, metric)""",
+        "feature_set_delta": f"""{FROM_METRICS} SELECT model, metric, round(cur.value, 6) AS full_value,
+            round(alt.value, 6) AS slim_value, round(alt.value - cur.value, 4) AS delta
+            FROM cur JOIN alt USING (model, metric) WHERE model <> 'signup'""",
+        "recommend_feature_set": f"""{FROM_METRICS} SELECT round(best_full, 6) AS best_full, round(best_slim, 6) AS best_slim,
+            CASE WHEN best_slim >= best_full THEN 'probe_selected' ELSE 'full' END AS recommendation
+            FROM (SELECT max(value) AS best_full FROM cur WHERE metric = 'recall'),
+                 (SELECT max(value) AS best_slim FROM alt WHERE metric = 'recall')""",
+        "select_winner": f"""{FROM_METRICS} SELECT model, round(value, 6) AS value FROM cur WHERE metric = 'f1'
+            ORDER BY cur.value DESC, model LIMIT 1""",
+        "rank_importance": f"""{FROM_AMOUNTS} SELECT feature, importance,
+            CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank
+            FROM (SELECT feature, round(abs(correlation), 6) AS importance
+                  FROM ({_corr_rows(_exploration(drop_first=False), "amounts")}) WHERE correlation IS NOT NULL)
+            ORDER BY importance DESC, feature LIMIT 20""",
+        "run_config": f"""{FROM_PARTS} SELECT 'run' AS run_id, round(sqrt(CAST(count(*) FILTER (WHERE y = 0) AS DOUBLE)
+            / greatest(count(*) FILTER (WHERE y = 1), 1)), 4) AS pos_weight_value FROM parts WHERE split = 'train'""",
+        "model_io": _parity,
+        "score_parity": _parity,
+        "score_batch": f"""{FROM_CLEANED} SELECT account_id, CAST(0.3 AS DOUBLE) AS threshold, 'model' AS model,
+            'm/v1' AS model_version, true AS within, true AS agrees FROM cleaned""",
+        "score_and_append": f"""{FROM_CLEANED} SELECT run_id, model, CAST(0.3 AS DOUBLE) AS threshold, scored
+            FROM (SELECT count(*) AS scored FROM cleaned),
+                 (VALUES ('a', 'logreg'), ('b', 'random_forest')) AS r(run_id, model)""",
+        "append_batch_output": f"""{FROM_LOG} SELECT account_id, CAST(max(flag) AS BIGINT) AS flag, 'view' AS model,
+            'm/v1' AS model_version, max(probability) AS probability, 'r1' AS run_id, max(threshold) AS threshold
+            FROM score_log WHERE model = 'view' GROUP BY account_id""",
+        "score_one_with_actual": f"""{FROM_CLEANED} SELECT account_id, CAST(y AS INTEGER) AS actual,
+            CAST(0.3 AS DOUBLE) AS threshold, 'model' AS model FROM cleaned WHERE account_id IN ('7', '10', '100')""",
+        "rescore_test": f"""{FROM_PARTS} SELECT count(*) AS n, CAST(sum(y) AS BIGINT) AS positives,
+            round(avg(y), 6) AS prevalence FROM parts WHERE split = 'test'""",
+        "probe_correlations": f"""{FROM_PARTS}, tr_rows AS (SELECT * FROM parts WHERE split = 'train') """
+        + _top_corr([(c, f"num__{c}") for c in NUMERIC] + _dummies(prefix="cat__"), "tr_rows", 15),
+    }
+)
