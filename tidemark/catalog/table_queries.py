@@ -442,9 +442,9 @@ def pr_curve_ties(spark, sf_dir):
 
 
 def best_threshold(spark, sf_dir):
-    scored = scored_docs(spark, sf_dir)
+    counts = curves.score_counts(scored_docs(spark, sf_dir))
     parts = [
-        curves.best_threshold(scored, strategy=s).select(F.lit(s).alias("strategy"), "*")
+        curves.best_point(counts, strategy=s).select(F.lit(s).alias("strategy"), "*")
         for s in curves.STRATEGIES
     ]
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))

@@ -69,10 +69,10 @@ def unknown_labels(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     return df.agg(F.count_if(label.isNull()).alias("unknown"), F.count("*").alias("total"))
 
 
-def scoring_features(df: DataFrame, roles: ColumnRoles) -> DataFrame:
-    """Id and baseline features of an unlabelled table."""
+def scoring_features(df: DataFrame, roles: ColumnRoles, keep: Sequence[str] = ()) -> DataFrame:
+    """Id and baseline features of a table that needs no label; ``keep`` passes others on."""
     features = [name(c) for c in roles.feature_columns()]
-    return clean(df, roles).select(name(roles.id), *features)
+    return clean(df, roles).select(name(roles.id), *features, *[name(c) for c in keep])
 
 
 def demographics(df: DataFrame, roles: ColumnRoles) -> DataFrame:

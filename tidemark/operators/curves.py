@@ -1,7 +1,8 @@
 """Exact precision-recall curve, threshold choice and metrics of a scored table.
 
-Rows are merged to one per distinct score with partial aggregation, cumulated by
-:mod:`tidemark.operators.ranking`, and every metric is one aggregate over that curve.
+Rows are merged to one per distinct score with partial aggregation and written once; the
+scored rows, often the output of a model, are so evaluated only once. That small table is
+cumulated by :mod:`tidemark.operators.ranking`, and every metric is one aggregate over it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import f_beta, name, ratio
 from tidemark.operators.ranking import running_totals, value_buckets
+from tidemark.session import materialise
 
 STRATEGIES = ("f1", "f2", "recall_floor")
 RECALL_FLOOR = 0.75
@@ -29,12 +31,9 @@ def score_counts(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
             F.when(~F.isnan(score), score), F.raise_error(F.lit("score is missing"))
         ).alias("p"),
     )
-    distinct = (
-        value_buckets(checked, "p")
-        .groupBy("bucket", "p")
-        .agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
-    )
-    return running_totals(distinct, "p", ["pos", "n"])
+    distinct = checked.groupBy("p").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    distinct = materialise(distinct, "curve")
+    return running_totals(value_buckets(distinct, "p"), "p", ["pos", "n"])
 
 
 def pr_curve(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -56,19 +55,22 @@ def _with_ratios(counts: DataFrame) -> DataFrame:
     )
 
 
-def best_threshold(
-    scored: DataFrame,
-    y: str = "y",
-    p: str = "p",
+def best_threshold(scored: DataFrame, y: str = "y", p: str = "p", **options) -> DataFrame:
+    """:func:`best_point` of a scored table."""
+    return best_point(score_counts(scored, y, p), **options)
+
+
+def best_point(
+    counts: DataFrame,
     *,
     strategy: str = "f1",
     recall_floor: float = RECALL_FLOOR,
     beta: float = 2.0,
 ) -> DataFrame:
-    """The one row of the curve the strategy picks; the lowest threshold among equals."""
+    """The one row of a curve the strategy picks; the lowest threshold among equals."""
     if strategy not in STRATEGIES:
         raise ValueError(f"threshold strategy must be one of {STRATEGIES}, got {strategy!r}")
-    curve = _with_ratios(score_counts(scored, y, p))
+    curve = _with_ratios(counts)
     precision, recall = F.col("precision"), F.col("recall")
     tiny = 1e-12  # fixed value: keeps the quotient defined where both ratios are 0
     if strategy == "recall_floor":
@@ -85,9 +87,9 @@ def best_threshold(
     return curve.withColumn("objective", objective).orderBy(*order, F.asc("threshold")).limit(1)
 
 
-def pick_threshold(scored: DataFrame, y: str = "y", p: str = "p", **options) -> float:
-    """The threshold of :func:`best_threshold` as a number, 0.5 for an empty table."""
-    row = best_threshold(scored, y, p, **options).first()
+def pick_threshold(counts: DataFrame, **options) -> float:
+    """The threshold of :func:`best_point` as a number, 0.5 for an empty curve."""
+    row = best_point(counts, **options).first()
     return DEFAULT_THRESHOLD if row is None else float(row["threshold"])
 
 
@@ -126,13 +128,18 @@ def with_rates(counts: DataFrame) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, threshold: float, y: str = "y", p: str = "p") -> DataFrame:
+    """:func:`evaluate_curve` of a scored table."""
+    return evaluate_curve(score_counts(scored, y, p), threshold)
+
+
+def evaluate_curve(counts: DataFrame, threshold: float) -> DataFrame:
     """Average precision, ROC-AUC, rates and confusion counts at a threshold, in one row."""
     pos, n, cum_pos, cum_n = (F.col(c) for c in ("pos", "n", "cum_pos", "cum_n"))
     flagged = F.col("p") >= threshold
     neg = n - pos
     # Average precision sums precision over the recall steps; the area under the ROC
     # counts pairs ranked right, ties by half.
-    sums = score_counts(scored, y, p).agg(
+    sums = counts.agg(
         F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(flagged, pos)), F.lit(0)).alias("tp"),

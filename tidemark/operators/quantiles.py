@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import name
 from tidemark.functions.columns import to_number
-from tidemark.session import local_frame
+from tidemark.session import SMALL_ROWS, local_frame
 
 ACCURACY = 100_000
 
@@ -99,7 +99,9 @@ def _search(
     """Summary rows per group and column, and the interpolated quantiles."""
     slack = 2.0 / ACCURACY
     bounds = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)})
-    groups = summarise(df, columns, by, bounds).collect()
+    groups = summarise(df, columns, by, bounds).limit(SMALL_ROWS + 1).collect()
+    if len(groups) > SMALL_ROWS:
+        raise ValueError(f"{by} has too many levels for a report by group")
     targets = []
     for g in groups:
         sketch = dict(zip(bounds, g["sketch"], strict=True))

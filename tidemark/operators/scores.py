@@ -111,16 +111,31 @@ def run_summary(
 def score_parity(
     left: DataFrame, right: DataFrame, tolerance: float = 1e-6, cols: ScoreColumns = SCORES
 ) -> DataFrame:
-    """Compare two scorings by id: rows of one side only, and rows that differ."""
-    pick = [name(cols.id).alias("id"), name(cols.probability).alias("p"), name(cols.flag).alias("f")]
-    a, b = left.select(*pick).alias("a"), right.select(*pick).alias("b")
-    both = F.col("a.p").isNotNull() & F.col("b.p").isNotNull()
+    """Compare two scorings by id: ids of one side only, and ids that differ.
+
+    Each side is reduced to one row per id first, on the partitioning of the join; copies
+    of an id agree if their number and the range of their values do.
+    """
+
+    def per_id(df: DataFrame) -> DataFrame:
+        p, flag = name(cols.probability), name(cols.flag)
+        return df.groupBy(name(cols.id).alias("id")).agg(
+            F.count("*").alias("n"),
+            F.min(p).alias("p_low"),
+            F.max(p).alias("p_high"),
+            F.sum(flag).alias("flags"),
+        )
+
+    a, b = per_id(left).alias("a"), per_id(right).alias("b")
+    both = F.col("a.id").isNotNull() & F.col("b.id").isNotNull()
+    apart = F.lit(False)
+    for c in ("p_low", "p_high"):
+        apart = apart | (F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > tolerance)
+    flags_differ = (F.col("a.flags") != F.col("b.flags")) | (F.col("a.n") != F.col("b.n"))
     return a.join(b, F.col("a.id") == F.col("b.id"), "full").agg(
         F.count_if(both).alias("compared"),
         F.count_if(F.col("b.id").isNull()).alias("only_left"),
         F.count_if(F.col("a.id").isNull()).alias("only_right"),
-        F.count_if(both & (F.abs(F.col("a.p") - F.col("b.p")) > tolerance)).alias(
-            "probability_differs"
-        ),
-        F.count_if(both & (F.col("a.f") != F.col("b.f"))).alias("flag_differs"),
+        F.count_if(both & apart).alias("probability_differs"),
+        F.count_if(both & flags_differ).alias("flag_differs"),
     )

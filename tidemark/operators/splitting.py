@@ -18,10 +18,13 @@ from tidemark.operators.ranking import before_cut, hash_cuts
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 VAL_SIZE = TEST_SIZE = 0.15
 FOLDS = 5
+MAX_CLASSES = 1000
 
 
 def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    rows = df.groupBy(name(label).alias("y")).count().collect()
+    rows = df.groupBy(name(label).alias("y")).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes: not a class label")
     return {r["y"]: r["count"] for r in sorted(rows, key=lambda r: str(r["y"]))}
 
 
@@ -47,19 +50,24 @@ def split_quotas(
     return {c: (n - dev[c], dev[c] - train[c]) for c, n in sizes.items()}
 
 
-def stratified_split(
-    df: DataFrame,
+def stratified_split(df: DataFrame, id_col: str, label: str, **options) -> DataFrame:
+    """Add ``split``: train, validation or test, with the class proportions kept."""
+    return df.withColumn("split", split_column(df, id_col, label, **options))
+
+
+def split_column(
+    keys: DataFrame,
     id_col: str,
     label: str,
     *,
     val_size: float = VAL_SIZE,
     test_size: float = TEST_SIZE,
     salt: str = "split:",
-) -> DataFrame:
-    """Add ``split``: train, validation or test, with the class proportions kept."""
-    quotas = split_quotas(class_sizes(df, label), val_size, test_size)
+) -> Column:
+    """The split as an expression on id and label; only those two columns are read."""
+    quotas = split_quotas(class_sizes(keys, label), val_size, test_size)
     upto = {c: [test, test + val] for c, (test, val) in quotas.items()}
-    cuts = hash_cuts(df, id_col, upto, strata=label, salt=salt)
+    cuts = hash_cuts(keys, id_col, upto, strata=label, salt=salt)
     parts = F.lit(None).cast("string")
     for c, (test_cut, val_cut) in cuts.items():
         part = (
@@ -68,23 +76,28 @@ def stratified_split(
             .otherwise(TRAIN)
         )
         parts = F.when(name(label).eqNullSafe(F.lit(c)), part).otherwise(parts)
-    return df.withColumn("split", parts)
+    return parts
 
 
-def stratified_folds(
-    df: DataFrame, id_col: str, label: str, *, folds: int = FOLDS, salt: str = "fold:"
-) -> DataFrame:
+def stratified_folds(df: DataFrame, id_col: str, label: str, **options) -> DataFrame:
     """Add ``fold`` 0..folds-1; the folds of a class differ by one row at most."""
+    return df.withColumn("fold", fold_column(df, id_col, label, **options))
+
+
+def fold_column(
+    keys: DataFrame, id_col: str, label: str, *, folds: int = FOLDS, salt: str = "fold:"
+) -> Column:
+    """The fold as an expression on id and label."""
     upto = {
         c: [sum(n // folds + (f < n % folds) for f in range(k)) for k in range(1, folds)]
-        for c, n in class_sizes(df, label).items()
+        for c, n in class_sizes(keys, label).items()
     }
-    cuts = hash_cuts(df, id_col, upto, strata=label, salt=salt)
+    cuts = hash_cuts(keys, id_col, upto, strata=label, salt=salt)
     fold = F.lit(None).cast("int")
     for c, ends in cuts.items():
-        passed = [_as_int(~before_cut(id_col, end, salt)) for end in ends]
+        passed = [(~before_cut(id_col, end, salt)).cast("int") for end in ends]
         fold = F.when(name(label).eqNullSafe(F.lit(c)), sum(passed, F.lit(0))).otherwise(fold)
-    return df.withColumn("fold", fold)
+    return fold
 
 
 WEIGHT_MODES = ("full", "sqrt", "none")
@@ -112,7 +125,3 @@ def positive_weight(df: DataFrame, label: str, mode: str = "sqrt") -> float:
 def with_weight(df: DataFrame, label: str, weight: float, column: str = "weight") -> DataFrame:
     """The per-row weight: ``weight`` for positives, 1 otherwise."""
     return df.withColumn(column, F.when(name(label) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
-
-
-def _as_int(condition: Column) -> Column:
-    return condition.cast("int")

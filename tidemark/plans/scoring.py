@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
@@ -27,10 +27,14 @@ def score_batch(
     threshold: float,
     model_name: str,
     model_version: str,
+    keep: Sequence[str] = (),
     cols: ScoreColumns = SCORES,
 ) -> DataFrame:
-    """Clean, check, predict and flag: one narrow pass over the population."""
-    features = scoring_features(raw, roles)
+    """Clean, check, predict and flag: one narrow pass over the population.
+
+    Columns ``keep`` of the raw table are passed on behind the six score columns.
+    """
+    features = scoring_features(raw, roles, keep)
     validate_schema(features, roles.feature_columns(), exact=False)
     predicted = positive_probability(model.transform(features), cols.probability)
     flagged = threshold_flag(predicted, threshold, cols)
@@ -41,6 +45,7 @@ def score_batch(
         name(cols.threshold),
         F.lit(model_name).alias(cols.model),
         F.lit(model_version).alias(cols.model_version),
+        *[name(c) for c in keep],
     )
 
 
@@ -113,8 +118,8 @@ def score_one_with_actual(
         threshold=threshold,
         model_name=model_name,
         model_version=model_version,
+        keep=[roles.label],
         cols=cols,
     )
-    label = roles.label_column(dict(raw.dtypes)[roles.label]).alias("actual")
-    actual = wanted.select(name(roles.id).cast("string").alias(cols.id), label)
-    return scored.join(actual, cols.id)
+    actual = roles.label_column(dict(raw.dtypes)[roles.label])
+    return scored.withColumn("actual", actual).drop(roles.label)

@@ -98,20 +98,26 @@ def prepare(
     weight_mode: str = "sqrt",
     folds: int = splitting.FOLDS,
 ) -> TrainingRows:
-    """Clean, split, fold and weight a raw table, and write the rows once.
+    """Clean, split, fold and weight a raw table, and write the rows once, by part.
 
-    Every fit and evaluation reads that table, so nothing upstream runs twice.
+    The splits are worked out on a narrow table of ids and labels. Every fit and
+    evaluation reads the written rows of its part, so nothing upstream runs twice.
     """
     cleaned = cleaning.clean(raw, roles)
     dataset = cleaning.split_roles(cleaned, roles, feature_set)
-    rows = materialise(splitting.stratified_split(dataset, roles.id, LABEL), "split")
-    train = rows.filter(F.col("split") == splitting.TRAIN)
-    weight = splitting.positive_weight(train, LABEL, weight_mode)
-    folded = splitting.stratified_folds(train, roles.id, LABEL, folds=folds)
-    rest = rows.filter(F.col("split") != splitting.TRAIN).withColumn("fold", F.lit(None).cast("int"))
-    weighted = splitting.with_weight(folded.unionByName(rest), LABEL, weight, WEIGHT)
+    keys = materialise(dataset.select(name(roles.id), LABEL), "keys")
+    split = splitting.split_column(keys, roles.id, LABEL)
+    train_keys = keys.filter(split == splitting.TRAIN)
+    weight = splitting.positive_weight(train_keys, LABEL, weight_mode)
+    fold = splitting.fold_column(train_keys, roles.id, LABEL, folds=folds)
+    rows = dataset.withColumn("split", split).withColumn(
+        "fold", F.when(F.col("split") == splitting.TRAIN, fold)
+    )
+    weighted = splitting.with_weight(rows, LABEL, weight, WEIGHT)
     people = materialise(cleaning.demographics(cleaned, roles), "demographics")
-    return TrainingRows(materialise(weighted, "rows"), people, weight, feature_set)
+    return TrainingRows(
+        materialise(weighted, "rows", ["split"]), people, weight, feature_set
+    )
 
 
 def grid_search(
@@ -182,9 +188,8 @@ def train_one(
     scored = materialise(scored, f"scored-{spec.name}")
     validation = scored.filter(F.col("split") == splitting.VALIDATION)
     test = scored.filter(F.col("split") == splitting.TEST)
-    threshold = curves.pick_threshold(
-        validation, LABEL, "p", strategy=strategy, recall_floor=recall_floor
-    )
+    curve = curves.score_counts(validation, LABEL, "p")
+    threshold = curves.pick_threshold(curve, strategy=strategy, recall_floor=recall_floor)
     groups = (
         fairness.fairness_join(
             test, data.demographics, roles.id, roles.protected, threshold, LABEL, "p"
@@ -199,7 +204,7 @@ def train_one(
         cv_score,
         cv_std,
         grid_score,
-        curves.evaluate(validation, threshold, LABEL, "p").first(),
+        curves.evaluate_curve(curve, threshold).first(),
         curves.evaluate(test, threshold, LABEL, "p").first(),
         groups,
     )

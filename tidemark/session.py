@@ -55,13 +55,15 @@ def work_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(
+    df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write a frame to the shared folder and read it back, so its plan runs once.
 
     Unlike a cached frame the written table outlives the executors that computed it.
     """
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
