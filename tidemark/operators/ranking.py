@@ -8,10 +8,10 @@ table is one row of it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import hash_key, name
@@ -25,6 +25,10 @@ ROWS_PER_BUCKET = 500_000
 # longest prefix tried: what is still large below it can only be copies of one id.
 PREFIX = 3
 LONGEST_PREFIX = 9
+MAX_COUNTS = 4_000_000
+
+# A cut above every md5 text.
+EVERYTHING = ("g", "")
 
 
 def value_buckets(df: DataFrame, column: str, bucket: str = "bucket") -> DataFrame:
@@ -95,20 +99,26 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
     )
 
 
+Quotas = dict[object, Sequence[int]]
+Cuts = dict[object, list[tuple[str, str] | None]]
+
+
 def hash_cuts(
     df: DataFrame,
     id_col: str,
-    quotas: dict[object, Sequence[int]],
+    quotas: Callable[[dict[object, int]], Quotas],
     *,
     strata: str | None = None,
     salt: str,
-) -> dict[object, list[tuple[str, str] | None]]:
+) -> Cuts:
     """Hash key and id at which the first ``q`` rows of a stratum end, for each quota ``q``.
 
-    The row order inside a stratum is (md5 of salt and id, id). Counting rows by hash
-    prefix finds the prefix a quota ends in; only rows below that prefix are counted
-    again, by a longer prefix, until few are left to sort. Shuffled are counts, never
-    rows. A quota of 0 or less has no cut (None); one above the size takes everything.
+    ``quotas`` gets the size of each stratum (of one stratum, 0, without a column) and
+    returns the wanted quotas. The row order inside a stratum is (md5 of salt and id, id).
+    Counting rows by hash prefix finds the prefix a quota ends in; only rows below that
+    prefix are counted again, by a longer prefix, until few are left to sort. Shuffled are
+    counts, never rows. A quota of 0 or less has no cut (None); one above the size takes
+    everything.
     """
     stratum = name(strata) if strata else F.lit(0)
     keyed = df.select(
@@ -116,41 +126,57 @@ def hash_cuts(
         name(id_col).cast("string").alias("key"),
         hash_key(name(id_col), salt).alias("h"),
     )
-    cuts: dict[object, list[tuple[str, str] | None]] = {
-        s: [None] * len(q) for s, q in quotas.items()
-    }
+    counts = _prefix_counts(keyed, PREFIX)
+    sizes: dict[object, int] = {}
+    for (s, _), n in counts.items():
+        sizes[s] = sizes.get(s, 0) + n
+    wanted = quotas(sizes)
+    cuts: Cuts = {s: [None] * len(q) for s, q in wanted.items()}
     # Open searches: (stratum, quota position) -> (known prefix, rank wanted below it).
     open_cuts = {
-        (s, i): ("", int(q)) for s, wanted in quotas.items() for i, q in enumerate(wanted) if q > 0
+        (s, i): ("", int(q)) for s, each in wanted.items() for i, q in enumerate(each) if q > 0
     }
-    width = 0
-    while open_cuts and width < LONGEST_PREFIX:
-        width += PREFIX
-        below = _prefix_filter(keyed, open_cuts) if width > PREFIX else keyed
-        counts: dict[tuple[object, str], int] = {}
-        for row in below.groupBy("stratum", F.substring("h", 1, width).alias("p")).count().collect():
-            counts[row["stratum"], row["p"]] = row["count"]
-        largest = 0
-        for (s, i), (prefix, rank) in list(open_cuts.items()):
-            seen = 0
-            for p in sorted(p for (t, p) in counts if t == s and p.startswith(prefix)):
-                size = counts[s, p]
-                if seen + size >= rank:
-                    open_cuts[s, i] = (p, rank - seen)
-                    largest = max(largest, size)
-                    break
-                seen += size
-            else:
-                # More rows wanted than there are: everything is taken.
-                cuts[s][i] = ("g", "")
-                del open_cuts[s, i]
-        if largest <= ROWS_PER_BUCKET:
+    width = PREFIX
+    while open_cuts:
+        largest = _narrow(counts, open_cuts, cuts)
+        if largest <= ROWS_PER_BUCKET or width >= LONGEST_PREFIX:
             break
+        width += PREFIX
+        counts = _prefix_counts(_prefix_filter(keyed, open_cuts), width)
     if open_cuts:
         _close_cuts(_prefix_filter(keyed, open_cuts), open_cuts, cuts)
     return cuts
 
 
+def _prefix_counts(keyed: DataFrame, width: int) -> dict[tuple[object, str], int]:
+    """Rows per stratum and hash prefix: at most 16 ** PREFIX per stratum and open cut."""
+    grouped = keyed.groupBy("stratum", F.substring("h", 1, width).alias("p")).count()
+    rows = grouped.limit(MAX_COUNTS + 1).collect()
+    if len(rows) > MAX_COUNTS:
+        raise ValueError("Too many strata: a stratum is meant to be a class label")
+    return {(r["stratum"], r["p"]): r["count"] for r in rows}
+
+
+def _narrow(counts: dict, open_cuts: dict, cuts: Cuts) -> int:
+    """Move each open cut into the prefix its quota ends in; the size of the largest."""
+    ordered = sorted(counts.items(), key=lambda item: item[0][1])
+    largest = 0
+    for (s, i), (prefix, rank) in list(open_cuts.items()):
+        seen = 0
+        for (t, p), size in ordered:
+            if t != s or not p.startswith(prefix):
+                continue
+            if seen + size >= rank:
+                open_cuts[s, i] = (p, rank - seen)
+                largest = max(largest, size)
+                break
+            seen += size
+        else:
+            cuts[s][i] = EVERYTHING
+            del open_cuts[s, i]
+    return largest
+
+
 def _prefix_filter(keyed: DataFrame, open_cuts: dict) -> DataFrame:
     wanted = sorted({(s, p) for (s, _), (p, _) in open_cuts.items()}, key=str)
     condition = F.lit(False)
@@ -159,7 +185,7 @@ def _prefix_filter(keyed: DataFrame, open_cuts: dict) -> DataFrame:
     return keyed.filter(condition)
 
 
-def _close_cuts(rows: DataFrame, open_cuts: dict, cuts: dict) -> None:
+def _close_cuts(rows: DataFrame, open_cuts: dict, cuts: Cuts) -> None:
     """Find the last rows of the open quotas by rank inside their prefix."""
     spark = rows.sparkSession
     wanted = local_frame(
@@ -187,7 +213,7 @@ def _close_cuts(rows: DataFrame, open_cuts: dict, cuts: dict) -> None:
         cuts[row["stratum"]][row["cut"]] = (row["h"], row["key"])
 
 
-def before_cut(id_col: str, cut: tuple[str, str] | None, salt: str):
+def before_cut(id_col: str, cut: tuple[str, str] | None, salt: str) -> Column:
     """Whether a row comes no later than a cut of :func:`hash_cuts`."""
     if cut is None:
         return F.lit(False)

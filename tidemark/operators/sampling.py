@@ -14,5 +14,5 @@ def sample_fixed(df: DataFrame, id_col: str, n: int, *, salt: str = "sample:") -
     shuffle of rows, whatever ``n`` is. Ids are taken to be unique; copies of an id stay
     together.
     """
-    cut = hash_cuts(df, id_col, {0: [n]}, salt=salt)[0][0]
-    return df.filter(before_cut(id_col, cut, salt))
+    cuts = hash_cuts(df, id_col, lambda sizes: {0: [n]}, salt=salt)
+    return df.filter(before_cut(id_col, cuts[0][0], salt))

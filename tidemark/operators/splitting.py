@@ -18,22 +18,13 @@ from tidemark.operators.ranking import before_cut, hash_cuts
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 VAL_SIZE = TEST_SIZE = 0.15
 FOLDS = 5
-MAX_CLASSES = 1000
-
-
-def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    rows = df.groupBy(name(label).alias("y")).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes: not a class label")
-    return {r["y"]: r["count"] for r in sorted(rows, key=lambda r: str(r["y"]))}
 
 
 def proportional(sizes: dict[object, int], total: int) -> dict[object, int]:
     """Share ``total`` among the classes by size; the largest fractions get the rest."""
-    everything = sum(sizes.values())
-    exact = {c: total * n / everything for c, n in sizes.items()} if everything else {}
-    shares = {c: math.floor(e) for c, e in exact.items()}
-    by_fraction = sorted(exact, key=lambda c: (shares[c] - exact[c], str(c)))
+    everything = max(sum(sizes.values()), 1)
+    shares = {c: total * n // everything for c, n in sizes.items()}
+    by_fraction = sorted(sizes, key=lambda c: (-(total * sizes[c] % everything), str(c)))
     for c in by_fraction[: total - sum(shares.values())]:
         shares[c] += 1
     return shares
@@ -65,8 +56,11 @@ def split_column(
     salt: str = "split:",
 ) -> Column:
     """The split as an expression on id and label; only those two columns are read."""
-    quotas = split_quotas(class_sizes(keys, label), val_size, test_size)
-    upto = {c: [test, test + val] for c, (test, val) in quotas.items()}
+
+    def upto(sizes: dict[object, int]) -> dict[object, list[int]]:
+        quotas = split_quotas(sizes, val_size, test_size)
+        return {c: [test, test + val] for c, (test, val) in quotas.items()}
+
     cuts = hash_cuts(keys, id_col, upto, strata=label, salt=salt)
     parts = F.lit(None).cast("string")
     for c, (test_cut, val_cut) in cuts.items():
@@ -88,10 +82,11 @@ def fold_column(
     keys: DataFrame, id_col: str, label: str, *, folds: int = FOLDS, salt: str = "fold:"
 ) -> Column:
     """The fold as an expression on id and label."""
-    upto = {
-        c: [sum(n // folds + (f < n % folds) for f in range(k)) for k in range(1, folds)]
-        for c, n in class_sizes(keys, label).items()
-    }
+
+    def upto(sizes: dict[object, int]) -> dict[object, list[int]]:
+        ends = range(1, folds)
+        return {c: [k * (n // folds) + min(k, n % folds) for k in ends] for c, n in sizes.items()}
+
     cuts = hash_cuts(keys, id_col, upto, strata=label, salt=salt)
     fold = F.lit(None).cast("int")
     for c, ends in cuts.items():
