@@ -1,0 +1,206 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
+
+from tests.telco import customers
+from tidemark.operators import cleaning, correlation, encoding, profiling
+from tidemark.roles import TELCO, ColumnRoles
+from tidemark.session import local_frame
+
+MARKERS = list(TELCO.redundant_markers)
+
+
+def no_internet(**extra) -> dict:
+    addons = ("OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies")
+    return {"InternetService": "No", **{a: "No internet service" for a in addons}, **extra}
+
+
+def test_redundant_dummies_are_left_out(spark):
+    raw = customers(spark, {}, no_internet(customerID="c-2", MultipleLines="No phone service"))
+    encoded = encoding.one_hot(
+        cleaning.clean(raw, TELCO), TELCO.categorical, markers=MARKERS, keep=["customerID"]
+    )
+    assert not [c for c in encoded.columns if "No internet service" in c or "No phone service" in c]
+    row = encoded.filter("customerID = 'c-2'").first()
+    assert row["InternetService_No"] == 1.0
+    assert row["OnlineSecurity_No"] == 0.0
+
+
+def test_declined_addon_is_kept(spark):
+    raw = customers(spark, {"OnlineSecurity": "No"}, {"OnlineSecurity": "Yes", "customerID": "c-2"})
+    encoded = encoding.one_hot(cleaning.clean(raw, TELCO), ["OnlineSecurity"], markers=MARKERS)
+    assert [tuple(r) for r in encoded.collect()] == [(1.0, 0.0), (0.0, 1.0)]
+
+
+def test_unknown_and_null_levels_are_zero(spark):
+    df = local_frame(spark, [("a",), ("b",), ("z",), (None,)], "c string")
+    encoded = encoding.one_hot(df, ["c"], {"c": ["a", "b"]})
+    assert [tuple(r) for r in encoded.collect()] == [(1.0, 0.0), (0.0, 1.0), (0.0, 0.0), (0.0, 0.0)]
+    assert encoding.collect_levels(df, ["c"]) == {"c": ["<NA>", "a", "b", "z"]}
+
+
+def test_too_many_levels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "MAX_LEVELS", 3)
+    df = local_frame(spark, [(str(i),) for i in range(5)], "c string")
+    with pytest.raises(ValueError, match="not categories"):
+        encoding.collect_levels(df, ["c"])
+
+
+def test_scaling_uses_the_population_deviation(spark):
+    df = local_frame(spark, [(1.0, 5.0), (2.0, 5.0), (6.0, 5.0)], "v double, k double")
+    rows = encoding.scale_numeric(df, ["v", "k"]).collect()
+    values = np.array([1.0, 2.0, 6.0])
+    assert [r["v"] for r in rows] == pytest.approx(list((values - values.mean()) / values.std()))
+    assert [r["k"] for r in rows] == [0.0, 0.0, 0.0]
+
+
+def prep(**options) -> encoding.FeaturePrep:
+    return encoding.FeaturePrep(
+        numeric=["n"], categorical=["c", "b"], markers=["none of it"], **options
+    )
+
+
+def rows(spark):
+    return local_frame(
+        spark,
+        [("i1", 1.0, "x", True), ("i2", 3.0, "y.z", False), ("i3", 5.0, "none of it", True)],
+        "id string, n double, c string, b boolean",
+    )
+
+
+def test_prep_names_and_order(spark):
+    model = prep().fit(rows(spark))
+    assert model.feature_names() == ["num__n", "cat__c_x", "cat__c_y.z", "cat__b_False", "cat__b_True"]
+    vectors = model.transform(rows(spark)).select(vector_to_array("features")).collect()
+    assert vectors[1][0] == [3.0, 0.0, 1.0, 1.0, 0.0]
+
+
+def test_trees_are_not_scaled_and_linear_models_are(spark):
+    assert [r["num__n"] for r in prep().fit(rows(spark)).encoded(rows(spark)).collect()] == [1.0, 3.0, 5.0]
+    scaled = prep(scale=True, dropFirst=True).fit(rows(spark))
+    got = [r["num__n"] for r in scaled.encoded(rows(spark)).collect()]
+    assert got == pytest.approx([-math.sqrt(1.5), 0.0, math.sqrt(1.5)])
+    assert scaled.feature_names() == ["num__n", "cat__c_x", "cat__c_y.z", "cat__b_True"]
+
+
+def test_fitted_on_train_only(spark):
+    model = prep(scale=True).fit(rows(spark).filter("id <> 'i2'"))
+    row = model.encoded(rows(spark), ["id"]).filter("id = 'i2'").first()
+    assert row["num__n"] == 0.0
+    assert "cat__c_y.z" not in model.feature_names()
+
+
+def test_selection(spark):
+    model = prep(selected=["cat__b_True", "num__n"]).fit(rows(spark))
+    assert [tuple(r) for r in model.encoded(rows(spark)).collect()] == [(1.0, 1.0), (0.0, 3.0), (1.0, 5.0)]
+    with pytest.raises(ValueError, match="Unknown encoded features"):
+        prep(selected=["cat__q"]).fit(rows(spark))
+
+
+def test_prep_survives_saving(spark, tmp_path):
+    fitted = Pipeline(stages=[prep(scale=True)]).fit(rows(spark))
+    fitted.write().overwrite().save(str(tmp_path / "prep"))
+    loaded = PipelineModel.load(str(tmp_path / "prep"))
+    assert loaded.transform(rows(spark)).collect() == fitted.transform(rows(spark)).collect()
+
+
+ROLES = ColumnRoles(
+    "id", "label", ("tenure", "monthly", "total"), ("contract",), tenure="tenure", amount="total"
+)
+
+
+def accounts(spark):
+    return local_frame(
+        spark,
+        [
+            ("a", "Yes", 1, 10.0, "10", "m"),
+            ("b", "No", 20, 20.0, "300", "y"),
+            ("c", "No", 0, 30.0, " ", "y"),
+            ("d", "Yes", 3, 70.0, "200", "m"),
+            ("e", "No", 73, 50.0, "", None),
+        ],
+        "id string, label string, tenure int, monthly double, total string, contract string",
+    )
+
+
+def test_correlations_match_numpy(spark):
+    matrix = correlation.exploration_matrix(accounts(spark), ROLES, drop_first=False)
+    assert matrix.columns == ["y", "tenure", "monthly", "total", "contract_m", "contract_y"]
+    got = {r["feature"]: r["correlation"] for r in correlation.correlations(matrix).collect()}
+    y = [1, 0, 0, 1, 0]
+    assert got["tenure"] == pytest.approx(np.corrcoef([1, 20, 0, 3, 73], y)[0, 1])
+    # Rows without an amount are left out of its correlation only.
+    assert got["total"] == pytest.approx(np.corrcoef([10, 300, 200], [1, 0, 1])[0, 1])
+
+
+def test_constant_columns_have_no_correlation(spark):
+    matrix = local_frame(spark, [(1.0, 5.0, 1.0), (0.0, 5.0, 2.0)], "y double, k double, v double")
+    assert [r["feature"] for r in correlation.top_correlations(matrix).collect()] == ["v"]
+
+
+def test_pairs_match_numpy(spark):
+    matrix = correlation.exploration_matrix(accounts(spark), ROLES, drop_first=False)
+    rows_ = correlation.correlation_pairs(matrix, k=100).collect()
+    got = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in rows_}
+    assert len(got) == 15
+    assert got["monthly", "tenure"] == pytest.approx(
+        np.corrcoef([10, 20, 30, 70, 50], [1, 20, 0, 3, 73])[0, 1]
+    )
+    assert got["monthly", "total"] == pytest.approx(np.corrcoef([10, 20, 70], [10, 300, 200])[0, 1])
+
+
+def test_rates_by_bins_keep_empty_bins(spark):
+    rows_ = profiling.rate_by_bins(accounts(spark), ROLES, "tenure").collect()
+    assert [(r["label"], r["n"], r["rate"]) for r in rows_] == [
+        ("(0, 12]", 2, 1.0),
+        ("(12, 24]", 1, 0.0),
+        ("(24, 36]", 0, None),
+        ("(36, 48]", 0, None),
+        ("(48, 60]", 0, None),
+        ("(60, 72]", 0, None),
+    ]
+
+
+def test_report_buckets_are_left_closed(spark):
+    df = local_frame(
+        spark, [("Yes", t) for t in (0, 11, 12, 24, 48, None)], "label string, tenure int"
+    )
+    rows_ = {r["tenure_bucket"]: r["customers"] for r in profiling.rate_by_bucket(df, ROLES).collect()}
+    assert rows_ == {"0-11 months": 2, "12-23 months": 1, "24-47 months": 1, "48+ months": 2}
+
+
+def test_rule_check_and_blanks(spark):
+    row = profiling.rule_check(accounts(spark), ROLES).first()
+    assert tuple(row) == (1, 1, 2, 1, True, False, False)
+    assert tuple(profiling.blank_count(accounts(spark), "total").first()) == (2, 5)
+
+
+def test_histogram_matches_numpy(spark):
+    rng = np.random.default_rng(0)
+    yes, no = rng.normal(50, 10, 80).round(1), rng.normal(60, 20, 120).round(1)
+    df = local_frame(
+        spark,
+        [("Yes", float(v)) for v in yes] + [("No", float(v)) for v in no] + [("No", None)],
+        "label string, monthly double",
+    )
+    counts, edges = np.histogram(yes, bins=30)
+    other, _ = np.histogram(no, bins=edges)
+    got = profiling.class_histogram(df, ROLES, "monthly", 30).collect()
+    assert {r["bin"]: r["n"] for r in got if r["y"] == 1} == dict(enumerate(counts))
+    assert {r["bin"]: r["n"] for r in got if r["y"] == 0} == dict(enumerate(other))
+
+
+def test_histogram_of_one_value(spark):
+    df = local_frame(spark, [("Yes", 2.0), ("No", 2.0)], "label string, monthly double")
+    got = profiling.class_histogram(df, ROLES, "monthly", 4).collect()
+    assert {(r["bin"], r["y"]) for r in got if r["n"]} == {(2, 0), (2, 1)}
+
+
+def test_null_profile_counts_nan(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b")], "v double, s string")
+    assert {r["column"]: r["nulls"] for r in profiling.null_profile(df).collect()} == {"v": 2, "s": 1}

@@ -8,6 +8,7 @@ from tidemark.functions.columns import (
     is_blank,
     known,
     name,
+    pearson,
     percent,
     ratio,
     required,
@@ -22,6 +23,7 @@ __all__ = [
     "is_blank",
     "known",
     "name",
+    "pearson",
     "percent",
     "ratio",
     "required",

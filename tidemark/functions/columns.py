@@ -80,6 +80,17 @@ def f_beta(precision: Column, recall: Column, beta: float) -> Column:
     return F.when(bottom > 0, (1 + weight) * precision * recall / bottom).otherwise(F.lit(0.0))
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Pearson correlation over the rows where both are known; NULL if either is constant.
+
+    The built-in ``corr`` divides by zero for a constant column.
+    """
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varies, F.covar_pop(x, y) / (F.stddev_pop(x) * F.stddev_pop(y)))
+
+
 def required(column: str) -> Column:
     """The column itself; the job fails on the first NULL."""
     message = F.lit(f"Column {column} must not be NULL")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import as_level, is_blank, known, name, percent, to_number
+from tidemark.functions import as_level, is_blank, known, name, pearson, percent, to_number
 from tidemark.operators.quantiles import describe, exact_quantiles
 from tidemark.roles import ColumnRoles
 from tidemark.session import local_frame
@@ -246,7 +246,7 @@ def charge_drift_fit(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     """Mean absolute gap and correlation of the current with the average charge."""
     return with_charge_drift(df, roles).agg(
         F.round(F.avg(F.abs("charge_diff")), 2).alias("mean_abs_diff"),
-        F.round(F.corr(name(roles.monthly), F.col("avg_charge")), 3).alias("corr"),
+        F.round(pearson(name(roles.monthly), F.col("avg_charge")), 3).alias("corr"),
     )
 
 
