@@ -351,7 +351,7 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     flat = ", ".join(f"{LEGACY_PREFIX}{m}: double" for m in REPORT)
     models = f"map<string, struct<report: struct<{names}>, {flat}>>"
     schema = f"models {models}, full_feature_set struct<models: {models}>"
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     parsed = text.select(F.from_json("value", schema).alias("s"))
     entries = parsed.select(
         F.explode(F.coalesce("s.full_feature_set.models", "s.models")).alias("model", "entry")
