@@ -12,9 +12,13 @@ MISSING_LEVEL = "<NA>"
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def name(column: str) -> Column:
     """Reference a top-level column whose name may hold dots, blanks or brackets."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))
 
 
 def is_numeric(dtype: str) -> bool:
@@ -80,15 +84,16 @@ def f_beta(precision: Column, recall: Column, beta: float) -> Column:
     return F.when(bottom > 0, (1 + weight) * precision * recall / bottom).otherwise(F.lit(0.0))
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Pearson correlation over the rows where both are known; NULL if either is constant.
+def pearson(a: str, b: str) -> Column:
+    """Pearson correlation of two columns, by name, over the rows where both are known.
 
-    The built-in ``corr`` divides by zero for a constant column.
+    NULL if either is constant there; the built-in ``corr`` would divide by zero.
     """
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    return F.when(varies, F.covar_pop(x, y) / (F.stddev_pop(x) * F.stddev_pop(y)))
+    x, y = quoted(a), quoted(b)
+    both = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    varies = " AND ".join(f"min({c}) {both} < max({c}) {both}" for c in (x, y))
+    spread = f"stddev_pop({x}) {both} * stddev_pop({y}) {both}"
+    return F.expr(f"CASE WHEN {varies} THEN covar_pop({x}, {y}) / ({spread}) END")
 
 
 def required(column: str) -> Column:

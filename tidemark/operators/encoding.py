@@ -58,7 +58,7 @@ def dummy_levels(
 
 def dummy(column: Column, level: str) -> Column:
     """1.0 where the column has the level, else 0.0, also for unknown and NULL."""
-    return F.when(column == level, F.lit(1.0)).otherwise(F.lit(0.0))
+    return column.eqNullSafe(level).cast("double")
 
 
 def one_hot(
@@ -73,8 +73,9 @@ def one_hot(
     """Columns ``keep`` and a dummy ``column_level`` per level (fitted on ``df`` if not given)."""
     types = dict(df.dtypes)
     levels = levels or collect_levels(df, columns)
+    texts = {c: as_level(name(c), types[c]) for c in columns}
     dummies = [
-        dummy(as_level(name(c), types[c]), level).alias(f"{c}_{level}")
+        dummy(texts[c], level).alias(f"{c}_{level}")
         for c, level in dummy_levels(levels, markers, drop_first=drop_first)
     ]
     return df.select(*[name(c) for c in keep], *dummies)
@@ -189,8 +190,11 @@ class FeaturePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
             value = to_number(name(c), types.get(c, "double"))
             unscaled = mean == 0.0 and std == 1.0
             columns[f"num__{c}"] = value if unscaled else (value - F.lit(mean)) / F.lit(std)
+        texts = {
+            c: as_level(name(c), types.get(c, "string")) for c in dict(state["dummies"])
+        }
         for c, level in state["dummies"]:
-            columns[f"cat__{c}_{level}"] = dummy(as_level(name(c), types.get(c, "string")), level)
+            columns[f"cat__{c}_{level}"] = dummy(texts[c], level)
         return columns
 
     def check_selection(self) -> None:

@@ -246,7 +246,7 @@ def charge_drift_fit(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     """Mean absolute gap and correlation of the current with the average charge."""
     return with_charge_drift(df, roles).agg(
         F.round(F.avg(F.abs("charge_diff")), 2).alias("mean_abs_diff"),
-        F.round(pearson(name(roles.monthly), F.col("avg_charge")), 3).alias("corr"),
+        F.round(pearson(roles.monthly, "avg_charge"), 3).alias("corr"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import load_table
 
-CUTOFF = "2000-09-22 00:00:00"
+CUTOFF = "TIMESTAMP_NTZ '2000-09-22 00:00:00'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,84 +20,74 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders are read once: history and label come from conditional aggregates of one
     grouping, whose partitioning by customer key the join reuses.
     """
-    early = F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")
+    early = f"o_orderdate < {CUTOFF}"
     history = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
         .agg(
-            F.count_if(early).alias("n_orders"),
-            F.min(F.when(early, F.col("o_orderdate"))).alias("first_dt"),
-            F.max(F.when(early, F.col("o_orderdate"))).alias("last_dt"),
-            F.sum(F.when(early, F.col("o_totalprice").cast("decimal(18,2)"))).alias("total_amt"),
-            F.count_if(~early).alias("n_later"),
+            F.expr(f"count_if({early}) AS n_orders"),
+            F.expr(f"min(o_orderdate) FILTER (WHERE {early}) AS first_dt"),
+            F.expr(f"max(o_orderdate) FILTER (WHERE {early}) AS last_dt"),
+            F.expr(f"sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE {early}) AS total_amt"),
+            F.expr(f"count_if(NOT {early}) AS n_later"),
         )
         .filter("n_orders > 0")
     )
     customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    k = F.col("c_custkey")
-    months = (F.year("last_dt") - F.year("first_dt")) * 12 + F.month("last_dt") - F.month("first_dt")
-    base = (
-        customer.join(history, customer.c_custkey == history.o_custkey)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("months", F.when(k % 101 == 0, F.lit(0)).otherwise(months).cast("int"))
-        .withColumn(
-            "inet", F.when(k % 3 == 0, "No").when(k % 3 == 1, "DSL").otherwise("Fiber optic")
-        )
+    nation = table(spark, sf_dir, "nation")
+    joined = customer.join(history, F.expr("c_custkey = o_custkey")).join(
+        nation, F.expr("c_nationkey = n_nationkey")
+    )
+    months = "(year(last_dt) - year(first_dt)) * 12 + month(last_dt) - month(first_dt)"
+    base = joined.selectExpr(
+        "*",
+        f"CAST(CASE WHEN c_custkey % 101 = 0 THEN 0 ELSE {months} END AS INT) AS tenure",
+        "CASE c_custkey % 3 WHEN 0 THEN 'No' WHEN 1 THEN 'DSL' ELSE 'Fiber optic' END AS internet",
     )
-    no_net = F.col("inet") == "No"
-    return base.select(
-        k.cast("string").alias("account_id"),
-        F.col("c_mktsegment").alias("segment"),
-        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("in_debt"),
-        (F.col("n_regionkey") % 2 == 0).alias("partner"),
-        F.col("months").alias("tenure"),
-        F.col("inet").alias("internet"),
-        F.when(no_net, "No internet service")
-        .when(k % 5 < 2, "Yes")
-        .otherwise("No")
-        .alias("security"),
-        F.when(no_net, "No internet service").when(k % 7 < 3, "Yes").otherwise("No").alias("backup"),
-        F.when(k % 4 == 0, "One year")
-        .when(k % 4 == 1, "Two year")
-        .otherwise("Month-to-month")
-        .alias("contract"),
-        F.when(k % 2 == 0, "Electronic check").otherwise("Mailed check").alias("payment"),
-        (F.col("total_amt").cast("double") / F.col("n_orders")).alias("monthly"),
-        F.when((F.col("months") == 0) & (k % 2 == 0), " ")
-        .when(k % 97 == 0, "")
-        .otherwise(F.col("total_amt").cast("string"))
-        .alias("total_text"),
-        F.when(F.col("n_later") == 0, "Yes").otherwise("No").alias("label"),
+    return base.selectExpr(
+        "CAST(c_custkey AS STRING) AS account_id",
+        "c_mktsegment AS segment",
+        "CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS in_debt",
+        "n_regionkey % 2 = 0 AS partner",
+        "tenure",
+        "internet",
+        "CASE WHEN internet = 'No' THEN 'No internet service'"
+        " WHEN c_custkey % 5 < 2 THEN 'Yes' ELSE 'No' END AS security",
+        "CASE WHEN internet = 'No' THEN 'No internet service'"
+        " WHEN c_custkey % 7 < 3 THEN 'Yes' ELSE 'No' END AS backup",
+        "CASE c_custkey % 4 WHEN 0 THEN 'One year' WHEN 1 THEN 'Two year'"
+        " ELSE 'Month-to-month' END AS contract",
+        "CASE c_custkey % 2 WHEN 0 THEN 'Electronic check' ELSE 'Mailed check' END AS payment",
+        "CAST(total_amt AS DOUBLE) / n_orders AS monthly",
+        "CASE WHEN tenure = 0 AND c_custkey % 2 = 0 THEN ' ' WHEN c_custkey % 97 = 0 THEN ''"
+        " ELSE CAST(total_amt AS STRING) END AS total_text",
+        "CASE WHEN n_later = 0 THEN 'Yes' ELSE 'No' END AS label",
     )
 
 
 def score_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as an append-only table of predictions."""
-    probability = F.round(F.col("value") / (F.col("value") + 50), 6)
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("account_id"),
-        probability.alias("probability"),
-        F.when(probability >= 0.441, 1).otherwise(0).alias("flag"),
-        F.lit(0.441).alias("threshold"),
-        F.col("event_type").alias("model"),
-        F.lit("m/v1").alias("model_version"),
-        F.concat(
-            "event_type", F.lit("-"), F.lpad(F.col("event_id").cast("string"), 10, "0")
-        ).alias("run_id"),
-        F.lit("events").alias("source_table"),
-        F.col("ts").alias("scored_at"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS STRING) AS account_id",
+        "round(value / (value + 50), 6) AS probability",
+        "CASE WHEN round(value / (value + 50), 6) >= 0.441D THEN 1 ELSE 0 END AS flag",
+        "0.441D AS threshold",
+        "event_type AS model",
+        "'m/v1' AS model_version",
+        "concat(event_type, '-', lpad(CAST(event_id AS STRING), 10, '0')) AS run_id",
+        "'events' AS source_table",
+        "ts AS scored_at",
     )
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``score_log`` with an outcome, for evaluation at larger row counts."""
-    return score_log(spark, sf_dir).select(
+    return score_log(spark, sf_dir).selectExpr(
         "run_id",
         "account_id",
         "model",
-        F.when(F.col("model").isin("error", "click"), 1).otherwise(0).alias("y"),
-        F.col("probability").alias("p"),
+        "CASE WHEN model IN ('error', 'click') THEN 1 ELSE 0 END AS y",
+        "probability AS p",
     )
 
 
@@ -105,10 +95,9 @@ def scored_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents with a score and the language as group."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    mixed = (F.col("doc_id") * 7919) % 1000 + 500 * F.col("quality")
-    return documents.join(labels, "doc_id").select(
+    return documents.join(labels, "doc_id").selectExpr(
         "doc_id",
-        F.col("lang").alias("grp"),
-        F.col("quality").alias("y"),
-        F.round(mixed.cast("double") / 1500, 3).alias("p"),
+        "lang AS grp",
+        "quality AS y",
+        "round(CAST((doc_id * 7919) % 1000 + 500 * quality AS DOUBLE) / 1500, 3) AS p",
     )
