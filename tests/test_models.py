@@ -93,7 +93,8 @@ def test_grid_search_keeps_the_best(spark, data):
     table = training.grid_table(spark, spec, fitted).collect()
     assert [json.loads(r["params"])["maxDepth"] for r in table] == [1, 4]
     best = max(table, key=lambda r: r["mean"])
-    assert fitted.bestModel.stages[-1].getOrDefault("maxDepth") == json.loads(best["params"])["maxDepth"]
+    assert fitted.best == best["position"]
+    assert fitted.model.stages[-1].getOrDefault("maxDepth") == json.loads(best["params"])["maxDepth"]
 
 
 def test_full_grids():
@@ -101,14 +102,14 @@ def test_full_grids():
     assert {n: len(s.grid) for n, s in specs.items()} == {
         "logreg": 1, "random_forest": 32, "gbt_a": 12, "gbt_b": 12
     }
-    forest = specs["random_forest"].pipeline.getStages()[-1]
+    forest = specs["random_forest"].classifier
     assert (forest.getNumTrees(), forest.getMaxDepth()) == (300, 30)
 
 
 def test_linear_model_levels():
     full, slim = estimators.train_logreg(TELCO), estimators.train_logreg(TELCO, selected=["num__tenure"])
-    assert full.pipeline.getStages()[0].getOrDefault("dropFirst")
-    assert not slim.pipeline.getStages()[0].getOrDefault("dropFirst")
+    assert full.prep.getOrDefault("dropFirst")
+    assert not slim.prep.getOrDefault("dropFirst")
 
 
 def test_penalty_matches_its_definition(spark):

@@ -234,7 +234,7 @@ def append_batch_output(spark, sf_dir):
     """Responses of an external job, appended as a run and cached."""
     responses, path, cache_path = (work_path(spark, k) for k in ("responses", "predictions", "cache"))
     row = F.struct("account_id", "probability", "flag", "threshold")
-    latest = score_log(spark, sf_dir).filter("model = 'view'").groupBy("account_id").agg(
+    latest = score_log(spark, sf_dir).groupBy("account_id").agg(
         F.max("probability").alias("probability"), F.max("flag").alias("flag"), F.max("threshold").alias("threshold")
     )
     latest.select(F.to_json(F.struct(F.array(row).alias("predictions"))).alias("value")).write.text(responses)

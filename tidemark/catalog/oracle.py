@@ -522,7 +522,7 @@ ORACLE.update(
                  (VALUES ('a', 'logreg'), ('b', 'random_forest')) AS r(run_id, model)""",
         "append_batch_output": f"""{FROM_LOG} SELECT account_id, CAST(max(flag) AS BIGINT) AS flag, 'view' AS model,
             'm/v1' AS model_version, max(probability) AS probability, 'r1' AS run_id, max(threshold) AS threshold
-            FROM score_log WHERE model = 'view' GROUP BY account_id""",
+            FROM score_log GROUP BY account_id""",
         "score_one_with_actual": f"""{FROM_CLEANED} SELECT account_id, CAST(y AS INTEGER) AS actual,
             CAST(0.3 AS DOUBLE) AS threshold, 'model' AS model FROM cleaned WHERE account_id IN ('7', '10', '100')""",
         "rescore_test": f"""{FROM_PARTS} SELECT count(*) AS n, CAST(sum(y) AS BIGINT) AS positives,

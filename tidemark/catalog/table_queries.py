@@ -190,8 +190,7 @@ def fairness_join(spark, sf_dir):
         F.col("c_custkey").cast("string").alias("account_id"), F.col("c_mktsegment").alias("segment")
     )
     scored = scored_events(spark, sf_dir)
-    known = scored.join(people.select("account_id"), "account_id", "left_semi")
-    return rounded(fairness.fairness_join(known, people, "account_id", ["segment"], THRESHOLD))
+    return rounded(fairness.fairness_join(scored, people, "account_id", ["segment"], THRESHOLD))
 
 
 def fairness_unmatched(spark, sf_dir):

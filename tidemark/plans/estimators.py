@@ -82,12 +82,17 @@ class PenalisedLogit(Estimator):
 
 @dataclass
 class ModelSpec:
-    """A named pipeline and the parameter maps to search."""
+    """A named preparation and classifier, and the classifier's parameter maps to search."""
 
     name: str
-    pipeline: Pipeline
+    prep: FeaturePrep
+    classifier: Estimator
     grid: list[dict] = field(default_factory=lambda: [{}])
 
+    @property
+    def pipeline(self) -> Pipeline:
+        return Pipeline(stages=[self.prep, self.classifier])
+
 
 def prep(
     roles: ColumnRoles,
@@ -113,7 +118,7 @@ def train_logreg(
 ) -> ModelSpec:
     """Scaled logistic regression, not tuned; all levels are kept when columns are selected."""
     stage = prep(roles, feature_set, drop_first=not selected, scale=True, selected=selected)
-    return ModelSpec(LOGREG, Pipeline(stages=[stage, PenalisedLogit(**settings)]))
+    return ModelSpec(LOGREG, stage, PenalisedLogit(**settings))
 
 
 def train_random_forest(
@@ -161,7 +166,7 @@ def _tree_spec(label: str, tree, stage: FeaturePrep, grid) -> ModelSpec:
     builder = ParamGridBuilder()
     for param, values in (grid or {}).items():
         builder = builder.addGrid(tree.getParam(param), list(values))
-    return ModelSpec(label, Pipeline(stages=[stage, tree]), builder.build())
+    return ModelSpec(label, stage, tree, builder.build())
 
 
 def model_specs(

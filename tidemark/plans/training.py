@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, pstdev
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,32 +122,65 @@ def prepare(
     )
 
 
-def grid_search(
+@dataclass
+class SearchResult:
+    """Mean and deviation of the metric per parameter map, and the best map refitted."""
+
+    means: list[float]
+    stds: list[float]
+    best: int
+    model: PipelineModel
+
+
+def cross_validate(
     spec: ModelSpec,
     train: DataFrame,
     *,
     metric: str = DEFAULT_METRIC,
     folds: int = splitting.FOLDS,
     parallelism: int = 2,
-):
-    """Cross-validate every parameter map on the folds and refit the best on all rows."""
-    search = CrossValidator(
-        estimator=spec.pipeline,
-        estimatorParamMaps=spec.grid,
-        evaluator=MetricEvaluator(metric=metric),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    return search.fit(train)
+) -> tuple[list[float], list[float]]:
+    """Mean and deviation over the folds for each parameter map.
+
+    The preparation is fitted once per fold, on its training rows only, and shared by all
+    parameter maps, which are fitted ``parallelism`` at a time.
+    """
+    evaluator = MetricEvaluator(metric=metric)
+    scores: list[list[float]] = [[] for _ in spec.grid]
+    for fold in range(folds):
+        fit_rows, held_out = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
+        prep = spec.prep.fit(fit_rows)
+        fit_vectors, held_vectors = prep.transform(fit_rows), prep.transform(held_out)
+
+        def score(params: dict) -> float:
+            model = spec.classifier.fit(fit_vectors, params)
+            return evaluator.evaluate(model.transform(held_vectors))
+
+        with ThreadPool(min(parallelism, len(spec.grid))) as pool:
+            fold_scores = pool.map(inheritable_thread_target(train.sparkSession)(score), spec.grid)
+        for own, value in zip(scores, fold_scores, strict=True):
+            own.append(value)
+    return [fmean(s) for s in scores], [pstdev(s) for s in scores]
+
+
+def grid_search(spec: ModelSpec, train: DataFrame, **options) -> SearchResult:
+    """Cross-validate every parameter map and refit the best, the first of equals, on all rows."""
+    means, stds = cross_validate(spec, train, **options)
+    best = max(range(len(means)), key=lambda i: means[i])
+    return SearchResult(means, stds, best, refit(spec, train, spec.grid[best]))
+
+
+def refit(spec: ModelSpec, train: DataFrame, params: dict) -> PipelineModel:
+    prep = spec.prep.fit(train)
+    return PipelineModel([prep, spec.classifier.fit(prep.transform(train), params)])
 
 
-def grid_table(spark: SparkSession, spec: ModelSpec, fitted) -> DataFrame:
+def grid_table(spark: SparkSession, spec: ModelSpec, result: SearchResult) -> DataFrame:
     """One row per parameter map: its settings as JSON, mean and std of the metric."""
     rows = []
-    for i, (params, mean) in enumerate(zip(spec.grid, fitted.avgMetrics, strict=True)):
-        settings = {p.name: v for p, v in params.items()}
-        rows.append((spec.name, i, json.dumps(settings, sort_keys=True), mean, fitted.stdMetrics[i]))
+    for i, params in enumerate(spec.grid):
+        settings = json.dumps({p.name: v for p, v in params.items()}, sort_keys=True)
+        rows.append((spec.name, i, settings, result.means[i], result.stds[i]))
     return local_frame(
         spark, rows, "model string, position int, params string, mean double, std double"
     )
@@ -171,15 +206,13 @@ def train_one(
 ) -> TrainedModel:
     """Search, fit, choose the threshold on validation, and measure validation and test."""
     train = data.part(splitting.TRAIN)
-    fitted = grid_search(spec, train, metric=grid_metric, folds=folds, parallelism=parallelism)
-    best = max(range(len(spec.grid)), key=lambda i: fitted.avgMetrics[i])
-    grid_score = fitted.avgMetrics[best] if len(spec.grid) > 1 else None
-    cv_score, cv_std = fitted.avgMetrics[best], fitted.stdMetrics[best]
+    search = grid_search(spec, train, metric=grid_metric, folds=folds, parallelism=parallelism)
+    cv_score, cv_std = search.means[search.best], search.stds[search.best]
+    grid_score = cv_score if len(spec.grid) > 1 else None
     if curves.resolve_metric(grid_metric) != curves.resolve_metric(select_metric):
-        chosen = ModelSpec(spec.name, spec.pipeline, [spec.grid[best]])
-        again = grid_search(chosen, train, metric=select_metric, folds=folds, parallelism=parallelism)
-        cv_score, cv_std = again.avgMetrics[0], again.stdMetrics[0]
-    pipeline = fitted.bestModel
+        chosen = replace(spec, grid=[spec.grid[search.best]])
+        (cv_score,), (cv_std,) = cross_validate(chosen, train, metric=select_metric, folds=folds)
+    pipeline = search.model
     # Validation and test are scored once and written; the metrics read that table.
     held_out = data.rows.filter(F.col("split") != splitting.TRAIN)
     scored = positive_probability(pipeline.transform(held_out)).select(
