@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tests.telco import customers, population
 from tidemark.operators import cleaning, scores, splitting
 from tidemark.operators.scores import ScoreColumns
-from tidemark.plans import estimators, explain, release, scoring, training
+from tidemark.plans import estimators, experiment, explain, release, scoring, training
 from tidemark.roles import BASELINE, ENGINEERED, TELCO
 from tidemark.session import local_frame
-from tidemark.sources.metrics import metrics_frame
+from tidemark.sources.metrics import metrics_frame, read_metrics
 from tidemark.sources.predictions import read_predictions
 
 FOREST = {"numTrees": 5, "maxDepth": 4}
@@ -356,3 +356,28 @@ def test_engineered_set(spark):
     encoded = estimators.prep(TELCO, ENGINEERED).fit(rows).feature_names()
     assert "num__addon_count" in encoded
     assert any(n.startswith("cat__tenure_bucket_") for n in encoded)
+
+
+def test_whole_runs_and_their_comparison(spark, tmp_path):
+    path = str(tmp_path / "run")
+    options = {"tune": False, "folds": 2, "forest": FOREST, "booster": BOOSTER}
+    raw = population(spark, 240)
+    first = experiment.run_training(
+        raw, TELCO, path, run_id="r1", probe_train=True, run_shap=False, **options
+    )
+    assert first["winner"] in first["models"]
+    assert first["champion"]["model"] == first["winner"]
+    assert first["recommendation"] in ("full", "probe_selected")
+    audit = first["probe_audit"]
+    assert audit["n_selected"] + audit["n_dropped"] == audit["n_features_in"]
+    assert experiment.read_run_summary(spark, f"{path}/summary") == json.loads(json.dumps(first))
+    model = training.load_model(f"{path}/models/random_forest")
+    assert len(model.stages[0].feature_names()) == audit["n_features_in"]
+    second = experiment.run_training(
+        raw, TELCO, path, run_id="r2", feature_set=ENGINEERED, sample=200, **options
+    )
+    assert len(second["baseline_comparison"]) == 4 * len(training.REPORT)
+    assert "probe_audit" not in second
+    runs = {r["run_id"] for r in read_metrics(spark, f"{path}/metrics").collect()}
+    assert runs == {"r1", "r1-slim", "r2"}
+    assert spark.read.json(f"{path}/models_shap").count() > 0

@@ -16,7 +16,7 @@ from tidemark.catalog.table_queries import THRESHOLD, Query, rounded
 from tidemark.operators import curves, deltas, splitting
 from tidemark.operators.correlation import correlations, exploration_matrix
 from tidemark.operators.scores import score_parity as compare_scores
-from tidemark.plans import estimators, explain, release, scoring, training
+from tidemark.plans import estimators, experiment, explain, release, scoring, training
 from tidemark.roles import ACCOUNTS, ENGINEERED
 from tidemark.session import local_frame, work_path
 from tidemark.sources import metrics as metric_tables
@@ -121,6 +121,24 @@ def train_suite(spark, sf_dir):
     return training.suite_metrics(spark, suite(spark, sf_dir), "run")
 
 
+def training_run(spark, sf_dir):
+    """A whole run with probe selection; the metrics of both feature sets as written."""
+    path = work_path(spark, "run")
+    experiment.run_training(
+        accounts(spark, sf_dir),
+        ACCOUNTS,
+        path,
+        run_id="r1",
+        tune=False,
+        probe_train=True,
+        run_shap=False,
+        folds=FOLDS,
+        forest=FOREST,
+        booster=BOOSTER,
+    )
+    return metric_tables.read_metrics(spark, f"{path}/metrics")
+
+
 def suite_winner(spark, sf_dir):
     return deltas.select_winner(training.cv_results(spark, suite(spark, sf_dir)))
 
@@ -362,6 +380,7 @@ QUERIES: dict[str, Query] = {
         grid_search,
         cv_score,
         train_suite,
+        training_run,
         suite_winner,
         champion_report,
         run_config,

@@ -24,7 +24,7 @@ from tidemark.plans.estimators import (
     positive_probability,
 )
 from tidemark.roles import BASELINE, ColumnRoles
-from tidemark.session import local_frame, materialise
+from tidemark.session import local_frame, materialise, path_exists
 from tidemark.sources.metrics import metrics_frame
 
 DEFAULT_METRIC = "f1"
@@ -345,10 +345,7 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     """Load a saved pipeline; a missing one is an error, and so is one without a probability."""
-    spark = SparkSession.active()
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(jvm_path):
+    if not path_exists(SparkSession.active(), path):
         raise FileNotFoundError(f"{path} not found: train and save the model first")
     model = PipelineModel.load(path)
     if not model.stages or not model.stages[-1].hasParam("probabilityCol"):

@@ -56,6 +56,12 @@ def work_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def materialise(
     df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()
 ) -> DataFrame:
