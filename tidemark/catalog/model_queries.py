@@ -133,8 +133,8 @@ def training_run(spark, sf_dir):
         probe_train=True,
         run_shap=False,
         folds=FOLDS,
+        models=(estimators.LOGREG, estimators.FOREST),
         forest=FOREST,
-        booster=BOOSTER,
     )
     return metric_tables.read_metrics(spark, f"{path}/metrics")
 

@@ -27,6 +27,7 @@ from tidemark.roles import BASELINE, ColumnRoles
 SEED = 42
 LABEL, WEIGHT, FEATURES = "y", "weight", "features"
 LOGREG, FOREST, BOOSTER_A, BOOSTER_B = "logreg", "random_forest", "gbt_a", "gbt_b"
+MODELS = (LOGREG, FOREST, BOOSTER_A, BOOSTER_B)
 
 # Unlimited tree depth is the deepest tree MLlib grows.
 MAX_DEPTH = 30
