@@ -140,10 +140,11 @@ def test_metric_choice():
 
 
 def test_run_config(spark):
-    config = training.run_config(weight=1.66384, feature_set=ENGINEERED)
+    config = training.run_config(training.RunSettings(feature_set=ENGINEERED), 1.66384)
     assert config["pos_weight_value"] == 1.6638
     assert config["data_split"] == {"train": 0.7, "validation": 0.15, "test": 0.15}
-    assert config["metrics_aligned"] and config["engineered_features"]
+    assert config["metrics_aligned"]
+    assert (config["grid_metric"], config["select_metric"]) == ("f1", "f1")
     row = training.run_config_frame(spark, "r", config).first()
     assert json.loads(row["config"]) == config
 
@@ -313,19 +314,33 @@ def test_odds_ratios(spark):
 
 
 def test_manifest(spark, suite, tmp_path):
-    document = release.metrics_document(suite["random_forest"])
+    metrics = training.suite_metrics(spark, suite, "r1")
+    options = {"model_id": "forest", "release_id": "v1", "artifact": "m"}
     manifest = release.release_manifest(
-        document, TELCO, model="random_forest", model_id="forest", release_id="v1", artifact="m",
-        run_config=training.run_config(weight=1.5),
+        metrics, TELCO, model="random_forest", provenance={"commit": "abc"},
+        run_config=training.run_config(training.RunSettings(), 1.5), **options,
     )
     path = str(tmp_path / "manifest")
-    release.write_manifest(spark, manifest, path)
-    read = release.read_manifest(spark, path)
-    assert read == json.loads(json.dumps(manifest))
-    assert read["headline_metrics"]["f1"] == suite["random_forest"].test["f1"]
-    assert read["training"]["pos_weight"] == "sqrt"
+    release.write_manifest(manifest, path)
+    read = release.read_manifest(spark, path).first()
+    forest = suite["random_forest"]
+    assert read["release_id"] == "v1"
+    assert read["threshold"] == forest.threshold
+    assert read["headline_metrics"]["f1"] == forest.test["f1"]
+    assert set(read["headline_metrics"]) == set(release.HEADLINE)
+    assert read["validation_metrics"]["recall"] == forest.validation["recall"]
+    assert json.loads(read["run_config"])["pos_weight_mode"] == "sqrt"
     assert len(read["feature_columns"]) == 18
-    assert read["provenance"]["packaged_at"]
+    assert read["provenance"] == {"commit": "abc"}
+    assert read["packaged_at"]
+    with pytest.raises(Exception, match="No threshold"):
+        release.release_manifest(metrics, TELCO, model="none", **options).collect()
+
+
+def test_unknown_labels_stop_a_training(spark):
+    raw = customers(spark, {"Churn": True}, {"customerID": "c-2", "Churn": None})
+    with pytest.raises(ValueError, match="1 rows have a label of neither class"):
+        training.prepare(raw, TELCO)
 
 
 def test_threshold_fallback():
@@ -360,10 +375,11 @@ def test_engineered_set(spark):
 
 def test_whole_runs_and_their_comparison(spark, tmp_path):
     path = str(tmp_path / "run")
-    options = {"tune": False, "folds": 2, "models": ("random_forest",), "forest": FOREST}
+    options = {"models": ("random_forest",), "forest": FOREST}
+    settings = training.RunSettings(tune=False, folds=2, probe_train=True, run_shap=False)
     raw = population(spark, 240)
     first = experiment.run_training(
-        raw, TELCO, path, run_id="r1", probe_train=True, run_shap=False, **options
+        raw, TELCO, path, run_id="r1", settings=settings, **options
     )
     assert first["winner"] in first["models"]
     assert first["champion"]["model"] == first["winner"]
@@ -373,9 +389,8 @@ def test_whole_runs_and_their_comparison(spark, tmp_path):
     assert experiment.read_run_summary(spark, f"{path}/summary") == json.loads(json.dumps(first))
     model = training.load_model(f"{path}/models/random_forest")
     assert len(model.stages[0].feature_names()) == audit["n_features_in"]
-    second = experiment.run_training(
-        raw, TELCO, path, run_id="r2", feature_set=ENGINEERED, sample=200, **options
-    )
+    settings = training.RunSettings(tune=False, folds=2, feature_set=ENGINEERED, sample=200)
+    second = experiment.run_training(raw, TELCO, path, run_id="r2", settings=settings, **options)
     assert len(second["baseline_comparison"]) == len(training.REPORT)
     assert "probe_audit" not in second
     runs = {r["run_id"] for r in read_metrics(spark, f"{path}/metrics").collect()}

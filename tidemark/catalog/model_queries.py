@@ -129,10 +129,9 @@ def training_run(spark, sf_dir):
         ACCOUNTS,
         path,
         run_id="r1",
-        tune=False,
-        probe_train=True,
-        run_shap=False,
-        folds=FOLDS,
+        settings=training.RunSettings(
+            tune=False, probe_train=True, run_shap=False, folds=FOLDS
+        ),
         models=(estimators.LOGREG, estimators.FOREST),
         forest=FOREST,
     )
@@ -150,7 +149,7 @@ def champion_report(spark, sf_dir):
 
 
 def run_config(spark, sf_dir):
-    config = training.run_config(weight=rows_of(spark, sf_dir).weight)
+    config = training.run_config(training.RunSettings(), rows_of(spark, sf_dir).weight)
     weight = F.get_json_object("config", "$.pos_weight_value").cast("double")
     row = training.run_config_frame(spark, "run", config)
     return row.select("run_id", weight.alias("pos_weight_value"))
@@ -164,18 +163,34 @@ def baseline_snapshot(spark, sf_dir):
 
 
 def release_manifest(spark, sf_dir):
-    model = suite(spark, sf_dir)[estimators.FOREST]
+    """The record of the best of the score log's models, by its measured flags."""
+    long = metric_long(spark, sf_dir, THRESHOLD).withColumn("split", F.lit("test"))
+    choice = long.filter("metric = 'f1'").select(
+        "model",
+        F.lit("threshold").alias("metric"),
+        F.lit(THRESHOLD).alias("value"),
+        F.lit("validation").alias("split"),
+    )
     manifest = release.release_manifest(
-        release.metrics_document(model),
+        long.unionByName(choice),
         ACCOUNTS,
-        model=model.name,
-        model_id="accounts-forest",
+        model="purchase",
+        model_id="events-purchase",
         release_id="v1",
         artifact="model",
     )
     path = work_path(spark, "manifest")
-    release.write_manifest(spark, manifest, path)
-    return release.manifest_frame(spark, release.read_manifest(spark, path))
+    release.write_manifest(manifest, path)
+    read = release.read_manifest(spark, path)
+    return rounded(
+        read.select(
+            "release_id",
+            "model",
+            "threshold",
+            F.size("feature_columns").alias("features"),
+            *[F.col("headline_metrics")[m].alias(m) for m in ("precision", "recall", "f1")],
+        )
+    )
 
 
 def model_io(spark, sf_dir):

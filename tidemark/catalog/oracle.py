@@ -492,6 +492,10 @@ _parity = f"""{FROM_CLEANED} SELECT count(*) AS compared, CAST(0 AS BIGINT) AS o
 ORACLE.update(
     {
         "baseline_snapshot": f"{FROM_METRICS} SELECT model, metric, round(value, 6) AS value FROM cur",
+        "release_manifest": f"""{FROM_METRICS} SELECT 'v1' AS release_id, model, CAST(0.441 AS DOUBLE) AS threshold,
+            10 AS features, round(max(value) FILTER (WHERE metric = 'precision'), 6) AS "precision",
+            round(max(value) FILTER (WHERE metric = 'recall'), 6) AS recall,
+            round(max(value) FILTER (WHERE metric = 'f1'), 6) AS f1 FROM cur WHERE model = 'purchase' GROUP BY model""",
         "metrics_sink": f"""{FROM_METRICS} SELECT 'r1' AS run_id, model, 'test' AS split, metric,
             round(value, 6) AS value FROM cur""",
         "baseline_delta": f"""{FROM_METRICS} SELECT model, metric, round(cur.value, 6) AS current_value,

@@ -50,12 +50,14 @@ def select_features(df: DataFrame, roles: ColumnRoles, feature_set: str = BASELI
     return df.select(*[name(c) for c in roles.feature_columns(feature_set)])
 
 
-def split_roles(cleaned: DataFrame, roles: ColumnRoles, feature_set: str = BASELINE) -> DataFrame:
-    """Id, 0/1 label and features of a cleaned table, in one frame."""
+def split_roles(
+    cleaned: DataFrame, roles: ColumnRoles, feature_set: str = BASELINE, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Id, 0/1 label and features of a cleaned table, in one frame; ``keep`` adds others."""
     frame = engineer_features(cleaned, roles) if feature_set != BASELINE else cleaned
     label = roles.label_column(dict(cleaned.dtypes)[roles.label]).alias("y")
     features = [name(c) for c in roles.feature_columns(feature_set)]
-    return frame.select(name(roles.id), label, *features)
+    return frame.select(name(roles.id), label, *features, *[name(c) for c in keep])
 
 
 def make_dataset(df: DataFrame, roles: ColumnRoles, feature_set: str = BASELINE) -> DataFrame:

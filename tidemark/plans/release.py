@@ -1,18 +1,23 @@
-"""The release record of a champion: threshold, features, metrics and provenance."""
+"""The release record of a champion, drawn from the metrics table of its run."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
-from datetime import UTC, datetime
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.plans.training import TrainedModel
 from tidemark.roles import BASELINE, ColumnRoles
-from tidemark.session import local_frame
 
 HEADLINE = ("recall", "precision", "f1", "pr_auc", "roc_auc")
+MANIFEST_SCHEMA = (
+    "release_id string, model_id string, model string, feature_set string, threshold double,"
+    " feature_columns array<string>, headline_metrics map<string, double>,"
+    " validation_metrics map<string, double>, cv_score double, run_config string,"
+    " artifact string, provenance map<string, string>, packaged_at timestamp"
+)
 
 
 def threshold_of(metrics: Mapping) -> float:
@@ -23,70 +28,69 @@ def threshold_of(metrics: Mapping) -> float:
     raise KeyError("No threshold in the metrics")
 
 
-def metrics_document(model: TrainedModel, metric: str = "f1") -> dict:
-    """The metrics of a model as a nested document."""
-    parts = {}
-    for split, row in (("validation", model.validation), ("test", model.test)):
-        values = {m: row[m] for m in (*HEADLINE, "f2")}
-        values["threshold"] = model.threshold
-        values["confusion_matrix"] = [[row["tn"], row["fp"]], [row["fn"], row["tp"]]]
-        parts[split] = values
-    return {
-        "threshold": model.threshold,
-        "cv_score": model.cv_score,
-        "cv_std": model.cv_std,
-        "select_metric": metric,
-        **parts,
-        "fairness": [g.asDict() for g in model.groups],
-    }
+def _values(split: str, names: Sequence[str]) -> Column:
+    """The named metrics of one split as a map; a run has one row per metric."""
+    wanted = (F.col("split") == split) & F.col("metric").isin(*names)
+    return F.map_from_entries(
+        F.array_sort(F.collect_list(F.when(wanted, F.struct("metric", "value"))))
+    )
+
+
+def _value(metric: str) -> Column:
+    return F.max(F.when(F.col("metric") == metric, F.col("value")))
 
 
 def release_manifest(
-    metrics: Mapping,
+    metrics: DataFrame,
     roles: ColumnRoles,
     *,
     model: str,
     model_id: str,
     release_id: str,
     artifact: str,
-    run_config: Mapping | None = None,
     feature_set: str = BASELINE,
-    provenance: Mapping | None = None,
-) -> dict:
-    """One record that says what is deployed and how it was chosen."""
-    config = run_config or {}
-    test, validation = metrics.get("test") or {}, metrics.get("validation") or {}
-    return {
-        "release_id": release_id,
-        "model_id": model_id,
-        "model": model,
-        "feature_set": feature_set,
-        "threshold": threshold_of(metrics),
-        "feature_columns": roles.feature_columns(feature_set),
-        "headline_metrics": {"split": "test", **{m: test.get(m) for m in HEADLINE}},
-        "validation_metrics": {m: validation.get(m) for m in HEADLINE if m != "roc_auc"},
-        "training": {
-            "metric": config.get("metric", metrics.get("select_metric")),
-            "pos_weight": config.get("pos_weight_mode"),
-            "threshold_strategy": config.get("threshold_strategy"),
-            "data_split": config.get("data_split"),
-            "threshold_tuned_on": config.get("threshold_tuned_on", "validation"),
-            "cv_score": metrics.get("cv_score"),
-        },
-        "artifact": artifact,
-        "provenance": {"packaged_at": datetime.now(UTC).isoformat(), **(provenance or {})},
-    }
-
-
-def manifest_frame(spark: SparkSession, manifest: Mapping) -> DataFrame:
-    """The record as one row of JSON."""
-    text = json.dumps(manifest, sort_keys=True)
-    return local_frame(spark, [(manifest["release_id"], text)], "release_id string, manifest string")
-
-
-def write_manifest(spark: SparkSession, manifest: Mapping, path: str) -> None:
-    manifest_frame(spark, manifest).select("manifest").coalesce(1).write.mode("overwrite").text(path)
-
-
-def read_manifest(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()["value"])
+    run_config: Mapping | None = None,
+    provenance: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row: what is deployed, at which threshold, and the metrics it was chosen with.
+
+    ``metrics`` is the metrics table of one run. Test metrics are the headline; a model
+    without a threshold fails.
+    """
+    missing = F.raise_error(F.lit(f"No threshold in the metrics of {model}"))
+    origin = [F.lit(text) for pair in (provenance or {}).items() for text in pair]
+    record = (
+        metrics.filter(F.col("model") == model)
+        .agg(
+            _value("threshold").alias("threshold"),
+            _values("test", HEADLINE).alias("headline_metrics"),
+            _values("validation", [m for m in HEADLINE if m != "roc_auc"]).alias(
+                "validation_metrics"
+            ),
+            _value("cv_score").alias("cv_score"),
+        )
+        .withColumns(
+            {
+                "release_id": F.lit(release_id),
+                "model_id": F.lit(model_id),
+                "model": F.lit(model),
+                "feature_set": F.lit(feature_set),
+                "threshold": F.coalesce("threshold", missing),
+                "feature_columns": F.array(*map(F.lit, roles.feature_columns(feature_set))),
+                "run_config": F.lit(json.dumps(dict(run_config or {}), sort_keys=True)),
+                "artifact": F.lit(artifact),
+                "provenance": F.create_map(*origin).cast("map<string, string>"),
+                "packaged_at": F.current_timestamp(),
+            }
+        )
+    )
+    return record.select(*StructType.fromDDL(MANIFEST_SCHEMA).names)
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """Write the record as one JSON object, next to the saved pipeline."""
+    manifest.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path)

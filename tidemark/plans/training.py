@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
@@ -34,16 +34,28 @@ CELLS = ("tn", "fp", "fn", "tp")
 
 @dataclass
 class TrainingRows:
-    """Rows of all three parts with label, fold and weight, and what the driver knows of them."""
+    """The written rows of all three parts, and the weight of the positive class.
 
-    rows: DataFrame
-    demographics: DataFrame
+    The table also holds the protected columns, which are read for audits only.
+    """
+
+    table: DataFrame
+    roles: ColumnRoles
     weight: float
-    feature_set: str
+
+    @property
+    def rows(self) -> DataFrame:
+        """Id, label, features, split, fold and weight."""
+        return self.table.drop(*self.roles.protected)
 
     def part(self, split: str) -> DataFrame:
+        """The rows of one split; the others are not read."""
         return self.rows.filter(F.col("split") == split)
 
+    def demographics(self, split: str) -> DataFrame:
+        """Id and protected columns of one split."""
+        return cleaning.demographics(self.table.filter(F.col("split") == split), self.roles)
+
 
 @dataclass
 class TrainedModel:
@@ -106,8 +118,11 @@ def prepare(
     evaluation reads the written rows of its part, so nothing upstream runs twice.
     """
     cleaned = cleaning.clean(raw, roles)
-    dataset = cleaning.split_roles(cleaned, roles, feature_set)
+    dataset = cleaning.split_roles(cleaned, roles, feature_set, roles.protected)
     keys = materialise(dataset.select(name(roles.id), LABEL), "keys")
+    unknown = keys.filter(F.col(LABEL).isNull()).count()
+    if unknown:
+        raise ValueError(f"{unknown} rows have a label of neither class")
     split = splitting.split_column(keys, roles.id, LABEL)
     train_keys = keys.filter(split == splitting.TRAIN)
     weight = splitting.positive_weight(train_keys, LABEL, weight_mode)
@@ -116,10 +131,7 @@ def prepare(
         "fold", F.when(F.col("split") == splitting.TRAIN, fold)
     )
     weighted = splitting.with_weight(rows, LABEL, weight, WEIGHT)
-    people = materialise(cleaning.demographics(cleaned, roles), "demographics")
-    return TrainingRows(
-        materialise(weighted, "rows", ["split"]), people, weight, feature_set
-    )
+    return TrainingRows(materialise(weighted, "rows", ["split"]), roles, weight)
 
 
 @dataclass
@@ -225,7 +237,13 @@ def train_one(
     threshold = curves.pick_threshold(curve, strategy=strategy, recall_floor=recall_floor)
     groups = (
         fairness.fairness_join(
-            test, data.demographics, roles.id, roles.protected, threshold, LABEL, "p"
+            test,
+            data.demographics(splitting.TEST),
+            roles.id,
+            roles.protected,
+            threshold,
+            LABEL,
+            "p",
         ).collect()
         if roles.protected
         else []
@@ -292,46 +310,44 @@ def champion_report(metrics: DataFrame, champion: str, metric: str = DEFAULT_MET
     )
 
 
-def run_config(
-    *,
-    metric: str = DEFAULT_METRIC,
-    grid_metric: str | None = None,
-    select_metric: str | None = None,
-    feature_set: str = BASELINE,
-    weight_mode: str = "sqrt",
-    weight: float,
-    strategy: str = "f1",
-    recall_floor: float = curves.RECALL_FLOOR,
-    sample: int | None = None,
-    tune: bool = True,
-    probe_audit: bool = False,
-    probe_train: bool = False,
-) -> dict:
+@dataclass(frozen=True)
+class RunSettings:
     """Every knob of one run."""
-    grid, select = resolve_training_metrics(metric, grid_metric, select_metric)
-    held_out = splitting.VAL_SIZE + splitting.TEST_SIZE
-    return {
-        "sample": sample,
-        "tune": tune,
-        "probe_audit": probe_audit,
-        "probe_train": probe_train,
-        "metric": metric,
-        "grid_metric": grid,
-        "select_metric": select,
-        "metrics_aligned": grid == select,
-        "feature_set": feature_set,
-        "engineered_features": feature_set != BASELINE,
-        "pos_weight_mode": weight_mode,
-        "pos_weight_value": round(weight, 4),
-        "threshold_strategy": strategy,
-        "recall_floor": recall_floor,
-        "data_split": {
-            "train": round(1.0 - held_out, 2),
-            "validation": splitting.VAL_SIZE,
-            "test": splitting.TEST_SIZE,
-        },
-        "threshold_tuned_on": "validation",
+
+    feature_set: str = BASELINE
+    sample: int | None = None
+    tune: bool = True
+    metric: str = DEFAULT_METRIC
+    grid_metric: str | None = None
+    select_metric: str | None = None
+    pos_weight_mode: str = "sqrt"
+    threshold_strategy: str = "f1"
+    recall_floor: float = curves.RECALL_FLOOR
+    probe_audit: bool = False
+    probe_train: bool = False
+    save_baseline: bool = False
+    run_shap: bool = True
+    folds: int = splitting.FOLDS
+    parallelism: int = 2
+
+    def resolved(self) -> RunSettings:
+        """The settings with the grid and selection metrics filled in."""
+        grid, select = resolve_training_metrics(self.metric, self.grid_metric, self.select_metric)
+        return replace(self, grid_metric=grid, select_metric=select)
+
+
+def run_config(settings: RunSettings, weight: float) -> dict:
+    """The record of a run: its settings, the class weight used, and how data was split."""
+    record = asdict(settings.resolved())
+    record["metrics_aligned"] = record["grid_metric"] == record["select_metric"]
+    record["pos_weight_value"] = round(weight, 4)
+    record["data_split"] = {
+        splitting.TRAIN: round(1 - splitting.VAL_SIZE - splitting.TEST_SIZE, 2),
+        splitting.VALIDATION: splitting.VAL_SIZE,
+        splitting.TEST: splitting.TEST_SIZE,
     }
+    record["threshold_tuned_on"] = splitting.VALIDATION
+    return record
 
 
 def run_config_frame(spark: SparkSession, run_id: str, config: dict) -> DataFrame:
