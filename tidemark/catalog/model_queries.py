@@ -143,6 +143,19 @@ def suite_winner(spark, sf_dir):
 
 
 def champion_report(spark, sf_dir):
+    """The report of one of the score log's models: flags at two thresholds as its splits."""
+    test = metric_long(spark, sf_dir, THRESHOLD).withColumn("split", F.lit("test"))
+    validation = metric_long(spark, sf_dir, 0.6).withColumn("split", F.lit("validation"))
+    f1 = test.filter("metric = 'f1'")
+    cv = f1.withColumns({"metric": F.lit("cv_score"), "split": F.lit("cv")})
+    chosen = f1.withColumns(
+        {"metric": F.lit("threshold"), "value": F.lit(THRESHOLD), "split": F.lit("validation")}
+    )
+    metrics = test.unionByName(validation).unionByName(cv).unionByName(chosen)
+    return rounded(training.champion_report(metrics, "purchase"))
+
+
+def suite_champion(spark, sf_dir):
     results = suite(spark, sf_dir)
     metrics = training.suite_metrics(spark, results, "run")
     return training.champion_report(metrics, training.winner(results))
@@ -397,6 +410,7 @@ QUERIES: dict[str, Query] = {
         train_suite,
         training_run,
         suite_winner,
+        suite_champion,
         champion_report,
         run_config,
         baseline_snapshot,

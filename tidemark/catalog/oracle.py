@@ -469,6 +469,7 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["load_batch_output"] = ORACLE["parse_jsonl"]
+ORACLE["load_cache"] = ORACLE["export_cache"]
 
 # Precision, recall, F1 and F2 per model of the score log, for the comparison operators.
 MODEL_METRICS = """
@@ -489,6 +490,13 @@ FROM_METRICS = _with(SCORE_LOG, MODEL_METRICS)
 _parity = f"""{FROM_CLEANED} SELECT count(*) AS compared, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right,
   CAST(0 AS BIGINT) AS probability_differs, CAST(0 AS BIGINT) AS flag_differs FROM cleaned"""
 
+def _report(source: str, prefix: str) -> str:
+    return ", ".join(
+        f"(SELECT round(value, 6) FROM {source} WHERE model = 'purchase' AND metric = '{m}') AS {prefix}_{m}"
+        for m in ("recall", "precision", "f1", "f2")
+    )
+
+
 ORACLE.update(
     {
         "baseline_snapshot": f"{FROM_METRICS} SELECT model, metric, round(value, 6) AS value FROM cur",
@@ -496,6 +504,13 @@ ORACLE.update(
             10 AS features, round(max(value) FILTER (WHERE metric = 'precision'), 6) AS "precision",
             round(max(value) FILTER (WHERE metric = 'recall'), 6) AS recall,
             round(max(value) FILTER (WHERE metric = 'f1'), 6) AS f1 FROM cur WHERE model = 'purchase' GROUP BY model""",
+        "champion_report": f"""{FROM_METRICS}
+            SELECT 'purchase' AS model, {_report("cur", "report")}, {_report("alt", "development_validation")},
+              CAST(NULL AS DOUBLE) AS report_pr_auc, CAST(NULL AS DOUBLE) AS report_roc_auc,
+              CAST(NULL AS DOUBLE) AS development_validation_pr_auc,
+              (SELECT round(value, 6) FROM cur WHERE model = 'purchase' AND metric = 'f1') AS development_cv_f1,
+              CAST(0.441 AS DOUBLE) AS threshold, 'cv_f1 on train (stratified CV)' AS selected_by,
+              'validation' AS threshold_tuned_on""",
         "metrics_sink": f"""{FROM_METRICS} SELECT 'r1' AS run_id, model, 'test' AS split, metric,
             round(value, 6) AS value FROM cur""",
         "baseline_delta": f"""{FROM_METRICS} SELECT model, metric, round(cur.value, 6) AS current_value,

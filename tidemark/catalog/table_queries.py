@@ -110,6 +110,13 @@ def export_cache(spark, sf_dir):
     return jsonl.load_cache(spark, target)
 
 
+def load_cache(spark, sf_dir):
+    """A cache with every score of a key as a line of its own: the newest line wins."""
+    target = work_path(spark, "cache")
+    jsonl.write_cache(score_log(spark, sf_dir), target)
+    return jsonl.load_cache(spark, target)
+
+
 def lookup_keys(spark, sf_dir):
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("account_id"))
     latest = scores.latest_scores(score_log(spark, sf_dir))
@@ -493,6 +500,7 @@ QUERIES: dict[str, Query] = {
         parse_jsonl,
         load_batch_output,
         export_cache,
+        load_cache,
         lookup_keys,
         lookup_one,
         clean_customers,
