@@ -32,6 +32,9 @@ MODELS = (LOGREG, FOREST, BOOSTER_A, BOOSTER_B)
 # Unlimited tree depth is the deepest tree MLlib grows.
 MAX_DEPTH = 30
 
+# More tree nodes per pass over the rows than MLlib's default of 256 MB allows.
+TREE_MEMORY = {"maxMemoryInMB": 1024}
+
 # Defaults and search grids of the four models.
 FOREST_DEFAULTS = {"numTrees": 300, "maxDepth": MAX_DEPTH, "featureSubsetStrategy": "sqrt"}
 BOOSTER_DEFAULTS = {
@@ -131,7 +134,7 @@ def train_random_forest(
     **settings,
 ) -> ModelSpec:
     forest = RandomForestClassifier(
-        **{**FOREST_DEFAULTS, **settings}, labelCol=LABEL, weightCol=WEIGHT, seed=SEED
+        **{**TREE_MEMORY, **FOREST_DEFAULTS, **settings}, labelCol=LABEL, weightCol=WEIGHT, seed=SEED
     )
     return _tree_spec(FOREST, forest, prep(roles, feature_set, selected=selected), grid)
 
@@ -146,7 +149,7 @@ def train_gbt(
     **settings,
 ) -> ModelSpec:
     booster = GBTClassifier(
-        **{**BOOSTER_DEFAULTS, **settings}, labelCol=LABEL, weightCol=WEIGHT, seed=SEED
+        **{**TREE_MEMORY, **BOOSTER_DEFAULTS, **settings}, labelCol=LABEL, weightCol=WEIGHT, seed=SEED
     )
     return _tree_spec(label, booster, prep(roles, feature_set, selected=selected), grid)
 
