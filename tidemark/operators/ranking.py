@@ -27,8 +27,9 @@ PREFIX = 3
 LONGEST_PREFIX = 9
 MAX_COUNTS = 4_000_000
 
-# A cut above every md5 text.
-EVERYTHING = ("g", "")
+# A cut above every md5 text, and the name of the hash while rows are assigned.
+EVERYTHING = "g"
+HASH = "_hash"
 
 
 def value_buckets(df: DataFrame, column: str, bucket: str = "bucket") -> DataFrame:
@@ -100,7 +101,7 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
 
 
 Quotas = dict[object, Sequence[int]]
-Cuts = dict[object, list[tuple[str, str] | None]]
+Cuts = dict[object, list[str | None]]
 
 
 def hash_cuts(
@@ -111,21 +112,17 @@ def hash_cuts(
     strata: str | None = None,
     salt: str,
 ) -> Cuts:
-    """Hash key and id at which the first ``q`` rows of a stratum end, for each quota ``q``.
+    """Hash key at which the first ``q`` rows of a stratum end, for each quota ``q``.
 
     ``quotas`` gets the size of each stratum (of one stratum, 0, without a column) and
-    returns the wanted quotas. The row order inside a stratum is (md5 of salt and id, id).
-    Counting rows by hash prefix finds the prefix a quota ends in; only rows below that
+    returns the wanted quotas. The row order inside a stratum is the md5 of salt and id;
+    copies of an id share it and stay together. Counting rows by hash prefix finds the prefix a quota ends in; only rows below that
     prefix are counted again, by a longer prefix, until few are left to sort. Shuffled are
     counts, never rows. A quota of 0 or less has no cut (None); one above the size takes
     everything.
     """
     stratum = name(strata) if strata else F.lit(0)
-    keyed = df.select(
-        stratum.alias("stratum"),
-        name(id_col).cast("string").alias("key"),
-        hash_key(name(id_col), salt).alias("h"),
-    )
+    keyed = df.select(stratum.alias("stratum"), hash_key(name(id_col), salt).alias("h"))
     counts = _prefix_counts(keyed, PREFIX)
     sizes: dict[object, int] = {}
     for (s, _), n in counts.items():
@@ -194,14 +191,14 @@ def _close_cuts(rows: DataFrame, open_cuts: dict, cuts: Cuts) -> None:
         f"stratum {dict(rows.dtypes)['stratum']}, cut int, prefix string, wanted bigint",
     )
     # Copies of one id are merged first: they share their hash and are one row here.
-    merged = rows.groupBy("stratum", "h", "key").count()
+    merged = rows.groupBy("stratum", "h").count()
     matched = merged.join(
         wanted,
         merged["stratum"].eqNullSafe(wanted["stratum"]) & F.col("h").startswith(F.col("prefix")),
-    ).select(wanted["stratum"], "cut", "wanted", "h", "key", "count")
+    ).select(wanted["stratum"], "cut", "wanted", "h", "count")
     order = (
         Window.partitionBy("stratum", "cut")
-        .orderBy("h", "key")
+        .orderBy("h")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ends = (
@@ -210,13 +207,14 @@ def _close_cuts(rows: DataFrame, open_cuts: dict, cuts: Cuts) -> None:
         .collect()
     )
     for row in ends:
-        cuts[row["stratum"]][row["cut"]] = (row["h"], row["key"])
+        cuts[row["stratum"]][row["cut"]] = row["h"]
+
+
+def with_hash(df: DataFrame, id_col: str, salt: str) -> DataFrame:
+    """Add the hash as a column, so that it is computed once per row."""
+    return df.withColumn(HASH, hash_key(name(id_col), salt))
 
 
-def before_cut(id_col: str, cut: tuple[str, str] | None, salt: str) -> Column:
-    """Whether a row comes no later than a cut of :func:`hash_cuts`."""
-    if cut is None:
-        return F.lit(False)
-    h = hash_key(name(id_col), salt)
-    key = name(id_col).cast("string")
-    return (h < cut[0]) | ((h == cut[0]) & (key <= cut[1]))
+def before_cut(cut: str | None) -> Column:
+    """Whether a row of :func:`with_hash` comes no later than a cut."""
+    return F.lit(False) if cut is None else F.col(HASH) <= cut

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.ranking import before_cut, hash_cuts
+from tidemark.operators.ranking import HASH, before_cut, hash_cuts, with_hash
 
 
 def sample_fixed(df: DataFrame, id_col: str, n: int, *, salt: str = "sample:") -> DataFrame:
@@ -15,4 +15,4 @@ def sample_fixed(df: DataFrame, id_col: str, n: int, *, salt: str = "sample:") -
     together.
     """
     cuts = hash_cuts(df, id_col, lambda sizes: {0: [n]}, salt=salt)
-    return df.filter(before_cut(id_col, cuts[0][0], salt))
+    return with_hash(df, id_col, salt).filter(before_cut(cuts[0][0])).drop(HASH)

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import name
-from tidemark.operators.ranking import before_cut, hash_cuts
+from tidemark.operators.ranking import HASH, before_cut, hash_cuts, with_hash
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 VAL_SIZE = TEST_SIZE = 0.15
@@ -41,58 +41,59 @@ def split_quotas(
     return {c: (n - dev[c], dev[c] - train[c]) for c, n in sizes.items()}
 
 
-def stratified_split(df: DataFrame, id_col: str, label: str, **options) -> DataFrame:
-    """Add ``split``: train, validation or test, with the class proportions kept."""
-    return df.withColumn("split", split_column(df, id_col, label, **options))
-
-
-def split_column(
-    keys: DataFrame,
+def stratified_split(
+    df: DataFrame,
     id_col: str,
     label: str,
     *,
+    keys: DataFrame | None = None,
     val_size: float = VAL_SIZE,
     test_size: float = TEST_SIZE,
     salt: str = "split:",
-) -> Column:
-    """The split as an expression on id and label; only those two columns are read."""
+) -> DataFrame:
+    """Add ``split``: train, validation or test, with the class proportions kept.
+
+    The cuts are worked out on ``keys``, a table of the same ids and labels (default: the
+    rows themselves, of which only these two columns are read).
+    """
 
     def upto(sizes: dict[object, int]) -> dict[object, list[int]]:
         quotas = split_quotas(sizes, val_size, test_size)
         return {c: [test, test + val] for c, (test, val) in quotas.items()}
 
-    cuts = hash_cuts(keys, id_col, upto, strata=label, salt=salt)
+    cuts = hash_cuts(_or(keys, df), id_col, upto, strata=label, salt=salt)
     parts = F.lit(None).cast("string")
     for c, (test_cut, val_cut) in cuts.items():
-        part = (
-            F.when(before_cut(id_col, test_cut, salt), TEST)
-            .when(before_cut(id_col, val_cut, salt), VALIDATION)
-            .otherwise(TRAIN)
-        )
-        parts = F.when(name(label).eqNullSafe(F.lit(c)), part).otherwise(parts)
-    return parts
+        part = F.when(before_cut(test_cut), TEST).when(before_cut(val_cut), VALIDATION)
+        parts = F.when(name(label).eqNullSafe(F.lit(c)), part.otherwise(TRAIN)).otherwise(parts)
+    return with_hash(df, id_col, salt).withColumn("split", parts).drop(HASH)
 
 
-def stratified_folds(df: DataFrame, id_col: str, label: str, **options) -> DataFrame:
+def stratified_folds(
+    df: DataFrame,
+    id_col: str,
+    label: str,
+    *,
+    keys: DataFrame | None = None,
+    folds: int = FOLDS,
+    salt: str = "fold:",
+) -> DataFrame:
     """Add ``fold`` 0..folds-1; the folds of a class differ by one row at most."""
-    return df.withColumn("fold", fold_column(df, id_col, label, **options))
-
-
-def fold_column(
-    keys: DataFrame, id_col: str, label: str, *, folds: int = FOLDS, salt: str = "fold:"
-) -> Column:
-    """The fold as an expression on id and label."""
 
     def upto(sizes: dict[object, int]) -> dict[object, list[int]]:
         ends = range(1, folds)
         return {c: [k * (n // folds) + min(k, n % folds) for k in ends] for c, n in sizes.items()}
 
-    cuts = hash_cuts(keys, id_col, upto, strata=label, salt=salt)
+    cuts = hash_cuts(_or(keys, df), id_col, upto, strata=label, salt=salt)
     fold = F.lit(None).cast("int")
     for c, ends in cuts.items():
-        passed = [(~before_cut(id_col, end, salt)).cast("int") for end in ends]
+        passed = [(~before_cut(end)).cast("int") for end in ends]
         fold = F.when(name(label).eqNullSafe(F.lit(c)), sum(passed, F.lit(0))).otherwise(fold)
-    return fold
+    return with_hash(df, id_col, salt).withColumn("fold", fold).drop(HASH)
+
+
+def _or(keys: DataFrame | None, df: DataFrame) -> DataFrame:
+    return df if keys is None else keys
 
 
 WEIGHT_MODES = ("full", "sqrt", "none")

@@ -123,13 +123,13 @@ def prepare(
     unknown = keys.filter(F.col(LABEL).isNull()).count()
     if unknown:
         raise ValueError(f"{unknown} rows have a label of neither class")
-    split = splitting.split_column(keys, roles.id, LABEL)
-    train_keys = keys.filter(split == splitting.TRAIN)
+    split_keys = materialise(splitting.stratified_split(keys, roles.id, LABEL), "split")
+    in_train = F.col("split") == splitting.TRAIN
+    train_keys = split_keys.filter(in_train)
     weight = splitting.positive_weight(train_keys, LABEL, weight_mode)
-    fold = splitting.fold_column(train_keys, roles.id, LABEL, folds=folds)
-    rows = dataset.withColumn("split", split).withColumn(
-        "fold", F.when(F.col("split") == splitting.TRAIN, fold)
-    )
+    rows = splitting.stratified_split(dataset, roles.id, LABEL, keys=keys)
+    rows = splitting.stratified_folds(rows, roles.id, LABEL, keys=train_keys, folds=folds)
+    rows = rows.withColumn("fold", F.when(in_train, F.col("fold")))
     weighted = splitting.with_weight(rows, LABEL, weight, WEIGHT)
     return TrainingRows(materialise(weighted, "rows", ["split"]), roles, weight)
 
