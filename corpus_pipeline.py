@@ -1,34 +1,84 @@
 """The corpus pipeline: documents in, packed documents out.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and
-read again as the next stage's docs.
+read again as the next stage's docs. All but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from tidemark.llm import buckets
+from tidemark.llm import buckets, mixing, pii, setsketch, toxicity
+from tidemark.llm.common import row_key, table
 from tidemark.session import materialise
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below 0.5, by a model learned from the labels."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.withColumn("_toxicity", toxicity.score("text", model))
+    return scored.where(F.col("_toxicity") < 0.5).drop("_toxicity")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates.
+
+    Of rows that repeat this id one stays. Documents without words are in no group.
+    """
+    found = setsketch.near_duplicates(docs)
+    alone = F.col("group").isNull()
+    one = found.where("kept").groupBy("group", F.when(alone, F.col("row_key")).alias("own"))
+    kept = one.agg(F.min("row_key").alias("_key"), F.first(alone).alias("_alone")).select("_key", "_alone")
+    keyed = docs.withColumn("_key", row_key()).join(kept, "_key")
+    again = F.row_number().over(Window.partitionBy("_key").orderBy("doc_id"))
+    chosen = keyed.withColumn("_again", again).where(F.col("_alone") | (F.col("_again") == 1))
+    return chosen.select(*docs.columns)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind; n_chars follows the text."""
+    found = pii.find(docs, pii.fit(docs))
+    found = found.withColumn("text", pii.masked(F.col("text"), F.col("all_spans")))
+    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it.
+
+    Rows of equal id and text share the copies that they have together.
+    """
+    mixed = mixing.mix(docs).groupBy(F.col("row_key").alias("_key"))
+    mixed = mixed.agg(F.count("*").alias("_rows"), F.sum("copies").cast("long").alias("_copies"))
+    keyed = docs.withColumn("_key", row_key(seed=mixing.SEED)).join(mixed, "_key")
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("doc_id"))
+    copies = F.floor(F.col("_copies") / F.col("_rows")) + (place <= F.col("_copies") % F.col("_rows")).cast("long")
+    taken = keyed.withColumn("_own", copies).where("_own > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_own")))).select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bucket, batch and position of every document of the mix."""
     return buckets.pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_filter),
+    ("near_dedup", near_dedup),
+    ("pii", mask_pii),
+    ("mixing", mix_sources),
     ("packing", packing),
 ]
 
-# The first stage decides by a model, which SQL can't express.
+# The first stage decides by a trained model, which SQL can't express.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over the documents of a folder of tables."""
+    docs = table(spark, sf_dir, "documents")
     for position, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if position < len(STAGES):

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import buckets, mixing, shards, tokens
+from tidemark.llm import ann, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, warc
 from tidemark.llm.common import table
+from tidemark.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,27 +26,74 @@ def op1_shard_placement(spark, sf_dir):
     return after.select("doc_id", "slot", "shard", "shard_after", moved.alias("moved"))
 
 
+def op2_warc_salvage(spark, sf_dir):
+    path = work_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records, _ = warc.read_archives(spark, path, payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_setsketch_dedup(spark, sf_dir):
+    found = setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_length_buckets(spark, sf_dir):
     return buckets.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels)
+    scored = docs.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.score("text", model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op6_adaptive_scan(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_source_mix(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_weak_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    number = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == pii.KINDS.index(kind)))
+    return found.select(
+        "doc_id",
+        *[number(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.written(F.col("base_spans")), 256).alias("base_sha256"),
+        pii.written(F.col("all_spans")).alias("spans"),
+    )
+
+
 def op9_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_block_topk(spark, sf_dir):
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_shard_placement,
+        op2_warc_salvage,
+        op3_setsketch_dedup,
         op4_length_buckets,
+        op5_toxicity,
+        op6_adaptive_scan,
         op7_source_mix,
+        op8_weak_pii,
         op9_token_counts,
+        op10_block_topk,
     )
 }
 
@@ -79,3 +127,53 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
   CAST(size * (whole + CASE WHEN 2 * start + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM r
 """
+
+ORACLE["op2_warc_salvage"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS lead,
+    row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC) AS place
+  FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes < 1000 OR place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN payload_bytes < 1000 OR place = 1 THEN NULL ELSE lead END AS refers_to
+FROM m
+"""
+
+ORACLE["op3_setsketch_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(generate_series(1, len(ws) - 4), i -> array_to_string(ws[i:i + 4], ' ')) END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+h AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM h JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.root) AS component_id,
+  d.doc_id = min(r.root) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.node = d.doc_id
+GROUP BY d.doc_id, n.n
+"""
+
+ORACLE["op10_block_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""

@@ -102,15 +102,16 @@ def mix(
     ends = ends.select(sums["source"].alias("end_source"), F.col("slice").alias("end"), "ahead")
     plan = plan.join(ends, plan["source"].eqNullSafe(ends["end_source"]), "left").drop("end_source")
     plan = plan.withColumnRenamed("source", "plan_source")
-    placed = rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"]))
 
-    # Before the end all are taken, behind it none; in it the running size decides.
-    inside = F.col("slice") == F.col("end")
-    sure = placed.where(~F.coalesce(inside, F.lit(False)))
+    # Before the end all are taken, behind it none; in it the running size decides. The rows
+    # of the last slice are joined and windowed by source and slice, never by source alone.
+    of_source = rows["source"].eqNullSafe(plan["plan_source"])
+    sure = rows.join(plan, of_source).where(~F.col("slice").eqNullSafe(F.col("end")))
     sure = sure.withColumn("more", F.coalesce((F.col("slice") < F.col("end")).cast("long"), F.lit(0)))
-    run = Window.partitionBy("source").orderBy("row_key").rowsBetween(Window.unboundedPreceding, -1)
+    last = rows.join(plan, of_source & (rows["slice"] == plan["end"]))
+    run = Window.partitionBy("source", "slice").orderBy("row_key")
+    run = run.rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("ahead") + F.coalesce(F.sum("size").over(run), F.lit(0))
-    last = placed.where(inside)
     last = last.withColumn("more", (2 * start + F.col("size") <= 2 * F.col("rest")).cast("long"))
     copies = F.col("whole") + F.col("more")
     return sure.unionByName(last).select(
