@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-SPANS = "array<struct<start:int,end:int,value:string>>"
+SPANS = "array<struct<start:int,end:int,value:string,before:string,behind:string>>"
+BLOCK = 64
 
 # The patterns take whole runs of characters at once (possessive), and begin where a run
 # begins or the last match ended, so that long runs take linear time.
@@ -65,25 +66,83 @@ SHAPES = ("separated", "long", "spaced")
 
 
 def _located(text: Column, pattern: str) -> Column:
-    """The matches of a pattern with their places.
+    """The matches of a pattern with their places and what is next to them.
 
     Between and around n matches are n + 1 other parts; a match begins behind all parts
-    and matches before it.
+    and matches before it. Places are summed up inside blocks of matches and then over
+    the blocks, as appending to one long array would take quadratic time.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    steps = F.zip_with(
-        parts, found, lambda part, own: F.struct(F.char_length(part).alias("gap"), own.alias("value"))
+    both = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("parts")
     )
+    return _let(both, lambda m: _placed(m["found"], m["parts"]))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is computed once, not wherever the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _placed(found: Column, parts: Column) -> Column:
+    around = F.zip_with(
+        F.slice(parts, F.lit(1), F.size(found)),
+        F.slice(parts, F.lit(2), F.size(found)),
+        lambda part, following: F.struct(
+            F.char_length(part).alias("gap"),
+            F.right(part, F.lit(BEFORE)).alias("before"),
+            F.left(following, F.lit(1)).alias("behind"),
+        ),
+    )
+    steps = F.zip_with(around, found, lambda own, value: F.struct(own.alias("own"), value.alias("value")))
 
     def add(state, step):
-        start = state["at"] + step["gap"]
+        start = state["at"] + step["own"]["gap"]
         end = start + F.char_length(step["value"])
-        own = F.struct(start.alias("start"), end.alias("end"), step["value"].alias("value"))
+        own = F.struct(
+            start.alias("start"),
+            end.alias("end"),
+            step["value"].alias("value"),
+            step["own"]["before"].alias("before"),
+            step["own"]["behind"].alias("behind"),
+        )
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(own)).alias("spans"))
 
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-    return F.aggregate(steps, begin, add, lambda state: state["spans"])
+    inside = F.transform(_blocks(steps), lambda block: F.aggregate(block, begin, add))
+
+    def shift(state, block):
+        own = F.struct(state["at"].alias("shift"), block["spans"].alias("spans"))
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(own)).alias("out"))
+
+    none = F.array().cast(f"array<struct<shift:int,spans:{SPANS}>>")
+    shifted = F.aggregate(
+        inside, F.struct(F.lit(0).alias("at"), none.alias("out")), shift, lambda state: state["out"]
+    )
+    return F.flatten(F.transform(shifted, _moved))
+
+
+def _blocks(values: Column) -> Column:
+    """An array cut into arrays of at most BLOCK elements."""
+
+    def cut(own):
+        count = F.ceil(F.size(own) / F.lit(BLOCK)).cast("int")
+        numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda n: F.slice(own, n * BLOCK + 1, F.lit(BLOCK)))
+
+    return _let(values, cut)
+
+
+def _moved(block: Column) -> Column:
+    return F.transform(
+        block["spans"],
+        lambda s: F.struct(
+            (s["start"] + block["shift"]).alias("start"),
+            (s["end"] + block["shift"]).alias("end"),
+            s["value"].alias("value"),
+            s["before"].alias("before"),
+            s["behind"].alias("behind"),
+        ),
+    )
 
 
 def _checked(kind: str, value: Column) -> Column:
@@ -128,22 +187,19 @@ def candidates(text: Column) -> Column:
         if kind == "card":
             # Shorter runs of digits are numbers of any sort.
             base = F.filter(base, lambda s: F.length(F.translate(s["value"], " -", "")).between(12, 19))
-        arrays.append(F.transform(base, _description(text, kind, False)))
+        arrays.append(F.transform(base, _description(kind, False)))
         if kind in WIDER:
             more = F.when(_possible(text, kind, True), _located(text, WIDER[kind])).otherwise(F.array().cast(SPANS))
-            arrays.append(F.transform(more, _description(text, kind, True)))
+            arrays.append(F.transform(more, _description(kind, True)))
     return F.concat(*arrays)
 
 
-def _description(text: Column, kind: str, wider: bool) -> Callable[[Column], Column]:
-    return lambda span: _described(text, span, kind, wider)
+def _description(kind: str, wider: bool) -> Callable[[Column], Column]:
+    return lambda span: _described(span, kind, wider)
 
 
-def _described(text: Column, span: Column, kind: str, wider: bool) -> Column:
-    value = span["value"]
-    lead = F.greatest(span["start"] - BEFORE, F.lit(0))
-    before = F.lower(F.substring(text, lead + 1, span["start"] - lead))
-    behind = F.substring(text, span["end"] + 1, F.lit(1))
+def _described(span: Column, kind: str, wider: bool) -> Column:
+    value, before, behind = span["value"], F.lower(span["before"]), span["behind"]
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
     checked = F.lit(0) if wider else vote(_checked(kind, value), ~_checked(kind, value))
     known = _gazetteer(kind, value)
@@ -282,17 +338,38 @@ def written(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; overlapping spans merge."""
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-
-    def step(state, s):
-        # A span that begins inside the one before only moves its end.
-        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        mark = F.when(s["start"] >= state["at"], F.element_at(names, s["kind"] + 1)).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], gap, mark).alias("out")
-        )
+    """The text with each span replaced by its kind in brackets; overlapping spans merge.
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    finish = lambda state: F.concat(state["out"], F.substr(text, state["at"] + 1))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, finish)).otherwise(text)
+    Spans come in blocks; each block's stretch of text is cut out once, and its spans are
+    replaced in that.
+    """
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    end_of = lambda own: F.aggregate(own, F.lit(0), lambda most, s: F.greatest(most, s["end"]))
+
+    def stretch(state, block):
+        # From the end of all spans before to the end of this block's.
+        def until(end):
+            cut = F.substring(text, state["at"] + 1, end - state["at"])
+            own = F.struct(state["at"].alias("from"), cut.alias("text"), block.alias("spans"))
+            return F.struct(end.alias("at"), F.concat(state["out"], F.array(own)).alias("out"))
+
+        return _let(F.greatest(state["at"], end_of(block)), until)
+
+    def replace(part):
+        def step(state, s):
+            # A span that begins inside the one before only moves its end.
+            begin, end = s["start"] - part["from"], s["end"] - part["from"]
+            gap = F.substring(part["text"], state["at"] + 1, F.greatest(begin - state["at"], F.lit(0)))
+            mark = F.when(begin >= state["at"], F.element_at(names, s["kind"] + 1)).otherwise(F.lit(""))
+            return F.struct(
+                F.greatest(state["at"], end).alias("at"), F.concat(state["out"], gap, mark).alias("out")
+            )
+
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(part["spans"], begin, step, lambda state: state["out"])
+
+    own = "array<struct<from:int,text:string,spans:array<struct<start:int,kind:int,end:int>>>>"
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(own).alias("out"))
+    parts = F.aggregate(_blocks(spans), begin, stretch, lambda state: F.transform(state["out"], replace))
+    rest = F.substr(text, end_of(spans) + 1)
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)
