@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.catalog import model_queries, oracle, table_queries
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
@@ -32,8 +33,9 @@ def rows_of(columns, rows):
     return sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def test_every_sql_has_a_query():
+def test_every_sql_has_a_query_and_every_query_an_sql():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(oracle.ORACLE) == {*table_queries.QUERIES, *model_queries.QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -44,11 +44,21 @@ def test_unknown_and_null_levels_are_zero(spark):
     assert encoding.collect_levels(df, ["c"]) == {"c": ["<NA>", "a", "b", "z"]}
 
 
-def test_too_many_levels_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(encoding, "MAX_LEVELS", 3)
-    df = local_frame(spark, [(str(i),) for i in range(5)], "c string")
-    with pytest.raises(ValueError, match="not categories"):
-        encoding.collect_levels(df, ["c"])
+def test_thousands_of_levels(spark):
+    columns = ["a", "b", "c"]
+    rows = [(i, f"a{i % 5000}", f"b{i * 7 % 5000}", f"c{i % 4999}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "n long, a string, b string, c string")
+    prep = encoding.FeaturePrep(numeric=["n"], categorical=columns).fit(df)
+    names = prep.feature_names()
+    assert len(names) == 1 + 5000 + 5000 + 4999
+    wanted = prep.transform(df.filter("n IN (0, 17, 5999)")).select("n", *columns, "features").collect()
+    for row in wanted:
+        vector = row["features"]
+        assert vector.size == len(names)
+        on = {names[int(i)]: v for i, v in zip(vector.indices, vector.values) if v}
+        assert on == {k: v for k, v in {"num__n": float(row["n"])}.items() if v} | {
+            f"cat__{c}_{row[c]}": 1.0 for c in columns
+        }
 
 
 def test_scaling_uses_the_population_deviation(spark):

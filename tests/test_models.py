@@ -396,3 +396,15 @@ def test_whole_runs_and_their_comparison(spark, tmp_path):
     runs = {r["run_id"] for r in read_metrics(spark, f"{path}/metrics").collect()}
     assert runs == {"r1", "r1-slim", "r2"}
     assert spark.read.json(f"{path}/models_shap").count() > 0
+
+
+def test_missing_columns_are_named(data, logit, spark):
+    raw = population(spark, 20).drop("Contract", "TotalCharges")
+    with pytest.raises(ValueError, match="Missing feature columns: .*Contract.*TotalCharges"):
+        scoring.score_batch(raw, logit, TELCO, threshold=0.5, model_name="m", model_version="v", cols=COLS)
+
+
+def test_the_metric_of_a_score_is_stored(suite):
+    rows = suite[estimators.LOGREG].metric_rows("r")
+    by_name = {r[3]: r[4] for r in rows if r[2] == "cv"}
+    assert by_name["cv_f1"] == by_name["cv_score"]

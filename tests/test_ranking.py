@@ -108,23 +108,6 @@ def test_quantiles_are_exact(spark, monkeypatch, accuracy):
         assert r["value"] == pytest.approx(np.quantile(own, r["prob"]), rel=1e-12)
 
 
-def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
-    df = spark.createDataFrame([(float(i),) for i in range(100)], "v double")
-    honest = quantiles._values_at
-    calls = []
-
-    def poor(long, targets):
-        calls.append(len(targets))
-        if len(calls) == 1:
-            targets = [(*t[:4], -2.0, -1.0) for t in targets]
-        return honest(long, targets)
-
-    monkeypatch.setattr(quantiles, "_values_at", poor)
-    row = quantiles.exact_quantiles(df, ["v"], [0.5]).first()
-    assert row["value"] == 49.5
-    assert calls == [2, 2]
-
-
 def test_describe_matches_numpy(spark):
     values = [1.0, 2.0, 2.0, 5.0, 9.5]
     df = spark.createDataFrame([(v,) for v in values], "v double")
@@ -133,3 +116,24 @@ def test_describe_matches_numpy(spark):
     assert row["mean"] == pytest.approx(np.mean(values))
     assert row["std"] == pytest.approx(np.std(values, ddof=1))
     assert (row["min"], row["q25"], row["q50"], row["q75"], row["max"]) == (1.0, 2.0, 2.0, 5.0, 9.5)
+
+
+@pytest.mark.parametrize(
+    "use",
+    [
+        lambda df: splitting.stratified_split(df, "id", "y"),
+        lambda df: splitting.stratified_folds(df, "id", "y"),
+        lambda df: sampling.sample_fixed(df, "id", 3),
+    ],
+)
+def test_null_ids_are_refused(spark, use):
+    df = local_frame(spark, [("a", 0), (None, 1), ("c", 0), ("d", 1)], "id string, y int")
+    with pytest.raises(Exception, match="An id is NULL"):
+        use(df).collect()
+
+
+def test_quantiles_of_many_groups(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("g"), (F.col("id") * 1.0).alias("v"))
+    found = quantiles.exact_quantiles(df, ["v"], [0.5], by="g")
+    assert found.count() == 20_000
+    assert found.filter(F.col("value") != F.col("grp") + 20_000).count() == 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.telco import customers
 from tidemark.operators import deltas, scores
 from tidemark.roles import TELCO
-from tidemark.session import bounded, local_frame, materialise, shared_dir
+from tidemark.session import local_frame, materialise, shared_dir
 from tidemark.sources import jsonl, metrics, predictions, tables
 
 SCORED = "account_id string, probability double, flag int, threshold double, model string, model_version string"
@@ -64,6 +64,19 @@ def test_a_run_is_appended_once(spark, tmp_path):
     assert {r["scored_at"] for r in only.select(F.col("scored_at").cast("string")).collect()} == {"2026-07-01 06:00:00"}
 
 
+def test_a_retry_on_the_next_day_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    late, early = datetime(2026, 7, 1, 23, 59, tzinfo=UTC), datetime(2026, 7, 2, 0, 1, tzinfo=UTC)
+    for when in (late, early):
+        for run in ("r1", "r2"):
+            predictions.write_predictions(
+                scored(spark, ("a", 0.9), ("b", 0.1)), path, run_id=run, source_table="t", scored_at=when
+            )
+    table = predictions.read_predictions(spark, path)
+    assert table.count() == 4
+    assert [str(r[0]) for r in table.select(F.to_date("scored_at")).distinct().collect()] == ["2026-07-02"]
+
+
 def test_null_probability_is_refused(spark, tmp_path):
     rows = local_frame(spark, [("a", None, 0, 0.5, "m", "v")], SCORED)
     with pytest.raises(Exception, match="probability must not be NULL"):
@@ -205,14 +218,6 @@ def test_first_model_wins_ties(spark):
     assert deltas.select_winner(df).first()["model"] == "b"
 
 
-def test_bounded_frames_are_local_or_written(spark):
-    small = bounded(spark.range(5).toDF("v"))
-    assert "LocalTableScan" in small._jdf.queryExecution().toString()
-    large = bounded(spark.range(50).toDF("v"), limit=10)
-    assert large.count() == 50
-    assert "FileScan" in large._jdf.queryExecution().toString()
-
-
 def test_shared_folder_comes_from_the_session(spark, tmp_path):
     folder = shared_dir(spark)
     assert folder

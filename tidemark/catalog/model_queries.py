@@ -1,15 +1,17 @@
 """Queries of training, scoring, explanation and comparison.
 
-Models are kept small (settings are parameters of the operators); the rows are all rows.
-Results that SQL can foresee, such as who is scored and whether two paths agree, are
-checked; fitted numbers are not.
+The tree models are smaller than the library's defaults (see FOREST and BOOSTER); folds,
+logistic regression and explanation use the defaults, and the rows are all rows. Fitted
+numbers are no matter of SQL, so what these queries return of them is what SQL can foresee:
+how many rows of each class a split has, that rates follow from their cells, that a choice
+is the best of its list, that two ways to the same number agree.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog.table_queries import THRESHOLD, Query, rounded
@@ -18,65 +20,83 @@ from tidemark.operators.correlation import correlations, exploration_matrix
 from tidemark.operators.scores import score_parity as compare_scores
 from tidemark.plans import estimators, experiment, explain, release, scoring, training
 from tidemark.roles import ACCOUNTS, ENGINEERED
-from tidemark.session import local_frame, work_path
+from tidemark.session import local_frame, materialise, work_path
 from tidemark.sources import metrics as metric_tables
-from tidemark.sources.jsonl import export_cache, load_cache
+from tidemark.sources.jsonl import export_cache, export_jsonl, load_batch_output, load_cache
 from tidemark.sources.predictions import read_predictions
 from tidemark.sources.views import accounts, score_log, scored_events
 
+# The defaults of 300 deep trees and 300 boosting steps take hours over all these queries.
 FOREST = {"numTrees": 20, "maxDepth": 5}
 BOOSTER = {"maxIter": 10, "maxDepth": 3}
-FOLDS = 3
 
 
-@cache
-def _rows(app: str, sf_dir: str, feature_set: str) -> training.TrainingRows:
-    raw = accounts(SparkSession.active(), sf_dir)
-    return training.prepare(raw, ACCOUNTS, feature_set, folds=FOLDS)
+def rows_of(spark: SparkSession, sf_dir: str, feature_set: str = "baseline") -> training.TrainingRows:
+    """The prepared training rows."""
+    return training.prepare(accounts(spark, sf_dir), ACCOUNTS, feature_set)
 
 
-def rows_of(spark: SparkSession, sf_dir: str, feature_set: str = "baseline"):
-    """The prepared training rows, written once per session and data."""
-    return _rows(spark.sparkContext.applicationId, sf_dir, feature_set)
-
-
-def _train(spark, sf_dir, spec) -> DataFrame:
-    model = training.train_one(spec, rows_of(spark, sf_dir), ACCOUNTS, folds=FOLDS)
-    return metric_tables.metrics_frame(spark, model.metric_rows("run"))
-
-
-@cache
-def _fit(app: str, sf_dir: str, kind: str):
-    data = _rows(app, sf_dir, "baseline")
+def fitted(spark: SparkSession, sf_dir: str, kind: str, data: training.TrainingRows | None = None):
+    """A pipeline fitted on the training rows."""
     spec = (
-        estimators.train_logreg(ACCOUNTS, maxIter=100)
+        estimators.train_logreg(ACCOUNTS)
         if kind == estimators.LOGREG
         else estimators.train_random_forest(ACCOUNTS, **FOREST)
     )
-    return spec.pipeline.fit(data.part(splitting.TRAIN))
+    return spec.pipeline.fit((data or rows_of(spark, sf_dir)).part(splitting.TRAIN))
 
 
-def fitted(spark: SparkSession, sf_dir: str, kind: str):
-    """A pipeline fitted on the training rows."""
-    return _fit(spark.sparkContext.applicationId, sf_dir, kind)
-
-
-@cache
-def _suite(app: str, sf_dir: str):
+def suite(spark: SparkSession, sf_dir: str):
+    """All four models trained and measured."""
     specs = estimators.model_specs(ACCOUNTS, tune=False, forest=FOREST, booster=BOOSTER)
-    return training.train_suite(specs, _rows(app, sf_dir, "baseline"), ACCOUNTS, folds=FOLDS)
+    return training.train_suite(specs, rows_of(spark, sf_dir), ACCOUNTS)
+
+
+def checked_metrics(metrics: DataFrame) -> DataFrame:
+    """Per model and split: rows, positives, and whether the measures are in order.
+
+    The rates must follow from the cells, and every score must be one. Groups of the test
+    part have rows only.
+    """
+    wide = metrics.filter("split <> 'cv'").groupBy("run_id", "model", "split")
+    names = [*training.REPORT, *training.CELLS, "n", "actual_rate", "flagged_rate", "threshold"]
+    wide = wide.agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in names])
+
+    def share(top: Column, bottom: Column) -> Column:
+        return F.when(bottom > 0, top / bottom).otherwise(0.0)
+
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    same = lambda metric, value: F.abs(F.col(metric) - value) < 1e-9
+    whole = (
+        same("precision", share(tp, tp + fp))
+        & same("recall", share(tp, tp + fn))
+        & same("f1", share(2 * tp, 2 * tp + fp + fn))
+        & same("f2", share(5 * tp, 5 * tp + fp + 4 * fn))
+        & F.col("pr_auc").between(0, 1)
+        & F.col("roc_auc").between(0, 1)
+        & (F.col("split") == "test").eqNullSafe(F.col("threshold").isNull())
+    )
+    group = F.col("actual_rate").between(0, 1) & F.col("flagged_rate").between(0, 1)
+    return wide.select(
+        "run_id",
+        "model",
+        "split",
+        F.coalesce("n", tp + fp + fn + tn).cast("bigint").alias("n"),
+        F.coalesce(tp + fn, F.round(F.col("n") * F.col("actual_rate"))).cast("bigint").alias("positives"),
+        F.when(F.col("n").isNull(), whole).otherwise(group).alias("in_order"),
+    )
 
 
-def suite(spark: SparkSession, sf_dir: str):
-    """All four models trained and measured."""
-    return _suite(spark.sparkContext.applicationId, sf_dir)
+def _train(spark, sf_dir, spec, feature_set: str = "baseline") -> DataFrame:
+    model = training.train_one(spec, rows_of(spark, sf_dir, feature_set), ACCOUNTS)
+    return checked_metrics(metric_tables.metrics_frame(spark, model.metric_rows("run")))
 
 
 # Training
 
 
 def train_logreg(spark, sf_dir):
-    return _train(spark, sf_dir, estimators.train_logreg(ACCOUNTS, maxIter=100))
+    return _train(spark, sf_dir, estimators.train_logreg(ACCOUNTS))
 
 
 def train_random_forest(spark, sf_dir):
@@ -92,33 +112,37 @@ def train_gbt_b(spark, sf_dir):
 
 
 def train_engineered(spark, sf_dir):
-    spec = estimators.train_logreg(ACCOUNTS, ENGINEERED, maxIter=100)
-    data = rows_of(spark, sf_dir, ENGINEERED)
-    model = training.train_one(spec, data, ACCOUNTS, folds=FOLDS)
-    return metric_tables.metrics_frame(spark, model.metric_rows("run"))
+    return _train(spark, sf_dir, estimators.train_logreg(ACCOUNTS, ENGINEERED), ENGINEERED)
 
 
 def grid_search(spark, sf_dir):
+    """The maps that were tried, and which one the search took."""
     grid = {"maxDepth": [3, 5], "minInstancesPerNode": [1, 5]}
     spec = estimators.train_random_forest(ACCOUNTS, numTrees=10, grid=grid)
     train = rows_of(spark, sf_dir).part(splitting.TRAIN)
-    search = training.grid_search(spec, train, metric="pr_auc", folds=FOLDS)
-    return training.grid_table(spark, spec, search)
+    search = training.grid_search(spec, train, metric="pr_auc")
+    tried = training.grid_table(spark, spec, search)
+    chosen = F.lit(search.means[search.best])
+    return tried.agg(
+        F.count("*").alias("maps"),
+        F.countDistinct("params").alias("settings"),
+        F.bool_and(F.col("mean") <= chosen).alias("best_taken"),
+        F.bool_and(F.col("mean").between(0, 1) & F.col("std").between(0, 1)).alias("in_order"),
+    )
 
 
 def cv_score(spark, sf_dir):
     """Grid by one metric, selection by another: the chosen model is validated again."""
     spec = estimators.train_random_forest(ACCOUNTS, numTrees=10, grid={"maxDepth": [3, 5]})
     data = rows_of(spark, sf_dir)
-    model = training.train_one(
-        spec, data, ACCOUNTS, grid_metric="pr_auc", select_metric="mcc", folds=FOLDS
-    )
+    model = training.train_one(spec, data, ACCOUNTS, grid_metric="pr_auc", select_metric="mcc")
     rows = [r for r in model.metric_rows("run") if r[2] == "cv"]
-    return metric_tables.metrics_frame(spark, rows)
+    metrics = metric_tables.metrics_frame(spark, rows)
+    return metrics.select("metric", F.col("value").between(-1, 1).alias("in_order"))
 
 
 def train_suite(spark, sf_dir):
-    return training.suite_metrics(spark, suite(spark, sf_dir), "run")
+    return checked_metrics(training.suite_metrics(spark, suite(spark, sf_dir), "run"))
 
 
 def training_run(spark, sf_dir):
@@ -129,17 +153,22 @@ def training_run(spark, sf_dir):
         ACCOUNTS,
         path,
         run_id="r1",
-        settings=training.RunSettings(
-            tune=False, probe_train=True, run_shap=False, folds=FOLDS
-        ),
+        settings=training.RunSettings(tune=False, probe_train=True, run_shap=False),
         models=(estimators.LOGREG, estimators.FOREST),
         forest=FOREST,
     )
-    return metric_tables.read_metrics(spark, f"{path}/metrics")
+    return checked_metrics(metric_tables.read_metrics(spark, f"{path}/metrics"))
 
 
 def suite_winner(spark, sf_dir):
-    return deltas.select_winner(training.cv_results(spark, suite(spark, sf_dir)))
+    """Whether the winner has the best CV score of the four."""
+    results = training.cv_results(spark, suite(spark, sf_dir))
+    best = deltas.select_winner(results).select(F.col("model").alias("won"), F.col("value").alias("top"))
+    return results.crossJoin(best).agg(
+        F.count("*").alias("models"),
+        F.bool_and(F.col("value") <= F.col("top")).alias("best_won"),
+        F.bool_or(F.col("model") == F.col("won")).alias("known"),
+    )
 
 
 def champion_report(spark, sf_dir):
@@ -157,15 +186,29 @@ def champion_report(spark, sf_dir):
 
 def suite_champion(spark, sf_dir):
     results = suite(spark, sf_dir)
+    best = training.winner(results)
     metrics = training.suite_metrics(spark, results, "run")
-    return training.champion_report(metrics, training.winner(results))
+    report = training.champion_report(metrics, best)
+    tests = metrics.filter((F.col("model") == best) & (F.col("split") == "test"))
+    tests = tests.groupBy("model").agg(
+        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in training.REPORT]
+    )
+    same = [F.col(f"report_{m}") == F.col(m) for m in training.REPORT]
+    agrees = same[0]
+    for other in same[1:]:
+        agrees = agrees & other
+    return report.join(tests, "model").select(
+        "selected_by", "threshold_tuned_on", agrees.alias("test_reported"),
+        F.col("threshold").between(0, 1).alias("threshold_known"),
+    )
 
 
 def run_config(spark, sf_dir):
-    config = training.run_config(training.RunSettings(), rows_of(spark, sf_dir).weight)
-    weight = F.get_json_object("config", "$.pos_weight_value").cast("double")
-    row = training.run_config_frame(spark, "run", config)
-    return row.select("run_id", weight.alias("pos_weight_value"))
+    """Every knob of a run that sets some of them, as text."""
+    settings = training.RunSettings(metric="f2", tune=False, threshold_strategy="f2", recall_floor=0.8)
+    row = training.run_config_frame(spark, "run", training.run_config(settings, rows_of(spark, sf_dir).weight))
+    knobs = F.explode(F.from_json("config", "map<string,string>")).alias("knob", "value")
+    return row.select("run_id", knobs).filter("value IS NOT NULL")
 
 
 def baseline_snapshot(spark, sf_dir):
@@ -215,10 +258,30 @@ def model_io(spark, sf_dir):
 
 
 def score_parity(spark, sf_dir):
+    """Batch scores against answers to request lines, as they are and tampered with."""
     model = fitted(spark, sf_dir, estimators.LOGREG)
-    path = work_path(spark, "model")
-    training.save_model(model, path)
-    return _parity(spark, sf_dir, model, training.load_model(path))
+    raw = accounts(spark, sf_dir).drop(ACCOUNTS.label)
+    batch = materialise(_score(spark, sf_dir, model), "batch")
+    requests, responses = work_path(spark, "requests"), work_path(spark, "responses")
+    export_jsonl(raw, ACCOUNTS, requests)
+    scoring.score_requests(
+        spark, requests, responses, model, ACCOUNTS, _instance(raw), threshold=0.3
+    )
+    served = load_batch_output(spark, responses, pattern="*.txt")
+    tampered = F.col("account_id").cast("bigint") % 10 == 0
+    changed = served.filter("account_id NOT IN ('7', '10')").withColumns({
+        "probability": F.when(tampered, F.col("probability") / 2 + 0.25).otherwise(F.col("probability")),
+        "flag": F.when(tampered, 1 - F.col("flag")).otherwise(F.col("flag")),
+    })
+    same = compare_scores(batch, served).withColumn("copy", F.lit("served"))
+    return same.unionByName(compare_scores(batch, changed).withColumn("copy", F.lit("tampered")))
+
+
+def _instance(raw: DataFrame) -> str:
+    """The schema of a request's instance: features as the cleaned table has them, and the id."""
+    numbers = ", ".join(f"{c} double" for c in ACCOUNTS.numeric)
+    texts = ", ".join(f"{c} string" for c in (*ACCOUNTS.categorical, ACCOUNTS.id))
+    return f"{numbers}, {texts}"
 
 
 def _score(spark, sf_dir, model) -> DataFrame:
@@ -258,17 +321,23 @@ def score_batch(spark, sf_dir):
 
 
 def score_and_append(spark, sf_dir):
-    """Two runs appended, one of them twice: the retry adds no rows."""
+    """Two runs appended, one of them again on the next day: the retry adds no rows."""
     path = work_path(spark, "predictions")
     raw = accounts(spark, sf_dir).drop(ACCOUNTS.label)
-    for kind, run in ((estimators.LOGREG, "a"), (estimators.FOREST, "b"), (estimators.FOREST, "b")):
+    data = rows_of(spark, sf_dir)
+    models = {k: fitted(spark, sf_dir, k, data) for k in (estimators.LOGREG, estimators.FOREST)}
+    late, early = datetime(2026, 1, 1, 23, 59, tzinfo=UTC), datetime(2026, 1, 2, 0, 1, tzinfo=UTC)
+    for kind, run, at in (
+        (estimators.LOGREG, "a", late), (estimators.FOREST, "b", late), (estimators.FOREST, "b", early)
+    ):
         scoring.score_and_append(
             raw,
-            fitted(spark, sf_dir, kind),
+            models[kind],
             ACCOUNTS,
             path,
             source_table="accounts",
             run_id=run,
+            scored_at=at,
             threshold=0.3,
             model_name=kind,
             model_version="m/v1",
@@ -299,21 +368,41 @@ def append_batch_output(spark, sf_dir):
 
 
 def score_one_with_actual(spark, sf_dir):
+    """Chosen rows, scored alone and as part of the population."""
+    model = fitted(spark, sf_dir, estimators.FOREST)
     scored = scoring.score_one_with_actual(
         accounts(spark, sf_dir),
         ["7", "10", "100"],
-        fitted(spark, sf_dir, estimators.FOREST),
+        model,
         ACCOUNTS,
         threshold=0.3,
         model_name="model",
     )
-    return scored.select("account_id", "actual", "threshold", "model")
+    return _against_batch(spark, sf_dir, model, scored).select(
+        "account_id", "actual", "threshold", "model", "same_score"
+    )
+
+
+def _against_batch(spark, sf_dir, model, scored: DataFrame) -> DataFrame:
+    """Whether each row's probability is that of the written batch scores."""
+    batch = materialise(_score(spark, sf_dir, model), "batch")
+    batch = batch.select("account_id", F.col("probability").alias("batch_probability"))
+    same = F.abs(F.col("probability") - F.col("batch_probability")) < 1e-12
+    return scored.join(batch, "account_id", "left").withColumn("same_score", F.coalesce(same, F.lit(False)))
 
 
 def rescore_test(spark, sf_dir):
     model = fitted(spark, sf_dir, estimators.FOREST)
-    scored = training.rescore_test(model, accounts(spark, sf_dir), ACCOUNTS)
-    return rounded(scored.agg(F.count("*").alias("n"), F.sum("y").alias("positives"), F.avg("y").alias("prevalence")))
+    scored = training.rescore_test(model, accounts(spark, sf_dir), ACCOUNTS).withColumnRenamed("p", "probability")
+    checked = _against_batch(spark, sf_dir, model, scored)
+    return rounded(
+        checked.agg(
+            F.count("*").alias("n"),
+            F.sum("y").alias("positives"),
+            F.avg("y").alias("prevalence"),
+            F.count_if(~F.col("same_score")).alias("differs"),
+        )
+    )
 
 
 # Comparisons, on metrics of the score log per model
@@ -361,18 +450,54 @@ def rank_importance(spark, sf_dir):
 
 
 def tree_importance(spark, sf_dir):
-    return explain.tree_importance(fitted(spark, sf_dir, estimators.FOREST))
+    """Ranks in the order of shares that add up to 1."""
+    ranked = explain.tree_importance(fitted(spark, sf_dir, estimators.FOREST), None)
+    return _ranked_in_order(ranked).withColumn("adds_up", F.abs(F.col("total") - 1) < 1e-9).drop("total")
+
+
+def _ranked_in_order(ranked: DataFrame) -> DataFrame:
+    other = ranked.select(F.col("rank").alias("next"), F.col("importance").alias("next_importance"))
+    paired = ranked.join(other, F.col("next") == F.col("rank") + 1, "left")
+    return paired.agg(
+        F.count("*").alias("features"),
+        F.max("rank").cast("bigint").alias("last_rank"),
+        F.bool_and(F.col("importance") >= F.coalesce("next_importance", F.lit(0.0))).alias("in_order"),
+        F.sum("importance").alias("total"),
+    )
 
 
 def probe_audit(spark, sf_dir):
-    train = rows_of(spark, sf_dir).part(splitting.TRAIN)
-    return explain.probe_audit(train, ACCOUNTS, folds=FOLDS, **FOREST)
+    """What is dropped are the features below the mean of the probes."""
+    audit = _audit(spark, sf_dir)
+    limit = audit.filter("probe").agg(F.avg("importance").alias("limit"))
+    below = F.col("importance") < F.col("limit")
+    clear = F.abs(F.col("importance") - F.col("limit")) > 1e-9
+    return audit.crossJoin(limit).agg(
+        F.count_if(~F.col("probe")).alias("features"),
+        F.count_if("probe").alias("probes"),
+        F.bool_and((F.col("dropped") == (below & ~F.col("probe"))) | ~clear).alias("in_order"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up"),
+    )
+
+
+def _audit(spark, sf_dir) -> DataFrame:
+    return explain.probe_audit(rows_of(spark, sf_dir).part(splitting.TRAIN), ACCOUNTS, **FOREST)
 
 
 def probe_kept(spark, sf_dir):
-    kept = explain.probe_kept(probe_audit(spark, sf_dir))
-    rows = [(i + 1, n) for i, n in enumerate(kept)]
-    return local_frame(spark, rows, "position int, feature string")
+    """The kept names are the audit's features that are not dropped, strongest first."""
+    audit = _audit(spark, sf_dir)
+    kept = [(i + 1, n) for i, n in enumerate(explain.probe_kept(audit))]
+    names = local_frame(spark, kept, "position int, feature string")
+    both = audit.filter("NOT probe").join(names, "feature", "left")
+    order = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    both = both.withColumn("before", F.min(F.when(F.col("position").isNotNull(), F.col("importance"))).over(order))
+    falling = F.col("position").isNull() | F.col("before").isNull() | (F.col("importance") <= F.col("before"))
+    return both.agg(
+        F.count("*").alias("features"),
+        F.bool_and(F.col("dropped") == F.col("position").isNull()).alias("kept_only"),
+        F.bool_and(falling).alias("in_order"),
+    )
 
 
 def probe_correlations(spark, sf_dir):
@@ -382,19 +507,22 @@ def probe_correlations(spark, sf_dir):
 
 def shap_importance(spark, sf_dir):
     data = rows_of(spark, sf_dir)
-    return explain.shap_importance(
-        fitted(spark, sf_dir, estimators.FOREST),
+    ranked = explain.shap_importance(
+        fitted(spark, sf_dir, estimators.FOREST, data),
         data.part(splitting.TRAIN),
         data.part(splitting.VALIDATION),
         ACCOUNTS.id,
-        draws=20,
     )
+    return _ranked_in_order(ranked).drop("total")
 
 
 def odds_ratios(spark, sf_dir):
-    return explain.odds_ratios(
+    """Levels by setting, and that each ratio is exp of its coefficient."""
+    ratios = explain.odds_ratios(
         accounts(spark, sf_dir), ACCOUNTS, "contract", ["tenure", "monthly", "total_text"]
     )
+    same = F.abs(F.col("odds_ratio") - F.exp("beta")) < 1e-9
+    return ratios.select("drop_first", "strength", "feature", same.alias("in_order"))
 
 
 QUERIES: dict[str, Query] = {

@@ -530,10 +530,7 @@ ORACLE.update(
             FROM (SELECT feature, round(abs(correlation), 6) AS importance
                   FROM ({_corr_rows(_exploration(drop_first=False), "amounts")}) WHERE correlation IS NOT NULL)
             ORDER BY importance DESC, feature LIMIT 20""",
-        "run_config": f"""{FROM_PARTS} SELECT 'run' AS run_id, round(sqrt(CAST(count(*) FILTER (WHERE y = 0) AS DOUBLE)
-            / greatest(count(*) FILTER (WHERE y = 1), 1)), 4) AS pos_weight_value FROM parts WHERE split = 'train'""",
         "model_io": _parity,
-        "score_parity": _parity,
         "score_batch": f"""{FROM_CLEANED} SELECT account_id, CAST(0.3 AS DOUBLE) AS threshold, 'model' AS model,
             'm/v1' AS model_version, true AS within, true AS agrees FROM cleaned""",
         "score_and_append": f"""{FROM_CLEANED} SELECT run_id, model, CAST(0.3 AS DOUBLE) AS threshold, scored
@@ -543,10 +540,71 @@ ORACLE.update(
             'm/v1' AS model_version, max(probability) AS probability, 'r1' AS run_id, max(threshold) AS threshold
             FROM score_log GROUP BY account_id""",
         "score_one_with_actual": f"""{FROM_CLEANED} SELECT account_id, CAST(y AS INTEGER) AS actual,
-            CAST(0.3 AS DOUBLE) AS threshold, 'model' AS model FROM cleaned WHERE account_id IN ('7', '10', '100')""",
+            CAST(0.3 AS DOUBLE) AS threshold, 'model' AS model, true AS same_score FROM cleaned WHERE account_id IN ('7', '10', '100')""",
         "rescore_test": f"""{FROM_PARTS} SELECT count(*) AS n, CAST(sum(y) AS BIGINT) AS positives,
-            round(avg(y), 6) AS prevalence FROM parts WHERE split = 'test'""",
+            round(avg(y), 6) AS prevalence, CAST(0 AS BIGINT) AS differs FROM parts WHERE split = 'test'""",
         "probe_correlations": f"""{FROM_PARTS}, tr_rows AS (SELECT * FROM parts WHERE split = 'train') """
         + _top_corr([(c, f"num__{c}") for c in NUMERIC] + _dummies(prefix="cat__"), "tr_rows", 15),
     }
 )
+
+
+# Fitted models: what does not depend on the fit.
+
+
+def _measured(models: dict[str, list[str]]) -> str:
+    """Rows and positives of each run, model and split."""
+    names = ", ".join(f"('{run}', '{m}')" for run, ms in models.items() for m in ms)
+    return f"""{FROM_PARTS}, models(run_id, model) AS (VALUES {names}),
+measured AS (
+  SELECT split, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives FROM parts
+  WHERE split IN ('validation', 'test') GROUP BY split
+  UNION ALL SELECT concat('test:segment=', segment), count(*), CAST(sum(y) AS BIGINT) FROM parts
+  WHERE split = 'test' GROUP BY segment)
+SELECT run_id, model, split, n, positives, true AS in_order FROM models, measured"""
+
+
+_ENCODED = len(NUMERIC) + len(_dummies())
+_ALL = ["logreg", "random_forest", "gbt_a", "gbt_b"]
+
+ORACLE.update({f"train_{m}": _measured({"run": [m]}) for m in _ALL})
+ORACLE.update(
+    {
+        "train_engineered": _measured({"run": ["logreg"]}),
+        "train_suite": _measured({"run": _ALL}),
+        "training_run": _measured({r: ["logreg", "random_forest"] for r in ("r1", "r1-slim")}),
+        "grid_search": """SELECT CAST(4 AS BIGINT) AS maps, CAST(4 AS BIGINT) AS settings, true AS best_taken,
+            true AS in_order""",
+        "cv_score": """SELECT metric, true AS in_order
+            FROM (VALUES ('cv_score'), ('cv_mcc'), ('cv_std'), ('grid_score')) AS m(metric)""",
+        "suite_winner": "SELECT CAST(4 AS BIGINT) AS models, true AS best_won, true AS known",
+        "suite_champion": """SELECT 'cv_f1 on train (stratified CV)' AS selected_by, 'validation' AS threshold_tuned_on,
+            true AS test_reported, true AS threshold_known""",
+        "tree_importance": f"""SELECT CAST({_ENCODED} AS BIGINT) AS features, CAST({_ENCODED} AS BIGINT) AS last_rank,
+            true AS in_order, true AS adds_up""",
+        "probe_audit": f"""SELECT CAST({_ENCODED} AS BIGINT) AS features, CAST(3 AS BIGINT) AS probes,
+            true AS in_order, true AS adds_up""",
+        "probe_kept": f"SELECT CAST({_ENCODED} AS BIGINT) AS features, true AS kept_only, true AS in_order",
+        "shap_importance": f"""SELECT CAST({_ENCODED} AS BIGINT) AS features, CAST({_ENCODED} AS BIGINT) AS last_rank,
+            true AS in_order""",
+        "odds_ratios": f"""{FROM_ACCOUNTS}, levels AS (SELECT DISTINCT concat('contract_', contract) AS feature FROM accounts),
+settings(drop_first, strength) AS (VALUES (false, CAST(1 AS DOUBLE)), (false, CAST(100 AS DOUBLE)), (true, CAST(1 AS DOUBLE)))
+SELECT drop_first, strength, feature, true AS in_order FROM settings, levels
+WHERE NOT drop_first OR feature <> (SELECT min(feature) FROM levels)""",
+        "run_config": f"""{FROM_PARTS}, w AS (SELECT round(sqrt(CAST(count(*) FILTER (WHERE y = 0) AS DOUBLE)
+    / greatest(count(*) FILTER (WHERE y = 1), 1)), 4) AS weight FROM parts WHERE split = 'train')
+SELECT 'run' AS run_id, knob, value FROM (VALUES ('feature_set', 'baseline'), ('tune', 'false'), ('metric', 'f2'),
+  ('grid_metric', 'f2'), ('select_metric', 'f2'), ('metrics_aligned', 'true'), ('pos_weight_mode', 'sqrt'),
+  ('threshold_strategy', 'f2'), ('recall_floor', '0.8'), ('probe_audit', 'false'), ('probe_train', 'false'),
+  ('save_baseline', 'false'), ('run_shap', 'true'), ('folds', '5'), ('parallelism', '2'),
+  ('threshold_tuned_on', 'validation'),
+  ('data_split', '{{"test":0.15,"train":0.7,"validation":0.15}}')) AS k(knob, value)
+UNION ALL SELECT 'run', 'pos_weight_value', CAST(weight AS VARCHAR) FROM w""",
+        "score_parity": f"""{FROM_CLEANED}, t AS (SELECT account_id, CAST(account_id AS BIGINT) % 10 = 0 AS changed FROM cleaned)
+SELECT 'served' AS copy, count(*) AS compared, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right,
+  CAST(0 AS BIGINT) AS probability_differs, CAST(0 AS BIGINT) AS flag_differs FROM t
+UNION ALL SELECT 'tampered', count(*) FILTER (WHERE account_id NOT IN ('7', '10')),
+  count(*) FILTER (WHERE account_id IN ('7', '10')), 0,
+  count(*) FILTER (WHERE changed AND account_id <> '10'), count(*) FILTER (WHERE changed AND account_id <> '10') FROM t""",
+    }
+)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 MISSING_LEVEL = "<NA>"
 
-NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def quoted(column: str) -> str:
@@ -22,7 +22,7 @@ def name(column: str) -> Column:
 
 
 def is_numeric(dtype: str) -> bool:
-    return dtype.startswith(NUMERIC_TYPES)
+    return dtype in NUMERIC_TYPES or dtype.startswith("decimal(")
 
 
 def to_number(column: Column, dtype: str) -> Column:
@@ -62,8 +62,9 @@ def binary_label(column: Column, dtype: str, positive: str = "Yes", negative: st
 
 
 def hash_key(column: Column, salt: str) -> Column:
-    """A repeatable pseudo-random order key: md5 of salt and id."""
-    return F.md5(F.concat(F.lit(salt), column.cast("string")))
+    """A repeatable pseudo-random order key: md5 of salt and id. A NULL id fails the job."""
+    missing = F.raise_error(F.lit("An id is NULL: rows are split and sampled by their ids"))
+    return F.coalesce(F.md5(F.concat(F.lit(salt), column.cast("string"))), missing)
 
 
 def ratio(numerator: Column, denominator: Column, empty: float | None = None) -> Column:

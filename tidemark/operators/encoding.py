@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import as_level, name, to_number
 
-# One dummy column per level is meant for categories of few levels; an id column listed
-# as a category by mistake is refused instead of planning millions of columns.
-MAX_LEVELS = 10_000
-
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct levels (column, level) of categorical columns, from one scan."""
@@ -30,10 +26,11 @@ def fit_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def collect_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Levels of each column in ascending order, on the driver."""
-    rows = fit_levels(df, columns).limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"More than {MAX_LEVELS} levels in {list(columns)}: not categories")
+    """Levels of each column in ascending order.
+
+    They are part of a fitted model, and so on the driver, as the labels of an indexer are.
+    """
+    rows = fit_levels(df, columns).collect()
     found: dict[str, list[str]] = {c: [] for c in columns}
     for row in rows:
         found[row["column"]].append(row["level"])
@@ -183,13 +180,15 @@ class FeaturePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
         Params._dummy(), "fitted", "moments and dummies as JSON", TypeConverters.toString
     )
 
-    def _columns(self, types: dict[str, str]) -> dict[str, Column]:
+    def _columns(self, types: dict[str, str], dummies: bool = True) -> dict[str, Column]:
         state = json.loads(self.getOrDefault("fitted"))
         columns = {}
         for c, (mean, std) in state["moments"].items():
             value = to_number(name(c), types.get(c, "double"))
             unscaled = mean == 0.0 and std == 1.0
             columns[f"num__{c}"] = value if unscaled else (value - F.lit(mean)) / F.lit(std)
+        if not dummies:
+            return columns
         texts = {
             c: as_level(name(c), types.get(c, "string")) for c in dict(state["dummies"])
         }
@@ -199,12 +198,16 @@ class FeaturePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
 
     def check_selection(self) -> None:
         """An unknown encoded name among the selected ones is an error."""
-        unknown = sorted(set(self.getOrDefault("selected")) - set(self._columns({})))
+        unknown = sorted(set(self.getOrDefault("selected")) - set(self._names()))
         if unknown:
             raise ValueError(f"Unknown encoded features for selection: {unknown[:5]}")
 
     def feature_names(self) -> list[str]:
-        return self.getOrDefault("selected") or list(self._columns({}))
+        return self.getOrDefault("selected") or self._names()
+
+    def _names(self) -> list[str]:
+        state = json.loads(self.getOrDefault("fitted"))
+        return [*(f"num__{c}" for c in state["moments"]), *(f"cat__{c}_{v}" for c, v in state["dummies"])]
 
     def encoded(self, dataset: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """The encoded matrix as named columns, next to the columns ``keep``."""
@@ -214,9 +217,38 @@ class FeaturePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
         )
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        columns = self._columns(dict(dataset.dtypes))
-        vector = array_to_vector(F.array(*[columns[n] for n in self.feature_names()]))
-        return dataset.withColumn(self.getOrDefault("outputCol"), vector)
+        """Sparse vectors: a level is looked up once per column, however many levels there are."""
+        state = json.loads(self.getOrDefault("fitted"))
+        types = dict(dataset.dtypes)
+        output = self.getOrDefault("outputCol")
+        levels: dict[str, list[str]] = {}
+        for c, level in state["dummies"]:
+            levels.setdefault(c, []).append(level)
+        encoded = self._columns(types, dummies=False)
+        numbers = list(encoded)
+        parts = [f"_number_{i}" for i in range(len(numbers))]
+        rows = dataset.withColumns({p: encoded[n] for p, n in zip(parts, numbers, strict=True)})
+        if levels:
+            texts, places, hot = ([f"_{k}_{i}" for i in range(len(levels))] for k in ("text", "place", "hot"))
+            rows = rows.withColumns(
+                {t: as_level(name(c), types.get(c, "string")) for t, c in zip(texts, levels, strict=True)}
+            )
+            # Levels that have no dummy share the place behind the last, which is dropped.
+            for own, text, place in zip(levels.values(), texts, places, strict=True):
+                rows = StringIndexerModel.from_labels(own, text, place, handleInvalid="keep").transform(rows)
+            rows = OneHotEncoder(inputCols=places, outputCols=hot, dropLast=True).fit(rows).transform(rows)
+            parts = [*parts, *hot]
+            rows = rows.drop(*texts, *places)
+        rows = VectorAssembler(inputCols=parts, outputCol="_all", handleInvalid="error").transform(rows)
+        rows = rows.drop(*parts)
+        order = [*numbers, *[f"cat__{c}_{level}" for c, own in levels.items() for level in own]]
+        position = {n: i for i, n in enumerate(order)}
+        wanted = [position[n] for n in self.feature_names()]
+        if wanted != list(range(len(order))):
+            rows = VectorSlicer(inputCol="_all", outputCol="_some", indices=wanted).transform(rows)
+            rows = rows.drop("_all").withColumnRenamed("_some", "_all")
+        # Without the attributes, which would make trees treat dummies as categories.
+        return rows.withColumn(output, F.col("_all").alias("_all", metadata={})).drop("_all")
 
 
 def encode_matrix(

@@ -138,18 +138,6 @@ def quartiles_by_label(df: DataFrame, roles: ColumnRoles, columns: Sequence[str]
     return quartiles.withColumnRenamed("grp", "label")
 
 
-def quartiles_approx(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """Quartiles from a sketch, in one pass, for tables where one scan is all there is."""
-    types = dict(df.dtypes)
-    probs = [0.25, 0.5, 0.75]
-    return df.agg(
-        *[
-            F.percentile_approx(to_number(name(c), types[c]), probs, accuracy).alias(c)
-            for c in columns
-        ]
-    )
-
-
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column (NULL or NaN)."""
     types = dict(df.dtypes)

@@ -1,22 +1,21 @@
 """Exact quantiles, linearly interpolated, for tables of any size.
 
-A sketch aggregate brackets each wanted rank between two values; one more pass counts
-the rows below the bracket and the distinct values inside it. The answer is checked
-against the counts, so a poor sketch costs time and never accuracy. The built-in exact
-``percentile`` would hold every distinct value of a group in one task instead.
+A sketch aggregate brackets each wanted rank between two values; more passes count the
+rows below the brackets and the distinct values inside them. Groups, targets and results
+are frames, for any number of groups. The built-in exact ``percentile`` would hold every
+distinct value of a group in one task instead.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import name
 from tidemark.functions.columns import to_number
-from tidemark.session import SMALL_ROWS, local_frame
+from tidemark.session import materialise
 
 ACCURACY = 100_000
 
@@ -59,106 +58,68 @@ def summarise(
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None
 ) -> DataFrame:
-    """Rows (grp, column, prob, value): the quantile with linear interpolation.
-
-    ``by`` is a column of few levels, such as the label: its levels times the columns are
-    the rows the driver plans with.
-    """
-    long = unpivot_numbers(df, columns, by)
-    groups, value_at = _search(df, columns, probs, by)
-    rows = [
-        (g["grp"], g["column"], float(p), value_at[g["grp"], g["column"], float(p)])
-        for g in groups
-        for p in probs
-    ]
-    group_type = dict(long.dtypes)["grp"]
-    return local_frame(
-        df.sparkSession, rows, f"grp {group_type}, column string, prob double, value double"
-    )
+    """Rows (grp, column, prob, value): the quantile with linear interpolation."""
+    return _quantiles(df, columns, probs, by).select("grp", "column", "prob", "value")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max of each numeric column."""
-    probs = (0.25, 0.5, 0.75)
-    groups, value_at = _search(df, columns, probs, None)
-    rows = []
-    for g in groups:
-        quartiles = [value_at[g["grp"], g["column"], p] for p in probs]
-        rows.append((g["column"], g["n"], g["mean"], g["std"], g["min"], *quartiles, g["max"]))
-    return local_frame(
-        df.sparkSession,
-        rows,
-        "column string, count bigint, mean double, std double, min double,"
-        " q25 double, q50 double, q75 double, max double",
-    )
+    found = _quantiles(df, columns, (0.25, 0.5, 0.75), None)
+    quartile = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))
+    return found.groupBy("column", "n", "mean", "std", "min", "max").agg(
+        quartile(0.25).alias("q25"), quartile(0.5).alias("q50"), quartile(0.75).alias("q75")
+    ).select("column", F.col("n").alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def _search(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None
-) -> tuple[list[Row], dict[tuple, float]]:
-    """Summary rows per group and column, and the interpolated quantiles."""
+def _quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None) -> DataFrame:
+    """The summary of each group and column, with each quantile (prob, value)."""
     slack = 2.0 / ACCURACY
     bounds = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)})
-    groups = summarise(df, columns, by, bounds).limit(SMALL_ROWS + 1).collect()
-    if len(groups) > SMALL_ROWS:
-        raise ValueError(f"{by} has too many levels for a report by group")
-    targets = []
-    for g in groups:
-        sketch = dict(zip(bounds, g["sketch"], strict=True))
-        for p in probs:
-            low, high = sketch[max(p - slack, 0.0)], sketch[min(p + slack, 1.0)]
-            for rank in sorted(set(_ranks(g["n"], p)[:2])):
-                targets.append((g["grp"], g["column"], float(p), rank, low, high))
+    groups = materialise(summarise(df, columns, by, bounds), "summary")
+    # Up to ACCURACY rows the bracket is the whole group; beyond, the sketch's error is less
+    # than its slack, which is two rows at least.
+    whole = F.col("n") <= ACCURACY
+    edge = lambda p, end: F.when(whole, F.col(end)).otherwise(F.col("sketch")[bounds.index(p)])
+    wanted = []
+    for p in map(float, probs):
+        position = (F.col("n") - 1) * F.lit(p)
+        for rank in (F.floor(position) + 1, F.ceil(position) + 1):
+            low, high = edge(max(p - slack, 0.0), "min"), edge(min(p + slack, 1.0), "max")
+            wanted.append(F.struct(rank.cast("long").alias("rank"), low.alias("low"), high.alias("high")))
+    targets = groups.select(
+        F.col("grp").alias("g"), F.col("column").alias("c"), F.array(*wanted).alias("targets")
+    )
     long = unpivot_numbers(df, columns, by)
-    found = _values_at(long, targets)
-    missed = [t for t in targets if t[:4] not in found]
-    if missed:
-        found.update(_values_at(long, [(*t[:4], -math.inf, math.inf) for t in missed]))
-    values = {}
-    for g in groups:
-        for p in probs:
-            below, above, share = _ranks(g["n"], p)
-            low = found[g["grp"], g["column"], float(p), below]
-            high = found[g["grp"], g["column"], float(p), above]
-            values[g["grp"], g["column"], float(p)] = low + (high - low) * share
-    return groups, values
-
-
-def _ranks(n: int, p: float) -> tuple[int, int, float]:
-    """The two ranks (from 1) a quantile lies between, and how far along."""
-    position = (n - 1) * p
-    return math.floor(position) + 1, math.ceil(position) + 1, position - math.floor(position)
-
-
-def _values_at(long: DataFrame, targets: list[tuple]) -> dict[tuple, float]:
-    """The value at each wanted rank whose bracket held; the others are left out."""
-    spark = long.sparkSession
-    group_type = dict(long.dtypes)["grp"]
-    wanted = local_frame(
-        spark,
-        targets,
-        f"g {group_type}, c string, prob double, wanted bigint, low double, high double",
+    placed = long.join(targets, F.col("grp").eqNullSafe(F.col("g")) & (F.col("column") == F.col("c")))
+    below = placed.groupBy("grp", "column").agg(
+        F.array(*[F.count_if(F.col("value") < F.col("targets")[i]["low"]) for i in range(len(wanted))]).alias("below")
     )
-    # Everything below the bracket collapses to one row per task before the shuffle.
-    counted = (
-        long.join(wanted, F.col("grp").eqNullSafe(F.col("g")) & (F.col("column") == F.col("c")))
-        .filter(F.col("value") <= F.col("high"))
-        .withColumn("inside", F.when(F.col("value") >= F.col("low"), F.col("value")))
-        .groupBy("g", "c", "prob", "wanted", "inside")
-        .count()
+    # Values outside all brackets are only counted; the others are merged before the shuffle.
+    inside = F.filter(
+        F.sequence(F.lit(0), F.lit(len(wanted) - 1)),
+        lambda i: F.col("value").between(F.col("targets")[i]["low"], F.col("targets")[i]["high"]),
     )
-    order = (
-        Window.partitionBy("g", "c", "prob", "wanted")
-        .orderBy(F.asc_nulls_first("inside"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = placed.select(
+        "grp", "column", "value", F.explode(inside).alias("i"), F.col("targets")[F.col("i")]["rank"].alias("rank")
     )
-    hits = (
-        counted.withColumn("upto", F.sum("count").over(order))
-        .filter(
-            F.col("inside").isNotNull()
-            & (F.col("upto") >= F.col("wanted"))
-            & (F.col("upto") - F.col("count") < F.col("wanted"))
-        )
-        .collect()
+    counted = counted.groupBy("grp", "column", "i", "rank", "value").count()
+    order = Window.partitionBy("grp", "column", "i").orderBy("value")
+    order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = counted.withColumn("upto", F.sum("count").over(order))
+    both = below.select(F.col("grp").alias("g"), F.col("column").alias("c"), "below")
+    counted = counted.join(both, F.col("grp").eqNullSafe(F.col("g")) & (F.col("column") == F.col("c")))
+    rank = F.col("rank") - F.col("below")[F.col("i")]
+    hits = counted.filter((F.col("upto") >= rank) & (F.col("upto") - F.col("count") < rank))
+    at = lambda i: F.max(F.when(F.col("i") == i, F.col("value")))
+    values = hits.groupBy(F.col("grp").alias("g"), F.col("column").alias("c")).agg(
+        F.array(*[at(i) for i in range(len(wanted))]).alias("values")
     )
-    return {(r["g"], r["c"], r["prob"], r["wanted"]): r["inside"] for r in hits}
+    joined = groups.join(values, F.col("grp").eqNullSafe(F.col("g")) & (F.col("column") == F.col("c")))
+    found = []
+    for k, p in enumerate(map(float, probs)):
+        position = (F.col("n") - 1) * F.lit(p)
+        low, high = F.col("values")[2 * k], F.col("values")[2 * k + 1]
+        value = low + (high - low) * (position - F.floor(position))
+        found.append(F.struct(F.lit(p).alias("prob"), value.alias("value")))
+    rows = joined.withColumn("found", F.explode(F.array(*found)))
+    return rows.select("grp", "column", "n", "mean", "std", "min", "max", "found.prob", "found.value")

@@ -35,14 +35,12 @@ HASH = "_hash"
 def value_buckets(df: DataFrame, column: str, bucket: str = "bucket") -> DataFrame:
     """Add a bucket number that rises with ``column``, about equal row counts per bucket.
 
-    A table that fits one bucket gets no such column.
-
     The edges come from one sketch aggregate (partial on every task, at most
     ``MAX_BUCKETS`` numbers on the driver). They steer balance only, never results.
     """
     edges = _edges(df, column)
     if not edges:
-        return df
+        return df.withColumn(bucket, F.lit(0.0))
     bucketizer = Bucketizer(
         splits=[-float("inf"), *edges, float("inf")], inputCol=column, outputCol=bucket
     )
@@ -68,16 +66,8 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
     """Cumulative sums of ``sums`` by ``order`` descending, over rows already distinct in it.
 
     Adds ``cum_x`` and the overall ``total_x`` for each x of ``sums``. The ``bucket`` column
-    of :func:`value_buckets` splits the work; without one, all rows fit one bucket.
+    of :func:`value_buckets` splits the work.
     """
-    if "bucket" not in df.columns:
-        whole = Window.orderBy(F.desc(order))
-        upto = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return df.withColumns(
-            {f"cum_{c}": F.sum(c).over(upto) for c in sums}
-            | {f"total_{c}": F.sum(c).over(every) for c in sums}
-        )
     totals = df.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums])
     # One row per bucket, so this window sees at most MAX_BUCKETS rows, and the
     # broadcast below has the same bound.

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from tidemark.functions import name
 from tidemark.operators.cleaning import scoring_features, validate_schema
@@ -34,8 +35,8 @@ def score_batch(
 
     Columns ``keep`` of the raw table are passed on behind the six score columns.
     """
-    features = scoring_features(raw, roles, keep)
-    validate_schema(features, roles.feature_columns(), exact=False)
+    needed = [roles.id, roles.tenure, roles.amount, *roles.feature_columns(), *keep]
+    features = scoring_features(validate_schema(raw, needed, exact=False), roles, keep)
     predicted = positive_probability(model.transform(features), cols.probability)
     flagged = threshold_flag(predicted, threshold, cols)
     return flagged.select(
@@ -72,6 +73,33 @@ def score_and_append(
     return run_summary(read_predictions(raw.sparkSession, path, cols, run_id=run_id), cols=cols)
 
 
+def score_requests(
+    spark: SparkSession,
+    requests: str,
+    responses: str,
+    model: PipelineModel,
+    roles: ColumnRoles,
+    schema: str,
+    *,
+    threshold: float,
+    cols: ScoreColumns = SCORES,
+) -> None:
+    """Answer request lines with response lines, as an external prediction service does.
+
+    ``schema`` is that of one instance. A line that is no request fails the job.
+    """
+    instance = StructType([StructField("instances", ArrayType(StructType.fromDDL(schema)))])
+    lines = spark.read.text(requests)
+    parsed = lines.select(F.from_json("value", instance, {"mode": "FAILFAST"}).alias("request"))
+    rows = parsed.select(F.explode("request.instances").alias("row")).select("row.*")
+    scored = score_batch(
+        rows, model, roles, threshold=threshold, model_name="", model_version="", cols=cols
+    )
+    fields = [name(c) for c in (cols.id, cols.probability, cols.flag, cols.threshold)]
+    answer = F.struct(F.array(F.struct(*fields)).alias("predictions"))
+    scored.select(F.to_json(answer).alias("value")).write.mode("overwrite").text(responses)
+
+
 def append_batch_output(
     spark: SparkSession,
     responses: str,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import name
 from tidemark.operators import cleaning, curves, fairness, splitting
 from tidemark.plans.estimators import (
+    FEATURES,
     LABEL,
     WEIGHT,
     MetricEvaluator,
@@ -24,7 +25,7 @@ from tidemark.plans.estimators import (
     positive_probability,
 )
 from tidemark.roles import BASELINE, ColumnRoles
-from tidemark.session import local_frame, materialise, path_exists
+from tidemark.session import local_frame, materialise, path_exists, scratch
 from tidemark.sources.metrics import metrics_frame
 
 DEFAULT_METRIC = "f1"
@@ -70,11 +71,14 @@ class TrainedModel:
     validation: Row
     test: Row
     groups: list[Row] = field(default_factory=list)
+    select_metric: str = DEFAULT_METRIC
 
     def metric_rows(self, run_id: str) -> list[tuple]:
         """Long rows (run_id, model, split, metric, value)."""
         rows = [
             (run_id, self.name, "cv", "cv_score", self.cv_score),
+            # The same under the name of the metric that it is the score of.
+            (run_id, self.name, "cv", f"cv_{self.select_metric}", self.cv_score),
             (run_id, self.name, "cv", "cv_std", self.cv_std),
             (run_id, self.name, "validation", "threshold", self.threshold),
         ]
@@ -131,7 +135,7 @@ def prepare(
     rows = splitting.stratified_folds(rows, roles.id, LABEL, keys=train_keys, folds=folds)
     rows = rows.withColumn("fold", F.when(in_train, F.col("fold")))
     weighted = splitting.with_weight(rows, LABEL, weight, WEIGHT)
-    return TrainingRows(materialise(weighted, "rows", ["split"]), roles, weight)
+    return TrainingRows(materialise(weighted, "rows", ["split", "fold"]), roles, weight)
 
 
 @dataclass
@@ -160,18 +164,21 @@ def cross_validate(
     evaluator = MetricEvaluator(metric=metric)
     scores: list[list[float]] = [[] for _ in spec.grid]
     for fold in range(folds):
-        fit_rows, held_out = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
-        prep = spec.prep.fit(fit_rows)
-        fit_vectors, held_vectors = prep.transform(fit_rows), prep.transform(held_out)
-
-        def score(params: dict) -> float:
-            model = spec.classifier.fit(fit_vectors, params)
-            return evaluator.evaluate(model.transform(held_vectors))
-
-        with ThreadPool(min(parallelism, len(spec.grid))) as pool:
-            fold_scores = pool.map(inheritable_thread_target(train.sparkSession)(score), spec.grid)
-        for own, value in zip(scores, fold_scores, strict=True):
-            own.append(value)
+        fit_rows = train.filter(F.col("fold") != fold)
+        encoded = spec.prep.fit(fit_rows).transform(train.filter(F.col("fold").isNotNull()))
+        encoded = encoded.select(name(LABEL), WEIGHT, "fold", FEATURES)
+        # Encoded once for all maps; a fit or an evaluation reads its own folds only.
+        with scratch(encoded, "vectors", ["fold"]) as vectors:
+            fit_vectors, held_vectors = vectors.filter(F.col("fold") != fold), vectors.filter(F.col("fold") == fold)
+
+            def score(params: dict, fit_vectors=fit_vectors, held_vectors=held_vectors) -> float:
+                model = spec.classifier.fit(fit_vectors, params)
+                return evaluator.evaluate(model.transform(held_vectors))
+
+            with ThreadPool(min(parallelism, len(spec.grid))) as pool:
+                fold_scores = pool.map(inheritable_thread_target(train.sparkSession)(score), spec.grid)
+            for own, value in zip(scores, fold_scores, strict=True):
+                own.append(value)
     return [fmean(s) for s in scores], [pstdev(s) for s in scores]
 
 
@@ -258,6 +265,7 @@ def train_one(
         curves.evaluate_curve(curve, threshold).first(),
         curves.evaluate(test, threshold, LABEL, "p").first(),
         groups,
+        select_metric,
     )
 
 
@@ -283,6 +291,13 @@ def winner(results: dict[str, TrainedModel]) -> str:
     return max(results, key=lambda k: results[k].cv_score)
 
 
+def cv_metrics(metrics: DataFrame) -> DataFrame:
+    """Rows (model, metric, value) of the CV scores, by the name of their metric."""
+    named = F.col("metric").startswith("cv_") & ~F.col("metric").isin("cv_score", "cv_std")
+    wanted = metrics.filter((F.col("split") == "cv") & named)
+    return wanted.select("model", "metric", "value")
+
+
 def report_metrics(metrics: DataFrame, split: str = "test") -> DataFrame:
     """Headline rows (model, metric, value) of one split."""
     wanted = metrics.filter((F.col("split") == split) & F.col("metric").isin(*REPORT))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import cache
 
 import pyarrow as pa
@@ -13,9 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Rows that may be turned into a local relation (and so be broadcast by the planner).
-SMALL_ROWS = 10_000
-
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "tidemark") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own session."""
@@ -74,16 +72,17 @@ def materialise(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Turn a frame of at most ``limit`` rows into a local relation of known size.
-
-    The planner then broadcasts it because it knows that it is small. A larger frame is
-    written once and joined by shuffle, so the result is the same either way.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        return local_frame(df.sparkSession, rows, df.schema)
-    return materialise(df)
+@contextmanager
+def scratch(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """A materialised frame whose table is deleted when the block ends."""
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: StructType | str) -> DataFrame:
