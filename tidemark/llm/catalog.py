@@ -150,7 +150,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(generate_series(1, len(ws) - 4), i -> array_to_string(ws[i:i + 4], ' ')) END) AS g
+    ELSE list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 h AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
@@ -167,9 +167,9 @@ GROUP BY d.doc_id, n.n
 
 ORACLE["op10_block_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
