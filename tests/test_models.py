@@ -408,3 +408,13 @@ def test_the_metric_of_a_score_is_stored(suite):
     rows = suite[estimators.LOGREG].metric_rows("r")
     by_name = {r[3]: r[4] for r in rows if r[2] == "cv"}
     assert by_name["cv_f1"] == by_name["cv_score"]
+
+
+def test_a_sample_bounds_the_rows_of_fits_only(spark):
+    raw = population(spark, 240)
+    whole = training.prepare(raw, TELCO, BASELINE, folds=3)
+    some = training.prepare(raw, TELCO, BASELINE, folds=3, sample=40)
+    assert some.part("train").count() == 40
+    for split in ("validation", "test"):
+        ids = [sorted(r[0] for r in d.part(split).select(TELCO.id).collect()) for d in (whole, some)]
+        assert ids[0] == ids[1]

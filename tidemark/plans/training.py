@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import name
 from tidemark.operators import cleaning, curves, fairness, splitting
+from tidemark.operators.sampling import sample_fixed
 from tidemark.plans.estimators import (
     FEATURES,
     LABEL,
@@ -115,9 +116,12 @@ def prepare(
     *,
     weight_mode: str = "sqrt",
     folds: int = splitting.FOLDS,
+    sample: int | None = None,
 ) -> TrainingRows:
     """Clean, split, fold and weight a raw table, and write the rows once, by part.
 
+    ``sample`` bounds the rows that models are fitted on: that many of the train part, by
+    the order of their hashes. Validation and test are always whole.
     The splits are worked out on a narrow table of ids and labels. Every fit and
     evaluation reads the written rows of its part, so nothing upstream runs twice.
     """
@@ -135,6 +139,10 @@ def prepare(
     rows = splitting.stratified_folds(rows, roles.id, LABEL, keys=train_keys, folds=folds)
     rows = rows.withColumn("fold", F.when(in_train, F.col("fold")))
     weighted = splitting.with_weight(rows, LABEL, weight, WEIGHT)
+    if sample is not None:
+        fitted_on = sample_fixed(train_keys, roles.id, sample).select(name(roles.id)).distinct()
+        chosen = weighted.filter(in_train).join(fitted_on, roles.id, "left_semi")
+        weighted = weighted.filter(~in_train).unionByName(chosen)
     return TrainingRows(materialise(weighted, "rows", ["split", "fold"]), roles, weight)
 
 
