@@ -74,6 +74,31 @@ def test_components_equal_all_pairs(make_docs, seed):
     assert sorted(got, key=str) == reference_groups(rows)
 
 
+def crowd(seed, n=160):
+    """Copies of one text with few to many edits: many pairs are just above or below 0.75."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4, 5])):
+            own[rng.randrange(len(own))] = f"e{rng.randint(0, 60)}"
+        rows.append((i, " ".join(own[: rng.choice([120, 120, 110, 90])])))
+    # Others share a passage only.
+    passage = base[:40]
+    rows += [(1000 + i, " ".join([*passage, *(f"p{i}x{j}" for j in range(30))])) for i in range(60)]
+    return rows
+
+
+@pytest.mark.parametrize("large", [32, 4])
+def test_crowds_equal_all_pairs(make_docs, monkeypatch, large):
+    monkeypatch.setattr(setsketch, "LARGE", large)
+    rows = crowd(large)
+    found = setsketch.near_duplicates(make_docs(rows))
+    got = [tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "kept").collect()]
+    assert sorted(got, key=str) == reference_groups(rows)
+
+
 def test_null_ids_and_repeated_rows(make_docs):
     long = "one two three four five six seven"
     rows = [(None, long), (None, "only null ids here in this text"), (7, long), (7, long), (9, long.upper()), (None, None), (4, "")]

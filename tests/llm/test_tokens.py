@@ -12,7 +12,7 @@ from tidemark.llm import tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-COUNTER = tokens.ChunkCounter(PATH)
+COUNTER = tokens.TokenCounter(PATH)
 
 
 def counted(text):
@@ -30,7 +30,7 @@ def test_chunks_count_like_whole_texts():
     rng = random.Random(1)
     pieces = [*ODD, *" \n\t.,'aé9", "word", " the", "\x1f", " ", "'s"]
     texts = ODD + ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(3000)]
-    counter = tokens.ChunkCounter(PATH)
+    counter = tokens.TokenCounter(PATH)
     assert counter.count(texts) == [counted(t) for t in texts]
 
 
@@ -78,3 +78,19 @@ def test_repeated_cache_rows(make_docs, spark, tmp_path, times):
         spark.read.parquet(cache).limit(1).write.mode("append").parquet(str(tmp_path / f"copy{times}"))
     spark.read.parquet(str(tmp_path / f"copy{times}")).write.mode("append").parquet(cache)
     assert tokens.count_tokens(docs, PATH, cache).count() == 1
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_other_tokenizers_encode_whole_texts(name):
+    path = public_tokenizers.path(name)
+    if name.endswith(".json"):
+        library = Tokenizer.from_file(path)
+        want = [len(library.encode(t, add_special_tokens=False).ids) for t in ODD]
+    else:
+        from sentencepiece import SentencePieceProcessor
+
+        library = SentencePieceProcessor(model_file=path)
+        want = [len(library.encode(t)) for t in ODD]
+    counter = tokens.TokenCounter(path)
+    assert not counter.chunked and COUNTER.chunked
+    assert counter.count(ODD) == want

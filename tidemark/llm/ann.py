@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Work
 from tidemark.llm.vectors import finite, usual_dimension
 from tidemark.session import materialise
 
@@ -229,27 +230,28 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of each query's k nearest."""
     spark = df.sparkSession
-    rows = materialise(usable(df, vec_id, vector), "vectors")
-    total = rows.count()
-    if not total:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lists = fit(rows, total, k)
-    placed = materialise(index(rows, lists), "index")
-    sizes = np.zeros(len(lists.centroids), int)
-    for r in placed.groupBy("list").count().collect():
-        sizes[r["list"]] = r["count"]
-    parts = np.maximum(1, -(-sizes // ROWS_PER_PART))
-    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    probes = materialise(_probes(queries, lists, sizes, lists.share), "probes")
-    found = materialise(_searched(placed, probes, parts, k), "found")
-    if lists.share < 1:
-        # Queries whose lists hold fewer than k others: all lists.
-        enough = found.groupBy("query_id").count().where(F.col("count") >= k)
-        short = queries.join(enough, queries["vec_id"] == enough["query_id"], "left_anti")
-        short = materialise(short, "short")
-        if not short.isEmpty():
-            again = _searched(placed, materialise(_probes(short, lists, sizes, 1.0), "probes"), parts, k)
-            found = found.join(short, found["query_id"] == short["vec_id"], "left_anti").unionByName(again)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    with Work(spark) as work:
+        rows = work.table(usable(df, vec_id, vector), "vectors")
+        total = rows.count()
+        if not total:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        lists = fit(rows, total, k)
+        placed = work.table(index(rows, lists), "index")
+        sizes = np.zeros(len(lists.centroids), int)
+        for r in placed.groupBy("list").count().collect():
+            sizes[r["list"]] = r["count"]
+        parts = np.maximum(1, -(-sizes // ROWS_PER_PART))
+        queries = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+        probes = work.table(_probes(queries, lists, sizes, lists.share), "probes")
+        found = work.table(_searched(placed, probes, parts, k), "found")
+        if lists.share < 1:
+            # Queries whose lists hold fewer than k others: all lists.
+            enough = found.groupBy("query_id").count().where(F.col("count") >= k)
+            short = queries.join(enough, queries["vec_id"] == enough["query_id"], "left_anti")
+            short = work.table(short, "short")
+            if not short.isEmpty():
+                again = _searched(placed, work.table(_probes(short, lists, sizes, 1.0), "probes"), parts, k)
+                found = found.join(short, found["query_id"] == short["vec_id"], "left_anti").unionByName(again)
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return materialise(ranked.select("query_id", "rank", "vec_id", "score"), "nearest")

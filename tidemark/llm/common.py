@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import work_path
+
 # A word is a run of anything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -32,3 +34,28 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a work table that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Work:
+    """Tables in the shared folder that are deleted together when the block ends.
+
+    What a block returns must be in a table outside of it, or on the driver.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        """Write a frame and read it back, as ``materialise`` does."""
+        path = work_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Work:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            remove(self.spark, path)

@@ -13,10 +13,12 @@ mostly equal, so:
 3. In every bucket each class is held against the first one. The likelihood of the
    registers, jointly with the known sizes, refutes pairs that are very likely (by 5
    standard deviations) below 0.75; the full sets decide on all others.
-4. Components of the confirmed links. Then every bucket that still has classes of several
-   components has all pairs of classes from different components held against each other
-   in the same way. So pairs are left out only where both are joined already, and a group
-   of thousands of copies costs pairs in proportion to its size.
+4. Components of the confirmed links. Buckets that still have classes of several components
+   have the pairs of different components held against each other in the same way. In a
+   large bucket those are the pairs that share a shingle early in their sets, with all
+   sets in one order that begins with the rarest: two sets that share as many shingles as
+   a link takes share one before the last that they may miss. So a group of thousands of
+   near copies costs few pairs, and no pair that may be linked is left out.
 
 A text that is null, empty or without words has an empty set and is linked with nothing. A
 null id is never the smallest of a component unless all ids are null. Rows that repeat an
@@ -31,11 +33,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from tidemark.llm.common import row_key
+from tidemark.llm.common import Work, row_key
 from tidemark.llm.components import components
 from tidemark.llm.shingles import mix64, shingle_sets
 from tidemark.session import materialise
@@ -49,6 +51,16 @@ RATE = 20.0
 LEVELS = 4_000
 # A pair is refuted if its likelihood at 0.75 is below the largest by this factor's log.
 REFUTED = 12.5
+# The last bits of the registers refute most pairs early: of 128 bits of a pair of 0.75 at
+# most 16 differ on average, with a deviation of 3.7.
+MOST_DIFFERENT_BITS = 36
+# Buckets of more members take their pairs from the beginnings of the sets. Shingles are
+# ordered by counts under their last bits; any order is right, rare ones first saves pairs.
+LARGE = 32
+COUNTED = 1 << 18
+# Words of 64 bits in the filter that spares texts the shuffle, 1 MB; it only ever lets
+# through too much.
+FILTER_WORDS = 1 << 17
 
 # Texts that a Python worker holds at a time, in rows.
 ROWS = 256
@@ -105,8 +117,8 @@ def likely(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray)
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, row_key, digest, n_shingles, sketch) of each row; digest is null for empty sets."""
-    schema = "doc_id long, row_key binary, digest binary, n_shingles long, sketch binary"
+    """Digest, size, registers and their last bits of each row; digest is null for empty sets."""
+    schema = "doc_id long, row_key binary, digest binary, n_shingles long, sketch binary, bits_a long, bits_b long"
     rows = docs.select(F.col(doc_id).cast("long"), row_key(doc_id, text), F.col(text))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,6 +127,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 part = batch.slice(start, ROWS)
                 sets = shingle_sets(part.column(2).to_pylist())
                 levels = registers(sets)
+                bits = np.packbits((levels & 1).astype(np.uint8), axis=1).view(np.int64).T
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -123,8 +136,9 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                         pa.array(digests, pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([own.tobytes() for own in levels], pa.binary()),
+                        *(pa.array(own) for own in bits),
                     ],
-                    names=["doc_id", "row_key", "digest", "n_shingles", "sketch"],
+                    names=["doc_id", "row_key", "digest", "n_shingles", "sketch", "bits_a", "bits_b"],
                 )
 
     return rows.mapInArrow(sketch, schema)
@@ -155,12 +169,31 @@ def _likely(a: pd.Series, b: pd.Series, size_a: pd.Series, size_b: pd.Series) ->
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """A row (bucket, cls, n) per class and band."""
+    """A row (bucket, cls, n, bits_a, bits_b) per class and band."""
     step = 2 * BAND
     band = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)))
-    rows = classes.select("cls", F.col("n").cast("int").alias("n"), "sketch", band.alias("band"))
+    rows = classes.select("cls", F.col("n").cast("int").alias("n"), "bits_a", "bits_b", "sketch", band.alias("band"))
     key = F.xxhash64("band", F.substring("sketch", F.col("band") * step + 1, F.lit(step)))
-    return rows.select(key.alias("bucket"), "cls", "n")
+    return rows.select(key.alias("bucket"), "cls", "n", "bits_a", "bits_b")
+
+
+def _sets_of(ids: DataFrame, classes: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
+    """(cls, elements) of the wanted classes, each from one of its texts."""
+    keys = work.table(classes.join(ids, "cls").select("cls", "row_key"), "keys")
+    wanted = _perhaps(texts, keys).join(keys, "row_key").groupBy("row_key")
+    # Rows of equal id and text share a key: one of them is enough.
+    wanted = wanted.agg(F.first("cls").alias("cls"), F.first("text").alias("text")).drop("row_key")
+    return work.table(full_sets(wanted), "sets")
+
+
+def _perhaps(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The texts whose key is among the keys, and few others: by a filter of fixed size."""
+    place = F.pmod(F.xxhash64("row_key"), F.lit(FILTER_WORDS * 64))
+    word, bit = F.floor(place / 64).cast("int"), F.pmod(place, F.lit(64)).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = keys.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    marked = texts.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(bits), "_word")
+    return marked.where(F.col("_bits").bitwiseAND(F.col("_mask")) != 0).drop("_word", "_mask", "_bits")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -170,26 +203,92 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         columns = {"cls": name, "n": f"n_{name}", "sketch": f"sketch_{name}"}
         return classes.select(*[F.col(c).alias(to) for c, to in columns.items()])
 
-    open_pairs = pairs.join(side("a"), "a").join(side("b"), "b")
-    open_pairs = open_pairs.where(_likely("sketch_a", "sketch_b", "n_a", "n_b"))
-    open_pairs = materialise(open_pairs.select("a", "b", "n_a", "n_b"), "pairs")
-    ids = open_pairs.select(F.col("a").alias("cls")).union(open_pairs.select("b")).distinct()
-    keys = materialise(classes.join(ids, "cls").select("cls", "row_key"), "keys")
-    # Rows of equal id and text share a key: one of them is enough.
-    wanted = texts.join(keys, "row_key").groupBy("row_key")
-    wanted = wanted.agg(F.first("cls").alias("cls"), F.first("text").alias("text")).drop("row_key")
-    sets = materialise(full_sets(wanted), "sets")
-    left = sets.select(F.col("cls").alias("a"), F.col("elements").alias("set_a"))
-    right = sets.select(F.col("cls").alias("b"), F.col("elements").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    judged = open_pairs.join(right, "b").join(left, "a").withColumn("shared", shared)
-    similar = 100 * F.col("shared") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    return judged.where(similar).select("a", "b").distinct()
+    with Work(pairs.sparkSession) as work:
+        open_pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+        open_pairs = open_pairs.where(_likely("sketch_a", "sketch_b", "n_a", "n_b"))
+        open_pairs = work.table(open_pairs.select("a", "b", "n_a", "n_b"), "pairs")
+        ids = open_pairs.select(F.col("a").alias("cls")).union(open_pairs.select("b")).distinct()
+        sets = _sets_of(ids, classes, texts, work)
+        left = sets.select(F.col("cls").alias("a"), F.col("elements").alias("set_a"))
+        right = sets.select(F.col("cls").alias("b"), F.col("elements").alias("set_b"))
+        shared = F.size(F.array_intersect("set_a", "set_b"))
+        judged = open_pairs.join(right, "b").join(left, "a").withColumn("shared", shared)
+        similar = 100 * F.col("shared") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("shared"))
+        return materialise(judged.where(similar).select("a", "b").distinct(), "links")
+
+
+def _possible(other: str) -> Column:
+    """Whether a class and another (columns with a suffix) can be similar enough.
+
+    By their sizes, and by the last bits of their registers.
+    """
+    n, m = F.col("n"), F.col(f"n{other}")
+    differ = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}{other}")))
+    alike = differ("bits_a") + differ("bits_b") <= MOST_DIFFERENT_BITS
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & alike
+
+
+def _other(members: DataFrame, *more: str) -> DataFrame:
+    columns = ("cls", "n", "bits_a", "bits_b", *more)
+    return members.select("bucket", *[F.col(c).alias(f"{c}_o") for c in columns])
+
 
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of possible members of a bucket with different labels."""
+    both = members.join(_other(members, "label"), "bucket")
+    both = both.where((F.col("label") < F.col("label_o")) & _possible("_o"))
+    return both.select(F.least("cls", "cls_o").alias("a"), F.greatest("cls", "cls_o").alias("b"))
 
-def _possible(n: str, m: str):
-    """Whether sets of these sizes can be similar enough at all."""
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle, by the last bits of its hash: COUNTED numbers."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTED, np.int64)
+        for batch in batches:
+            elements = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(elements & (COUNTED - 1), minlength=COUNTED)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["code", "n"])
+
+    counted = sets.select("elements").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = np.zeros(COUNTED, np.int64)
+    for code, n in counted.collect():
+        counts[code] = n
+    return counts
+
+
+def early_pairs(docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes (cls, label, n, elements) of different labels that may be linked.
+
+    A link takes m = 3 / 7 (n_a + n_b) shared elements. The first of them in the common order
+    has at most n - m elements before it in either set. Shingles that only one label holds
+    make no pairs.
+    """
+    counts = _counts(docs)
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes, labels, sizes, sets = (batch.column(i) for i in range(4))
+            for i in range(batch.num_rows):
+                own = sets[i].values.to_numpy(zero_copy_only=False)
+                most = len(own) - -(-PERCENT * len(own) // 100) + 1
+                first = own[np.lexsort((own, counts[own & (COUNTED - 1)]))[:most]]
+                fixed = [pa.array([c[i].as_py()] * len(first), c.type) for c in (classes, labels, sizes)]
+                place = pa.array(np.arange(1, len(first) + 1), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first), *fixed, place], names=["s", "cls", "label", "n", "place"]
+                )
+
+    rows = docs.select("cls", "label", "n", "elements")
+    rows = rows.mapInArrow(begin, "s long, cls long, label long, n int, place int")
+    several = rows.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rows = rows.join(several.where("low != high").select("s"), "s")
+    other = rows.select("s", *[F.col(c).alias(f"{c}_o") for c in ("cls", "label", "n", "place")])
+    shared = F.ceil(3 * (F.col("n") + F.col("n_o")) / 7 - 1e-9)
+    early = (F.col("place") <= F.col("n") - shared + 1) & (F.col("place_o") <= F.col("n_o") - shared + 1)
+    both = rows.join(other, "s").where((F.col("label") < F.col("label_o")) & early)
+    return both.select(F.least("cls", "cls_o").alias("a"), F.greatest("cls", "cls_o").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,56 +296,63 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     ``group`` is null for documents linked with nothing by their empty set.
     """
-    found = materialise(sketches(docs, doc_id, text), "sketches")
-    classes = (
-        found.where(F.col("digest").isNotNull())
-        .groupBy("digest")
-        .agg(
-            F.min("doc_id").alias("low"),
-            F.min("row_key").alias("row_key"),
-            F.first("n_shingles").alias("n"),
-            F.first("sketch").alias("sketch"),
+    with Work(docs.sparkSession) as work:
+        found = work.table(sketches(docs, doc_id, text), "sketches")
+        classes = (
+            found.where(F.col("digest").isNotNull())
+            .groupBy("digest")
+            .agg(
+                F.min("doc_id").alias("low"),
+                F.min("row_key").alias("row_key"),
+                F.first("n_shingles").alias("n"),
+                F.first("sketch").alias("sketch"),
+                F.first("bits_a").alias("bits_a"),
+                F.first("bits_b").alias("bits_b"),
+            )
+        )
+        classes = work.table(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+        texts = docs.select(row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
+
+        bands = _bands(classes)
+        shared = bands.groupBy("bucket").agg(F.min("cls").alias("lead"), F.count("*").alias("members"))
+        shared = shared.where("members > 1").select("bucket", "lead")
+        members = work.table(bands.join(shared, "bucket"), "buckets")
+        held = members.where("cls != lead").join(_other(members.where("cls = lead")), "bucket").where(_possible("_o"))
+        held = work.table(held.select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(), "held")
+        links = _confirmed(held, classes, texts)
+        first = components(links)
+
+        # What the first links have not joined yet.
+        labelled = members.join(first, members["cls"] == first["node"], "left").drop("lead", "node")
+        labelled = labelled.withColumn("label", F.coalesce("root", "cls")).drop("root")
+        mixed = labelled.groupBy("bucket").agg(
+            F.min("label").alias("x"), F.max("label").alias("y"), (F.count("*") > LARGE).alias("large")
+        )
+        apart = work.table(labelled.join(mixed.where("x != y").select("bucket", "large"), "bucket"), "apart")
+        cross = _across(apart.where("NOT large"))
+        large = apart.where("large")
+        crowd = work.table(large.select("cls", "label", "n").distinct(), "crowd")
+        if not crowd.isEmpty():
+            sets = _sets_of(crowd.select("cls"), classes, texts, work)
+            begun = work.table(early_pairs(crowd.join(sets, "cls")), "early")
+            cross = cross.unionByName(begun)
+        cross = cross.distinct().join(held, ["a", "b"], "left_anti")
+        more = _confirmed(cross, classes, texts)
+        roots = components(links.unionByName(more))
+
+        grouped = classes.join(roots, classes["cls"] == roots["node"], "left")
+        grouped = grouped.select("digest", "low", F.coalesce("root", "cls").alias("group"))
+        lowest = grouped.groupBy("group").agg(F.min("low").alias("low"))
+        grouped = grouped.drop("low").join(lowest, "group")
+        rows = found.drop("sketch", "bits_a", "bits_b").join(grouped, "digest", "left")
+        component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("low"))
+        rows = rows.withColumn("component_id", component)
+        result = rows.select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            "row_key",
+            "group",
         )
-    )
-    classes = materialise(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    texts = docs.select(row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
-
-    bands = _bands(classes)
-    shared = bands.groupBy("bucket").agg(F.min("cls").alias("lead"), F.count("*").alias("members"))
-    shared = shared.where("members > 1").select("bucket", "lead")
-    members = materialise(bands.join(shared, "bucket"), "buckets")
-    leads = members.where("cls = lead").select("bucket", F.col("n").alias("n_lead"))
-    held = members.where("cls != lead").join(leads, "bucket").where(_possible("n", "n_lead"))
-    held = materialise(held.select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(), "held")
-    links = materialise(_confirmed(held, classes, texts), "links")
-    first = components(links)
-
-    # What the first links have not joined yet.
-    label = F.coalesce("root", "cls")
-    labelled = members.join(first, members["cls"] == first["node"], "left")
-    labelled = labelled.select("bucket", "cls", "n", label.alias("label"))
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    mixed = mixed.where("x != y").select("bucket")
-    apart = materialise(labelled.join(mixed, "bucket"), "apart")
-    other = apart.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("cls", "n", "label")])
-    cross = apart.join(other, "bucket").where((F.col("label") < F.col("label_b")) & _possible("n", "n_b"))
-    cross = cross.select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b")).distinct()
-    cross = cross.join(held, ["a", "b"], "left_anti")
-    more = _confirmed(cross, classes, texts)
-    roots = components(links.unionByName(more))
-
-    grouped = classes.join(roots, classes["cls"] == roots["node"], "left")
-    grouped = grouped.select("digest", "low", F.coalesce("root", "cls").alias("group"))
-    lowest = grouped.groupBy("group").agg(F.min("low").alias("low"))
-    grouped = grouped.drop("low").join(lowest, "group")
-    rows = found.drop("sketch").join(grouped, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("low"))
-    rows = rows.withColumn("component_id", component)
-    return rows.select(
-        "doc_id",
-        "n_shingles",
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        "row_key",
-        "group",
-    )
+        return materialise(result, "near-duplicates")

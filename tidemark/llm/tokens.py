@@ -15,6 +15,7 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -43,18 +44,28 @@ def tokenizer_digest(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
 
-class ChunkCounter:
-    """Counts tokens with a byte-level BPE tokenizer that splits before white space.
+class TokenCounter:
+    """Counts tokens as the tokenizer's library gives them, without special tokens added.
 
-    Such a tokenizer never joins a character that is not white space with white space
-    behind it, so a text has as many tokens as its chunks together. Chunks repeat far
-    more than texts; counts of chunks seen before are remembered up to a bound.
+    A byte-level BPE tokenizer that splits before white space never joins a character that
+    is not white space with white space behind it, so a text has as many tokens as its
+    chunks together. Chunks repeat far more than texts; their counts are remembered up to a
+    bound. With any other tokenizer the texts are encoded whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.chunked = False
+        if path.endswith(".model"):
+            from sentencepiece import SentencePieceProcessor
+
+            pieces = SentencePieceProcessor(model_file=path)
+            self.lengths = lambda texts: map(len, pieces.encode(texts, num_threads=1))
+        else:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            self.lengths = lambda texts: map(len, tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+            self.chunked = _splits_before_space(json.loads(Path(path).read_text(encoding="utf-8")))
         self.known: dict[str, int] = {}
 
     def _encode(self, texts: Iterable[str]) -> None:
@@ -68,24 +79,37 @@ class ChunkCounter:
         self._call(call)
 
     def _call(self, texts: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        self.known.update(zip(texts, map(len, found), strict=True))
+        if texts:
+            self.known.update(zip(texts, self.lengths(texts), strict=True))
 
     def count(self, texts: Iterable[str]) -> list[int]:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or not self.chunked:
             self.known.clear()
-        chunks = [[t] if _UNLIKE.search(t) else _CHUNK.findall(t) for t in texts]
+        chunks = [_CHUNK.findall(t) if self.chunked and not _UNLIKE.search(t) else [t] for t in texts]
         self._encode(set().union(*chunks) - self.known.keys())
         return [sum(map(self.known.__getitem__, own)) for own in chunks]
 
 
-_COUNTERS: dict[str, ChunkCounter] = {}
+def _splits_before_space(settings: dict) -> bool:
+    """Whether a tokenizer's file describes plain byte-level BPE with the usual pattern."""
+    split = settings.get("pre_tokenizer") or {}
+    return (
+        settings.get("normalizer") is None
+        and split.get("type") == "ByteLevel"
+        and split.get("use_regex", True)
+        and not split.get("add_prefix_space")
+        and (settings.get("model") or {}).get("type", "BPE") == "BPE"
+        and not any(t.get("lstrip") or t.get("rstrip") for t in settings.get("added_tokens", []))
+    )
+
+
+_COUNTERS: dict[str, TokenCounter] = {}
 
 
-def _counter(path: str) -> ChunkCounter:
+def _counter(path: str) -> TokenCounter:
     """One counter per Python worker and tokenizer."""
     if path not in _COUNTERS:
-        _COUNTERS[path] = ChunkCounter(path)
+        _COUNTERS[path] = TokenCounter(path)
     return _COUNTERS[path]
 
 

@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Work
 from tidemark.llm.vectors import finite, usual_dimension
 from tidemark.session import materialise
 
@@ -112,56 +113,57 @@ def top_products(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k highest scores."""
     spark = df.sparkSession
-    rows = materialise(usable(df, vec_id, vector), "weights")
-    total = rows.count()
-    if not total:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    ranges = -(-total // ROWS_PER_RANGE)
-    ranges = max(ranges, spark.sparkContext.defaultParallelism)
-    blocks = materialise(block_index(rows, ranges), "blocks")
-    few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "weights").limit(SAMPLE).collect()
-    seed_ids, seed = np.array([r["vec_id"] for r in few]), _matrix([r["weights"] for r in few])
-    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("weights").alias("weights"))
-
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                own, ids = _matrix(part.column(1).to_pylist()), part.column(0).to_pylist()
-                least = []
-                for i, scores in zip(ids, products(own, seed), strict=True):
-                    others = np.sort(scores[seed_ids != i])
-                    least.append(int(others[-k]) if len(others) >= k else LOWEST)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([q.tobytes() for q in own], pa.binary()), pa.array(least, pa.int64())],
-                    names=["query_id", "query", "least"],
-                )
-
-    begun = materialise(queries.mapInArrow(begin, "query_id long, query binary, least long"), "queries")
-    # Every query meets every range of rows, in cells of bounded size.
-    own_ranges = [r["range"] for r in blocks.select("range").distinct().collect()]
-    cells = -(-begun.count() // QUERIES_PER_CELL) or 1
-    asked = begun.withColumns({
-        "cell": F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(cells)).cast("int"),
-        "range": F.explode(F.array(*map(F.lit, own_ranges))),
-    })
-    held = blocks.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-
-    def search(block: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(block) and len(query):
-            longs = lambda column: [np.frombuffer(x, np.int64) for x in column]
-            low, high = np.array(longs(block["low"])), np.array(longs(block["high"]))
-            dims = low.shape[1]
-            kept = [(i, w.reshape(-1, dims)) for i, w in zip(longs(block["ids"]), longs(block["weights"]), strict=True)]
-            for query_id, q, at_least in zip(query["query_id"], longs(query["query"]), query["least"], strict=True):
-                bounds = _bounds(q, low, high)
-                ids, scores = best_of(query_id, q, at_least, kept, bounds, k)
-                found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    keys = ("range", "cell")
-    found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    with Work(spark) as work:
+        rows = work.table(usable(df, vec_id, vector), "weights")
+        total = rows.count()
+        if not total:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        ranges = -(-total // ROWS_PER_RANGE)
+        ranges = max(ranges, spark.sparkContext.defaultParallelism)
+        blocks = work.table(block_index(rows, ranges), "blocks")
+        few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "weights").limit(SAMPLE).collect()
+        seed_ids, seed = np.array([r["vec_id"] for r in few]), _matrix([r["weights"] for r in few])
+        queries = rows.where(is_query).groupBy("vec_id").agg(F.min("weights").alias("weights"))
+
+        def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    own, ids = _matrix(part.column(1).to_pylist()), part.column(0).to_pylist()
+                    least = []
+                    for i, scores in zip(ids, products(own, seed), strict=True):
+                        others = np.sort(scores[seed_ids != i])
+                        least.append(int(others[-k]) if len(others) >= k else LOWEST)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array([q.tobytes() for q in own], pa.binary()), pa.array(least, pa.int64())],
+                        names=["query_id", "query", "least"],
+                    )
+
+        begun = work.table(queries.mapInArrow(begin, "query_id long, query binary, least long"), "queries")
+        # Every query meets every range of rows, in cells of bounded size.
+        own_ranges = [r["range"] for r in blocks.select("range").distinct().collect()]
+        cells = -(-begun.count() // QUERIES_PER_CELL) or 1
+        asked = begun.withColumns({
+            "cell": F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(cells)).cast("int"),
+            "range": F.explode(F.array(*map(F.lit, own_ranges))),
+        })
+        held = blocks.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+
+        def search(block: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+            found = []
+            if len(block) and len(query):
+                longs = lambda column: [np.frombuffer(x, np.int64) for x in column]
+                low, high = np.array(longs(block["low"])), np.array(longs(block["high"]))
+                dims = low.shape[1]
+                kept = [(i, w.reshape(-1, dims)) for i, w in zip(longs(block["ids"]), longs(block["weights"]), strict=True)]
+                for query_id, q, at_least in zip(query["query_id"], longs(query["query"]), query["least"], strict=True):
+                    bounds = _bounds(q, low, high)
+                    ids, scores = best_of(query_id, q, at_least, kept, bounds, k)
+                    found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
+            return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+
+        keys = ("range", "cell")
+        found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return materialise(ranked.select("query_id", "rank", "vec_id", "score"), "top")
