@@ -55,9 +55,10 @@ REFUTED = 12.5
 # most 16 differ on average, with a deviation of 3.7.
 MOST_DIFFERENT_BITS = 36
 # Buckets of more members take their pairs from the beginnings of the sets. Shingles are
-# ordered by counts under their last bits; any order is right, rare ones first saves pairs.
+# ordered by the smaller of two counts under bits of their hashes, so few shingles seem more
+# frequent than they are; any order is right, rare ones first saves pairs.
 LARGE = 32
-COUNTED = 1 << 18
+COUNTED = 1 << 20
 # Words of 64 bits in the filter that spares texts the shuffle, 1 MB; it only ever lets
 # through too much.
 FILTER_WORDS = 1 << 17
@@ -240,21 +241,27 @@ def _across(members: DataFrame) -> DataFrame:
     return both.select(F.least("cls", "cls_o").alias("a"), F.greatest("cls", "cls_o").alias("b"))
 
 
+def _codes(elements: np.ndarray) -> np.ndarray:
+    """Two places of each element in tables of COUNTED numbers, the second behind the first."""
+    return np.array([elements & (COUNTED - 1), (elements >> 24 & (COUNTED - 1)) + COUNTED])
+
+
 def _counts(sets: DataFrame) -> np.ndarray:
-    """How many sets hold a shingle, by the last bits of its hash: COUNTED numbers."""
+    """How many sets hold a shingle, by either place: 2 * COUNTED numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTED, np.int64)
+        total = np.zeros(2 * COUNTED, np.int64)
         for batch in batches:
             elements = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            total += np.bincount(elements & (COUNTED - 1), minlength=COUNTED)
+            total += np.bincount(_codes(elements).ravel(), minlength=2 * COUNTED)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["code", "n"])
 
     counted = sets.select("elements").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    counts = np.zeros(COUNTED, np.int64)
-    for code, n in counted.collect():
-        counts[code] = n
+    # What occurs once is as rare as what is not counted at all, and stays with the executors.
+    counts = np.ones(2 * COUNTED, np.int32)
+    for batch in counted.where("n > 1").toArrow().to_batches():
+        counts[batch.column(0).to_numpy()] = np.minimum(batch.column(1).to_numpy(), 2**31 - 1)
     return counts
 
 
@@ -273,7 +280,7 @@ def early_pairs(docs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 own = sets[i].values.to_numpy(zero_copy_only=False)
                 most = len(own) - -(-PERCENT * len(own) // 100) + 1
-                first = own[np.lexsort((own, counts[own & (COUNTED - 1)]))[:most]]
+                first = own[np.lexsort((own, counts[_codes(own)].min(axis=0)))[:most]]
                 fixed = [pa.array([c[i].as_py()] * len(first), c.type) for c in (classes, labels, sizes)]
                 place = pa.array(np.arange(1, len(first) + 1), pa.int32())
                 yield pa.RecordBatch.from_arrays(
