@@ -10,7 +10,7 @@ mostly equal, so:
 1. Documents with the same set become one class; only classes are compared.
 2. A band is four registers; classes that agree in a band share a bucket. A pair of
    similarity 0.75 shares none of the 32 bands in five of a million cases.
-3. In every bucket each class is held against the first one. The likelihood of the
+3. In every bucket each class is held against the one that meets most others. The likelihood of the
    registers, jointly with the known sizes, refutes pairs that are very likely (by 5
    standard deviations) below 0.75; the full sets decide on all others.
 4. Components of the confirmed links. Buckets that still have classes of several components
@@ -321,11 +321,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         texts = docs.select(row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
 
         bands = _bands(classes)
-        shared = bands.groupBy("bucket").agg(F.min("cls").alias("lead"), F.count("*").alias("members"))
-        shared = shared.where("members > 1").select("bucket", "lead")
-        members = work.table(bands.join(shared, "bucket"), "buckets")
+        shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        members = work.table(bands.join(shared, "bucket"), "members")
+        # The first of a bucket is the class that meets most others: of a text and its copies
+        # the text, which joins the copies at once.
+        central = members.groupBy("cls").agg(F.sum("size").alias("met"))
+        leads = members.select("bucket", "cls").join(central, "cls").groupBy("bucket")
+        leads = leads.agg(F.max(F.struct("met", "cls")).getField("cls").alias("lead"))
+        members = work.table(members.drop("size").join(leads, "bucket"), "buckets")
         held = members.where("cls != lead").join(_other(members.where("cls = lead")), "bucket").where(_possible("_o"))
-        held = work.table(held.select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(), "held")
+        held = held.select(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b"))
+        held = work.table(held.distinct(), "held")
         links = _confirmed(held, classes, texts)
         first = components(links)
 
