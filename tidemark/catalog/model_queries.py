@@ -1,8 +1,9 @@
 """Queries of training, scoring, explanation and comparison.
 
-The tree models are smaller than the library's defaults (see FOREST and BOOSTER); folds,
-logistic regression and explanation use the defaults, and the rows are all rows. Fitted
-numbers are no matter of SQL, so what these queries return of them is what SQL can foresee:
+Models, folds and explanation use the library's defaults, and the rows are all rows. The
+SQL of two queries names less than the operators' whole search: four maps in grid_search,
+no tuning and two models in training_run. The whole grids and a run with the default
+settings are queries without SQL (see WHOLE). Fitted numbers are no matter of SQL, so what these queries return of them is what SQL can foresee:
 how many rows of each class a split has, that rates follow from their cells, that a choice
 is the best of its list, that two ways to the same number agree.
 """
@@ -26,10 +27,6 @@ from tidemark.sources.jsonl import export_cache, export_jsonl, load_batch_output
 from tidemark.sources.predictions import read_predictions
 from tidemark.sources.views import accounts, score_log, scored_events
 
-# The defaults of 300 deep trees and 300 boosting steps take hours over all these queries.
-FOREST = {"numTrees": 20, "maxDepth": 5}
-BOOSTER = {"maxIter": 10, "maxDepth": 3}
-
 
 def rows_of(spark: SparkSession, sf_dir: str, feature_set: str = "baseline") -> training.TrainingRows:
     """The prepared training rows."""
@@ -41,14 +38,14 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str, data: training.TrainingR
     spec = (
         estimators.train_logreg(ACCOUNTS)
         if kind == estimators.LOGREG
-        else estimators.train_random_forest(ACCOUNTS, **FOREST)
+        else estimators.train_random_forest(ACCOUNTS)
     )
     return spec.pipeline.fit((data or rows_of(spark, sf_dir)).part(splitting.TRAIN))
 
 
 def suite(spark: SparkSession, sf_dir: str):
     """All four models trained and measured."""
-    specs = estimators.model_specs(ACCOUNTS, tune=False, forest=FOREST, booster=BOOSTER)
+    specs = estimators.model_specs(ACCOUNTS, tune=False)
     return training.train_suite(specs, rows_of(spark, sf_dir), ACCOUNTS)
 
 
@@ -100,15 +97,15 @@ def train_logreg(spark, sf_dir):
 
 
 def train_random_forest(spark, sf_dir):
-    return _train(spark, sf_dir, estimators.train_random_forest(ACCOUNTS, **FOREST))
+    return _train(spark, sf_dir, estimators.train_random_forest(ACCOUNTS))
 
 
 def train_gbt_a(spark, sf_dir):
-    return _train(spark, sf_dir, estimators.train_gbt_a(ACCOUNTS, **BOOSTER))
+    return _train(spark, sf_dir, estimators.train_gbt_a(ACCOUNTS))
 
 
 def train_gbt_b(spark, sf_dir):
-    return _train(spark, sf_dir, estimators.train_gbt_b(ACCOUNTS, **BOOSTER))
+    return _train(spark, sf_dir, estimators.train_gbt_b(ACCOUNTS))
 
 
 def train_engineered(spark, sf_dir):
@@ -116,9 +113,27 @@ def train_engineered(spark, sf_dir):
 
 
 def grid_search(spark, sf_dir):
-    """The maps that were tried, and which one the search took."""
+    """Four maps of the forest that were tried, and which one the search took."""
     grid = {"maxDepth": [3, 5], "minInstancesPerNode": [1, 5]}
-    spec = estimators.train_random_forest(ACCOUNTS, numTrees=10, grid=grid)
+    return _searched(spark, sf_dir, estimators.train_random_forest(ACCOUNTS, grid=grid))
+
+
+def grid_search_forest(spark, sf_dir):
+    """The forest's whole grid."""
+    return _searched(spark, sf_dir, estimators.train_random_forest(ACCOUNTS, grid=estimators.FOREST_GRID))
+
+
+def grid_search_gbt_a(spark, sf_dir):
+    """The booster's whole grid, first preset."""
+    return _searched(spark, sf_dir, estimators.train_gbt_a(ACCOUNTS, grid=estimators.BOOSTER_GRID))
+
+
+def grid_search_gbt_b(spark, sf_dir):
+    """The booster's whole grid, second preset."""
+    return _searched(spark, sf_dir, estimators.train_gbt_b(ACCOUNTS, grid=estimators.BOOSTER_GRID))
+
+
+def _searched(spark, sf_dir, spec) -> DataFrame:
     train = rows_of(spark, sf_dir).part(splitting.TRAIN)
     search = training.grid_search(spec, train, metric="pr_auc")
     tried = training.grid_table(spark, spec, search)
@@ -133,7 +148,7 @@ def grid_search(spark, sf_dir):
 
 def cv_score(spark, sf_dir):
     """Grid by one metric, selection by another: the chosen model is validated again."""
-    spec = estimators.train_random_forest(ACCOUNTS, numTrees=10, grid={"maxDepth": [3, 5]})
+    spec = estimators.train_random_forest(ACCOUNTS, grid=estimators.FOREST_GRID)
     data = rows_of(spark, sf_dir)
     model = training.train_one(spec, data, ACCOUNTS, grid_metric="pr_auc", select_metric="mcc")
     rows = [r for r in model.metric_rows("run") if r[2] == "cv"]
@@ -153,13 +168,20 @@ def training_run(spark, sf_dir):
         ACCOUNTS,
         path,
         run_id="r1",
-        settings=training.RunSettings(tune=False, probe_train=True, run_shap=False),
+        settings=training.RunSettings(tune=False, probe_train=True),
         models=(estimators.LOGREG, estimators.FOREST),
-        forest=FOREST,
     )
     return checked_metrics(metric_tables.read_metrics(spark, f"{path}/metrics"))
 
 
+def training_run_whole(spark, sf_dir):
+    """A whole run with probe selection: four models, tuned, and the Shapley step."""
+    path = work_path(spark, "run")
+    settings = training.RunSettings(probe_train=True)
+    experiment.run_training(accounts(spark, sf_dir), ACCOUNTS, path, run_id="r1", settings=settings)
+    return checked_metrics(metric_tables.read_metrics(spark, f"{path}/metrics"))
+
+
 def suite_winner(spark, sf_dir):
     """Whether the winner has the best CV score of the four."""
     results = training.cv_results(spark, suite(spark, sf_dir))
@@ -481,7 +503,7 @@ def probe_audit(spark, sf_dir):
 
 
 def _audit(spark, sf_dir) -> DataFrame:
-    return explain.probe_audit(rows_of(spark, sf_dir).part(splitting.TRAIN), ACCOUNTS, **FOREST)
+    return explain.probe_audit(rows_of(spark, sf_dir).part(splitting.TRAIN), ACCOUNTS)
 
 
 def probe_kept(spark, sf_dir):
@@ -564,3 +586,8 @@ QUERIES: dict[str, Query] = {
         odds_ratios,
     )
 }
+
+# Queries of the whole searches, which take hours; without SQL.
+WHOLE: dict[str, Query] = {
+    q.__name__: q for q in (grid_search_forest, grid_search_gbt_a, grid_search_gbt_b, training_run_whole)
+}
