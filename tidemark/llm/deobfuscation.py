@@ -21,7 +21,7 @@ STANDS_FOR = {
 }
 
 # Log probabilities of the channel.
-SELF, STANDS, SEPARATES, BREAKS, REPEATS = np.log([0.9, 0.5, 0.15, 0.02, 0.3])
+SELF, STANDS, SEPARATES, BREAKS, REPEATS, DOUBLES = np.log([0.9, 0.5, 0.15, 0.02, 0.3, 0.05])
 
 # Symbols of the character model: 0 is anything between words, 1 to 26 are a to z, 27 is
 # a byte of any other letter.
@@ -32,8 +32,8 @@ _SYMBOL[128:] = 27
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _TAIL = re.compile(r"([^\w\s])\1{2,}$")
-_RUN = re.compile(r"(\w)\1\1")
-_SPACED = re.compile(r"(?<!\S)[^\s](?:\s[^\s]){2,}(?!\S)")
+_DOUBLED = re.compile(r"(\w)\1")
+_SPACED = re.compile(r"(?<!\S)[^\w\s]*?(\S(?:\s+\S){2,})[^\w\s]*(?!\S)")
 # Marks that may be letters even where a token begins or ends.
 _FIRST, _LAST = "$@|€£¢!", "$@|€£¢"
 # Letters of another alphabet that look like Latin ones.
@@ -58,6 +58,28 @@ def trigram_model(counts: np.ndarray) -> np.ndarray:
     return np.log((three + 5 * two) / (three.sum(2, keepdims=True) + 5))
 
 
+def repeat_costs(token: str) -> list[float | None]:
+    """What it costs to take a character as a repetition of the letter before it; null where it is none.
+
+    Characters repeat each other if they may be the same letter, also across separators.
+    Two letters alike are common, three are not.
+    """
+    costs: list[float | None] = [None] * len(token)
+    run, before = [], frozenset()
+    for place, char in enumerate([*token, ""]):
+        letters = frozenset(STANDS_FOR.get(char, "")) | (frozenset(char) if char.isalpha() else frozenset())
+        if char and not letters:
+            continue
+        if letters & before:
+            run.append(place)
+        else:
+            for i in run[1:]:
+                costs[i] = REPEATS if len(run) > 2 else DOUBLES
+            run = [place]
+        before = letters
+    return costs
+
+
 class Restorer:
     """Decodes tokens under a model of ``trigram_model``."""
 
@@ -68,13 +90,12 @@ class Restorer:
         """The likeliest letters; spaces part words."""
         # By the last two symbols: log probability and the decoded text as a linked list.
         states = {(0, 0): (0.0, None)}
-        for place, char in enumerate(token):
+        for char, again in zip(token, repeat_costs(token), strict=True):
             options = []
             if char.isalpha():
                 options.append((SELF, char))
-                # Two letters alike are common, three are not.
-                if char * 3 in token[max(0, place - 2) : place + 2]:
-                    options.append((REPEATS, ""))
+            if again is not None:
+                options.append((again, ""))
             options += [(STANDS, c) for c in STANDS_FOR.get(char, "")]
             if not char.isalnum():
                 # A mark that stands for letters seldom parts them.
@@ -103,15 +124,21 @@ class Restorer:
     def words(self, token: str) -> list[str]:
         """The words in a written token of lower case: itself, and restored where it is disguised.
 
-        A token of letters only, without a letter three times in a row, has one path
-        through the channel that keeps it, and is not decoded.
+        A token of letters only, without a letter twice in a row, has one path through the
+        channel that keeps it, and is not decoded. Nor are digits without letters and
+        without other characters that stand for letters: they are numbers.
         """
         plain = _EDGE.sub("", token)
         if not any(map(str.isalpha, plain)):
-            return []
-        if plain.isalpha() and not _RUN.search(plain) and not self._foreign(plain):
+            stand = [c for c in token if c in STANDS_FOR]
+            if len(stand) < 3 or all(map(str.isdigit, stand)):
+                return []
+            return self.decode(_TAIL.sub("", token)).split()
+        if plain.isalpha() and not self._foreign(plain):
             if token[0] not in _FIRST and (token[-1] not in _LAST or _TAIL.search(token)):
-                return [plain]
+                if not _DOUBLED.search(plain):
+                    return [plain]
+                token = plain
         restored = self.decode(_TAIL.sub("", token)).split()
         return [plain, *(w for w in restored if w != plain)]
 
@@ -120,5 +147,5 @@ class Restorer:
         return not word.isascii() and bool(_LOOKS.search(word) and _LATIN.search(word))
 
     def spaced(self, text: str) -> list[str]:
-        """Words written with a space behind every letter."""
-        return [w for run in _SPACED.findall(text) for w in self.decode(run).split()]
+        """Words written with white space behind every letter."""
+        return [w for run in _SPACED.findall(text) for w in self.decode(" ".join(run.split())).split()]
