@@ -9,7 +9,11 @@ text writer commits; the separator it puts behind each row is an empty gzip memb
 Reading. A record must have a version line, headers that parse, a block of the declared
 length and digests that match; a gzip member must also decompress to its checksum. Behind
 a failed check the reader searches for the next gzip member or version line that begins
-a valid record, goes on from there, and logs the bytes between as a gap.
+a valid record, goes on from there, and logs the bytes between as a gap. A member that is
+damaged, or holds a damaged record, is inflated as far as it goes and searched in the same
+way: its valid records are kept, and its gaps have their place in the inflated bytes too.
+Where the compressed bytes are wrong, only records count that a digest of their own vouches
+for. A record alone in its member is that member: it needs the member's checksum.
 
 A null html is an empty payload. Pages with a null page_id are archived without one; they
 refer to others, or are referred to, by record only. Pages that repeat id, url and payload
@@ -49,7 +53,7 @@ RECORDS = (
     "file string, start long, end long, record_type string, record_id string, uri string, page_id long, "
     "refers_to long, payload_bytes long, payload_digest string, payload binary"
 )
-GAPS = "file string, start long, end long, reason string"
+GAPS = "file string, start long, end long, reason string, inside_start long, inside_end long"
 
 
 # Writing
@@ -151,6 +155,18 @@ class Damaged(ValueError):
     """What begins here is not a valid record."""
 
 
+class Gap(str):
+    """The reason of a gap, and its place in the inflated bytes if it begins behind others of its member."""
+
+    inside: tuple[int | None, int | None] = (None, None)
+
+    @classmethod
+    def within(cls, reason: str, start: int, end: int) -> Gap:
+        gap = cls(reason)
+        gap.inside = (start, end)
+        return gap
+
+
 @dataclass
 class Record:
     headers: dict[str, str]
@@ -170,6 +186,13 @@ class Record:
         declared = _parse_headers(self.block.partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]).get("content-length", "")
         return int(declared) if declared.isdigit() else 0
 
+    @property
+    def vouched(self) -> bool:
+        """Whether a digest covers the block; parse_record has compared it."""
+        own = self.headers
+        names = ["warc-block-digest"] if own.get("warc-type") == "revisit" else ["warc-block-digest", "warc-payload-digest"]
+        return any(_hex_digest(own.get(n, "")) for n in names)
+
 
 def _parse_headers(lines: list[bytes]) -> dict[str, str]:
     headers, last = {}, None
@@ -224,31 +247,91 @@ def parse_record(data: bytes, at: int = 0) -> tuple[Record, int]:
     return found, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at a place, and where it ends."""
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at a place inflates to, where it ends, and what is wrong with it."""
     inflate, out, fed = zlib.decompressobj(31), [], at
-    try:
-        while not inflate.eof:
-            if fed >= len(data):
-                raise Damaged("member cut off")
-            out.append(inflate.decompress(data[fed : fed + _FEED]))
-            fed = min(fed + _FEED, len(data))
-    except zlib.error:
-        raise Damaged("member") from None
-    return b"".join(out), fed - len(inflate.unused_data)
-
-
-def _records_at(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The records of the member, or the one record, that begins at a place."""
+    while not inflate.eof:
+        if fed >= len(data):
+            return b"".join(out), fed, "member cut off"
+        before, chunk = inflate.copy(), data[fed : fed + _FEED]
+        try:
+            out.append(inflate.decompress(chunk))
+        except zlib.error:
+            out.append(_until(before, chunk, None)[0])
+            return b"".join(out), fed, "member"
+        fed += len(chunk)
+    return b"".join(out), fed - len(inflate.unused_data), ""
+
+
+def _until(inflate, chunk: bytes, size: int | None) -> tuple[bytes, int]:
+    """What a chunk inflates to before an error or until so many bytes, and how much of it that takes."""
+    out, got, used = [], 0, 0
+    step = len(chunk)
+    while step and used < len(chunk):
+        trial = inflate.copy()
+        try:
+            found = trial.decompress(chunk[used : used + step])
+            over = size is not None and got + len(found) >= size
+        except zlib.error:
+            over = True
+        if not over:
+            inflate, got, used = trial, got + len(found), min(used + step, len(chunk))
+            out.append(found)
+        elif step == 1:
+            return b"".join(out), used
+        else:
+            step = (step + 1) // 2
+    return b"".join(out), used
+
+
+def _taken(data: bytes, at: int, size: int) -> int:
+    """Behind the compressed bytes that the first ``size`` bytes of the member at a place are made from."""
+    inflate, got, fed = zlib.decompressobj(31), 0, at
+    while True:
+        before, chunk = inflate.copy(), data[fed : fed + _FEED]
+        try:
+            found = len(inflate.decompress(chunk))
+        except zlib.error:
+            found = size - got
+        if got + found >= size:
+            return fed + _until(before, chunk, size - got)[1] + 1
+        got, fed = got + found, fed + len(chunk)
+
+
+def _found_at(data: bytes, at: int) -> tuple[list[Record | Gap], int, Gap | None]:
+    """The record, or a member's records and gaps, that begin at a place, their end, and the gap behind."""
     if data[at : at + 3] != _MAGIC:
         found, end = parse_record(data, at)
-        return [found], end
-    content, end = _member(data, at)
-    records, inside = [], 0
+        return [found], end, None
+    content, end, wrong = _member(data, at)
+    found, inside, gap, reason, behind = [], 0, None, "", 0
     while inside < len(content):
-        found, inside = parse_record(content, inside)
-        records.append(found)
-    return records, end
+        try:
+            one, after = parse_record(content, inside)
+            if wrong == "member" and not one.vouched:
+                raise Damaged(wrong)
+        except Damaged as error:
+            if gap is None:
+                gap, reason = inside, str(error)
+            version = _VERSION.search(content, inside + 1)
+            inside = version.start() if version else len(content)
+            continue
+        if gap is not None:
+            found.append(Gap.within(reason, gap, inside))
+            gap = None
+        found.append(one)
+        inside = behind = after
+    if wrong:
+        if not behind or (len(found) == 1 and behind == len(content)):
+            raise Damaged(wrong)
+        # What follows the last valid record is searched, and logged, as bytes of the file.
+        end = _taken(data, at, behind)
+        return found, min(end, len(data) - 1), Gap.within(wrong, behind, len(content))
+    if gap is not None:
+        if not behind:
+            raise Damaged(reason)
+        found.append(Gap.within(reason, gap, len(content)))
+    return found, end, None
 
 
 def _next_start(data: bytes, at: int) -> int:
@@ -258,15 +341,15 @@ def _next_start(data: bytes, at: int) -> int:
     return min(found, default=len(data))
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, Record | str]]:
+def salvage(data: bytes) -> Iterator[tuple[int, int, Record | Gap]]:
     """(start, end, record) of what is valid, (start, end, reason) of the gaps between."""
-    at, gap, reason = 0, None, ""
+    at, gap, reason = 0, None, Gap()
     while at < len(data):
         try:
-            records, end = _records_at(data, at)
+            records, end, lost = _found_at(data, at)
         except Damaged as error:
             if gap is None:
-                gap, reason = at, str(error)
+                gap, reason = at, Gap(error)
             at = _next_start(data, at + 1)
             continue
         if gap is not None:
@@ -274,6 +357,9 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | str]]:
             gap = None
         for found in records:
             yield at, end, found
+        if lost is not None:
+            gap, reason = end, lost
+            end = _next_start(data, end)
         at = end
     if gap is not None:
         yield gap, len(data), reason
@@ -299,8 +385,8 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> tuple
                 for start, end, found in salvage(batch.column(1)[i].as_py()):
                     if gaps != isinstance(found, str):
                         continue
-                    rows.append((file, start, end, found) if gaps else (file, start, end, *_columns(found, payload)))
-                    size += end - start
+                    rows.append((file, start, end, found, *found.inside) if gaps else (file, start, end, *_columns(found, payload)))
+                    size += 0 if gaps else len(found.block)
                     if size >= 1 << 22 or len(rows) >= 2_000:
                         yield _batch(rows, names)
                         rows, size = [], 0
@@ -308,7 +394,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> tuple
                     yield _batch(rows, names)
 
     def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-        kinds = {"start": pa.int64(), "end": pa.int64(), "page_id": pa.int64(), "refers_to": pa.int64(),
+        kinds = {"start": pa.int64(), "end": pa.int64(), "inside_start": pa.int64(), "inside_end": pa.int64(), "page_id": pa.int64(), "refers_to": pa.int64(),
                  "payload_bytes": pa.int64(), "payload": pa.binary()}
         columns = [pa.array(c, kinds.get(n, pa.string())) for n, c in zip(names, zip(*rows, strict=True), strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=names)
