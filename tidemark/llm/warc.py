@@ -366,7 +366,9 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | Gap]]:
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text and re.fullmatch(r"-?\d{1,18}", text) else None
+    """A number in the range of a long."""
+    number = int(text) if text and re.fullmatch(r"-?\d{1,19}", text) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> tuple[DataFrame, DataFrame]:
