@@ -1,11 +1,12 @@
 """Nearest neighbours by inverted lists and an adaptive scan of dimensions.
 
 Index. Centroids are fitted on a bounded sample, and every vector goes to the list of its
-nearest centroid. Vectors are also kept rotated by a random orthogonal matrix, so that any
+nearest centroid. Some vectors are left out of that fit: the share of all vectors to probe
+is measured on their true neighbours in the whole table. Vectors are also kept rotated by a random orthogonal matrix, so that any
 block of dimensions holds a like share of a distance.
 
 Search. A query probes its nearest lists until they hold the share of all vectors that
-reached the target recall on the sample. Inside a part of a list, candidates are
+reached the target recall on those left out. Inside a part of a list, candidates are
 scanned one block of columns at a time: the partial distance, scaled to all dimensions,
 is tested against the distance of the k-th best so far, and candidates that are farther at
 the test's confidence are abandoned. The distances of those that stay are computed on the
@@ -35,6 +36,8 @@ from tidemark.llm.vectors import finite, usual_dimension
 from tidemark.session import materialise
 
 SAMPLE = 20_000
+# Vectors whose neighbours the share to probe is measured on.
+MEASURED = 256
 MOST_LISTS = 4_096
 TARGET_RECALL = 0.96
 ROWS_PER_PART = 8_192
@@ -71,6 +74,10 @@ def fit(rows: DataFrame, total: int, k: int, target: float = TARGET_RECALL, seed
     """Fit on at most SAMPLE vectors, chosen by a hash of the id."""
     few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).collect()
     sample = np.array([r["vector"] for r in few], float)
+    whole = total <= len(sample)
+    if not whole:
+        aside = min(MEASURED, len(sample) // 4)
+        ids, queries, sample = np.array([r["vec_id"] for r in few[:aside]]), sample[:aside], sample[aside:]
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((sample.shape[1],) * 2))
     lists = min(MOST_LISTS, max(1, round(total**0.5)), max(1, len(sample) // 8))
@@ -81,7 +88,9 @@ def fit(rows: DataFrame, total: int, k: int, target: float = TARGET_RECALL, seed
         nearest = _squared(sample, centroids).argmin(1)
         for j in np.unique(nearest):
             centroids[j] = sample[nearest == j].mean(0)
-    return Lists(centroids, rotation, _needed_share(sample, centroids, k, target))
+    if whole or not len(queries):
+        return Lists(centroids, rotation, _needed_share(sample, centroids, k, target))
+    return Lists(centroids, rotation, _share_by_all(rows, ids, queries, centroids, k, target))
 
 
 def _needed_share(sample: np.ndarray, centroids: np.ndarray, k: int, target: float) -> float:
@@ -101,6 +110,51 @@ def _needed_share(sample: np.ndarray, centroids: np.ndarray, k: int, target: flo
     return float(np.quantile(np.take_along_axis(reached, own[neighbours], 1), target))
 
 
+def _share_by_all(
+    rows: DataFrame, ids: np.ndarray, queries: np.ndarray, centroids: np.ndarray, k: int, target: float
+) -> float:
+    """The share as in _needed_share, by the neighbours of the queries among all rows."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = np.zeros(len(centroids), np.int64)
+        best, held = np.full((len(queries), k), np.inf), np.zeros((len(queries), k), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(start, CHUNK)
+                x = np.array(part.column(1).to_pylist(), float)
+                own = _squared(x, centroids).argmin(1)
+                sizes += np.bincount(own, minlength=len(centroids))
+                distance = _squared(queries, x)
+                distance[ids[:, None] == np.array(part.column(0))] = np.inf
+                distance = np.concatenate([best, distance], 1)
+                lists = np.concatenate([held, np.broadcast_to(own, (len(queries), len(own)))], 1)
+                take = distance.argpartition(k - 1, 1)[:, :k]
+                best, held = np.take_along_axis(distance, take, 1), np.take_along_axis(lists, take, 1)
+        query, place = np.nonzero(np.isfinite(best))
+        filled = np.flatnonzero(sizes)
+        columns = [
+            np.concatenate([query, np.full(len(filled), -1)]),
+            np.concatenate([held[query, place], filled]),
+            np.concatenate([best[query, place], sizes[filled]]).astype(float),
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "list", "value"])
+
+    found = rows.mapInArrow(nearest, "query long, list long, value double")
+    # Rows of query -1 are sizes of lists, of any other its nearest rows on each task.
+    order = Window.partitionBy("query", F.when(F.col("query") < 0, F.col("list"))).orderBy("value", "list")
+    found = found.withColumn("place", F.row_number().over(order)).where((F.col("query") < 0) | (F.col("place") <= k))
+    found = found.groupBy("query", "list").agg(F.sum("value").alias("size"), F.count("*").alias("n")).collect()
+    sizes = np.zeros(len(centroids))
+    for r in found:
+        if r["query"] < 0:
+            sizes[r["list"]] = r["size"]
+    order = _squared(queries, centroids).argsort(1)
+    reached = np.empty(order.shape)
+    np.put_along_axis(reached, order, sizes[order].cumsum(1) / sizes.sum(), 1)
+    shares = [reached[r["query"], r["list"]] for r in found if r["query"] >= 0 for _ in range(r["n"])]
+    return float(np.quantile(shares, target)) if shares else 1.0
+
+
 def _hash(column: str) -> Column:
     return F.xxhash64(column, F.lit(1))
 
