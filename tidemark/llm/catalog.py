@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, warc
+from tidemark.llm import ann, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, urlrules, warc
 from tidemark.llm.common import table
-from tidemark.session import work_path
+from tidemark.session import local_frame, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Host, path and verdict of the rules on urls.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
@@ -81,6 +84,11 @@ def op10_block_topk(spark, sf_dir):
     return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op13_url_rules(spark, sf_dir):
+    rules = local_frame(spark, URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +102,7 @@ QUERIES: dict[str, Query] = {
         op8_weak_pii,
         op9_token_counts,
         op10_block_topk,
+        op13_url_rules,
     )
 }
 
@@ -177,3 +186,24 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
   vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+ORACLE["op13_url_rules"] = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+r AS (
+  SELECT *, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
