@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, urlrules, warc
+from tidemark.llm import ann, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, trie, urlrules, warc
 from tidemark.llm.common import table
 from tidemark.session import local_frame, work_path
 
@@ -84,6 +84,10 @@ def op10_block_topk(spark, sf_dir):
     return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_url_rules(spark, sf_dir):
     rules = local_frame(spark, URL_RULES, "host string, path string, verdict string")
     return urlrules.judge(table(spark, sf_dir, "pages"), rules)
@@ -102,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op8_weak_pii,
         op9_token_counts,
         op10_block_topk,
+        op11_prefix_trie,
         op13_url_rules,
     )
 }
@@ -207,3 +212,45 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
+
+# CRC-32 has no function in DuckDB: the table of its 256 steps and a fold over the digits.
+ORACLE["op11_prefix_trie"] = """
+WITH k AS (
+  SELECT list(list_reduce(list_prepend(i::UBIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS steps
+  FROM range(256) r(i)),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(4294967295::UBIGINT, list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+      lambda a, b: xor(a >> 8, steps[1 + xor(a, b) % 256]))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), k),
+t AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, x) AS pos FROM t),
+r AS (
+  SELECT c.conv_id, 0 AS own, o.pos, o.x, o.text FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.pos, o.x, o.text FROM c JOIN o ON o.conv_id = c.conv_id AND o.pos > c.h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(x, '') OVER w AS path, length(text) AS size
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+l AS (SELECT conv_id, max(depth) AS length FROM p GROUP BY conv_id),
+n AS (
+  SELECT p.depth, p.path, min(p.conv_id) AS conv_id, count(*) AS n, any_value(p.size) AS size,
+    count_if(p.depth = l.length) AS ended,
+    string_agg(CASE WHEN p.depth = l.length THEN p.conv_id::VARCHAR END, ',' ORDER BY p.conv_id) AS ends
+  FROM p JOIN l USING (conv_id) GROUP BY p.depth, p.path),
+s AS (
+  SELECT u.depth, u.path, sum((v.n - 1) * v.size) AS saved, count_if(v.ended = v.n) AS leaves
+  FROM (SELECT depth, path, n, size, ended, unnest(generate_series(0, depth)) AS up FROM n) v
+  JOIN n u ON u.depth = v.up AND u.path = substr(v.path, 1, 64 * v.up)
+  GROUP BY u.depth, u.path),
+k2 AS (SELECT depth - 1 AS depth, substr(path, 1, 64 * (depth - 1)) AS path, count(*) AS children FROM n WHERE depth > 0 GROUP BY ALL)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k2.children, 0) AS n_children,
+  CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN s USING (depth, path) LEFT JOIN k2 USING (depth, path)
+LEFT JOIN n m ON m.depth = n.depth - 1 AND m.path = substr(n.path, 1, 64 * (n.depth - 1))
+"""
