@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, trie, urlrules, warc
+from tidemark.llm import ann, balltree, buckets, mixing, pii, setsketch, shards, tokens, topk, toxicity, trie, urlrules, warc
 from tidemark.llm.common import table
 from tidemark.session import local_frame, work_path
 
@@ -88,6 +88,10 @@ def op11_prefix_trie(spark, sf_dir):
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_ball_tree(spark, sf_dir):
+    return balltree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_url_rules(spark, sf_dir):
     rules = local_frame(spark, URL_RULES, "host string, path string, verdict string")
     return urlrules.judge(table(spark, sf_dir, "pages"), rules)
@@ -107,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op9_token_counts,
         op10_block_topk,
         op11_prefix_trie,
+        op12_ball_tree,
         op13_url_rules,
     )
 }
@@ -223,7 +228,7 @@ c AS (
   SELECT conv_id, conv_id - conv_id % 100 AS base,
     xor(4294967295::UBIGINT, list_reduce(
       list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
-      lambda a, b: xor(a >> 8, steps[1 + xor(a, b) % 256]))) % 6 AS h
+      lambda a, b: xor(a >> 8, steps[CAST(1 + xor(a, b) % 256 AS BIGINT)]))) % 6 AS h
   FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), k),
 t AS (
   SELECT conv_id, turn, coalesce(text, '') AS text,
@@ -254,3 +259,31 @@ SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n AS n_convs, coalesce
 FROM n JOIN s USING (depth, path) LEFT JOIN k2 USING (depth, path)
 LEFT JOIN n m ON m.depth = n.depth - 1 AND m.path = substr(n.path, 1, 64 * (n.depth - 1))
 """
+
+ORACLE["op12_ball_tree"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+a AS (SELECT count_if(len(terms) > 0) AS n, sum(len(terms)) AS l FROM d),
+q AS (
+  SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+f AS (
+  SELECT doc_id, doc, term, len(terms) AS n, count(*) AS tf
+  FROM (SELECT doc_id, doc, terms, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * a.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM f, a GROUP BY term, a.n),
+v AS (
+  SELECT doc_id, doc, f.term, w * ((1000000000 * tf) // (1000 * tf + 12 * CAST(75 + (25 * f.n * a.n) // a.l AS BIGINT))) AS v
+  FROM f JOIN w ON w.term = f.term, a),
+s AS (
+  SELECT item, item_id, doc, doc_id, CAST(sum(v) AS BIGINT) AS score
+  FROM q JOIN v ON v.term = q.term GROUP BY ALL HAVING sum(v) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) <= 20
+"""
