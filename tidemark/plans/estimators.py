@@ -7,11 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -22,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import name
 from tidemark.operators.curves import metric_value, resolve_metric
 from tidemark.operators.encoding import FeaturePrep
+from tidemark.plans.boosting import LEAF, LEVEL, HistogramBooster
 from tidemark.roles import BASELINE, ColumnRoles
 
 SEED = 42
@@ -32,8 +29,9 @@ MODELS = (LOGREG, FOREST, BOOSTER_A, BOOSTER_B)
 # Unlimited tree depth is the deepest tree MLlib grows.
 MAX_DEPTH = 30
 
-# More tree nodes per pass over the rows than MLlib's default of 256 MB allows.
-TREE_MEMORY = {"maxMemoryInMB": 1024}
+# More tree nodes per pass over the rows than MLlib's default of 256 MB allows, and the node of
+# each row kept next to it, so that the growing forest is not sent to every task.
+TREE_MEMORY = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 # Defaults and search grids of the four models.
 FOREST_DEFAULTS = {"numTrees": 300, "maxDepth": MAX_DEPTH, "featureSubsetStrategy": "sqrt"}
@@ -42,7 +40,20 @@ BOOSTER_DEFAULTS = {
     "maxDepth": 4,
     "stepSize": 0.1,
     "subsamplingRate": 0.9,
-    "featureSubsetStrategy": "0.9",
+    "columnRate": 0.9,
+}
+# Growth by level with a penalty, and growth by leaf with larger leaves from the mean.
+BOOSTER_PRESETS = {
+    BOOSTER_A: {"growth": LEVEL, "l2": 1.0, "minCurvature": 1.0, "maxBins": 256},
+    BOOSTER_B: {
+        "growth": LEAF,
+        "maxLeaves": 31,
+        "l2": 0.0,
+        "minCurvature": 1e-3,
+        "minInstancesPerNode": 20,
+        "maxBins": 255,
+        "startFromMean": True,
+    },
 }
 FOREST_GRID = {
     "maxDepth": [8, 12, 16, MAX_DEPTH],
@@ -148,22 +159,20 @@ def train_gbt(
     grid: Mapping[str, Sequence] | None = None,
     **settings,
 ) -> ModelSpec:
-    booster = GBTClassifier(
-        **{**TREE_MEMORY, **BOOSTER_DEFAULTS, **settings}, labelCol=LABEL, weightCol=WEIGHT, seed=SEED
+    booster = HistogramBooster(
+        **{**BOOSTER_DEFAULTS, **BOOSTER_PRESETS[label], **settings}, labelCol=LABEL, weightCol=WEIGHT, seed=SEED
     )
     return _tree_spec(label, booster, prep(roles, feature_set, selected=selected), grid)
 
 
 def train_gbt_a(roles: ColumnRoles, feature_set: str = BASELINE, **options) -> ModelSpec:
-    """Boosted trees, first preset."""
+    """Boosted trees of second order, grown level by level."""
     return train_gbt(roles, feature_set, label=BOOSTER_A, **options)
 
 
 def train_gbt_b(roles: ColumnRoles, feature_set: str = BASELINE, **options) -> ModelSpec:
-    """Boosted trees, second preset: finer bins and larger leaves."""
-    return train_gbt(
-        roles, feature_set, label=BOOSTER_B, **{"maxBins": 255, "minInstancesPerNode": 20, **options}
-    )
+    """Boosted trees of second order, the leaf of the largest gain first."""
+    return train_gbt(roles, feature_set, label=BOOSTER_B, **options)
 
 
 def _tree_spec(label: str, tree, stage: FeaturePrep, grid) -> ModelSpec:
