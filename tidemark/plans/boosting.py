@@ -179,7 +179,8 @@ class Growth:
             # Counts are whole, but sums of curvatures come from subtractions.
             allowed &= (side[:, 1] >= s.least_curvature - 1e-9) & (side[:, 2] >= max(1, s.least_rows) - 0.5)
         gain = np.where(allowed, gain, -np.inf)
-        best = int(gain.argmax())
+        # Equal gains differ in their last digits, by the order of the sums.
+        best = int(np.argmax(gain >= gain.max() * (1 - 1e-9)))
         if gain[best] > LEAST_GAIN:
             leaf.gain, leaf.cell, leaf.sides = float(gain[best]), best, (left[best], right[best])
 

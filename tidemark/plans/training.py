@@ -6,10 +6,8 @@ import json
 import warnings
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
-from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import name
 from tidemark.operators import cleaning, curves, fairness, splitting
 from tidemark.operators.sampling import sample_fixed
-from tidemark.plans.estimators import (
-    FEATURES,
-    LABEL,
-    WEIGHT,
-    MetricEvaluator,
-    ModelSpec,
-    positive_probability,
-)
+from tidemark.plans.estimators import LABEL, WEIGHT, ModelSpec, positive_probability
+from tidemark.plans.search import Ledger, score_folds
 from tidemark.roles import BASELINE, ColumnRoles
-from tidemark.session import local_frame, materialise, path_exists, scratch
+from tidemark.session import local_frame, materialise, path_exists
 from tidemark.sources.metrics import metrics_frame
 
 DEFAULT_METRIC = "f1"
@@ -154,6 +146,9 @@ class SearchResult:
     stds: list[float]
     best: int
     model: PipelineModel
+    # Mean and deviation of the selection metric of the best map.
+    selected: float
+    selected_std: float
 
 
 def cross_validate(
@@ -162,39 +157,45 @@ def cross_validate(
     *,
     metric: str = DEFAULT_METRIC,
     folds: int = splitting.FOLDS,
-    parallelism: int = 2,
+    parallelism: int | None = None,
+    ledger: Ledger | None = None,
 ) -> tuple[list[float], list[float]]:
-    """Mean and deviation over the folds for each parameter map.
+    """Mean and deviation over the folds for each parameter map."""
+    scores = score_folds(spec, train, [metric], folds, parallelism=parallelism, ledger=ledger)
+    return _moments(scores.values[curves.resolve_metric(metric)])
 
-    The preparation is fitted once per fold, on its training rows only, and shared by all
-    parameter maps, which are fitted ``parallelism`` at a time.
+
+def _moments(values: list[list[float]]) -> tuple[list[float], list[float]]:
+    return [fmean(s) for s in values], [pstdev(s) for s in values]
+
+
+def grid_search(
+    spec: ModelSpec,
+    train: DataFrame,
+    *,
+    metric: str = DEFAULT_METRIC,
+    select_metric: str | None = None,
+    folds: int = splitting.FOLDS,
+    parallelism: int | None = None,
+    ledger: Ledger | None = None,
+) -> SearchResult:
+    """Cross-validate every parameter map and refit the best, the first of equals, on all rows.
+
+    ``select_metric`` is measured on the same fits.
     """
-    evaluator = MetricEvaluator(metric=metric)
-    scores: list[list[float]] = [[] for _ in spec.grid]
-    for fold in range(folds):
-        fit_rows = train.filter(F.col("fold") != fold)
-        encoded = spec.prep.fit(fit_rows).transform(train.filter(F.col("fold").isNotNull()))
-        encoded = encoded.select(name(LABEL), WEIGHT, "fold", FEATURES)
-        # Encoded once for all maps; a fit or an evaluation reads its own folds only.
-        with scratch(encoded, "vectors", ["fold"]) as vectors:
-            fit_vectors, held_vectors = vectors.filter(F.col("fold") != fold), vectors.filter(F.col("fold") == fold)
-
-            def score(params: dict, fit_vectors=fit_vectors, held_vectors=held_vectors) -> float:
-                model = spec.classifier.fit(fit_vectors, params)
-                return evaluator.evaluate(model.transform(held_vectors))
-
-            with ThreadPool(min(parallelism, len(spec.grid))) as pool:
-                fold_scores = pool.map(inheritable_thread_target(train.sparkSession)(score), spec.grid)
-            for own, value in zip(scores, fold_scores, strict=True):
-                own.append(value)
-    return [fmean(s) for s in scores], [pstdev(s) for s in scores]
-
-
-def grid_search(spec: ModelSpec, train: DataFrame, **options) -> SearchResult:
-    """Cross-validate every parameter map and refit the best, the first of equals, on all rows."""
-    means, stds = cross_validate(spec, train, **options)
+    key, select = (curves.resolve_metric(m) for m in (metric, select_metric or metric))
+    saved = any(ledger.model(spec, params) for params in spec.grid) if ledger else False
+    options = {"parallelism": parallelism, "ledger": ledger}
+    scores = score_folds(spec, train, list(dict.fromkeys([key, select])), folds, refits=not saved, **options)
+    means, stds = _moments(scores.values[key])
     best = max(range(len(means)), key=lambda i: means[i])
-    return SearchResult(means, stds, best, refit(spec, train, spec.grid[best]))
+    model = ledger.model(spec, spec.grid[best]) if ledger else None
+    if model is None:
+        model = scores.refits.get(best) or refit(spec, train, spec.grid[best])
+        if ledger:
+            ledger.save(spec, spec.grid[best], model)
+    (chosen,), (deviation,) = _moments([scores.values[select][best]])
+    return SearchResult(means, stds, best, model, chosen, deviation)
 
 
 def refit(spec: ModelSpec, train: DataFrame, params: dict) -> PipelineModel:
@@ -229,16 +230,25 @@ def train_one(
     strategy: str = "f1",
     recall_floor: float = curves.RECALL_FLOOR,
     folds: int = splitting.FOLDS,
-    parallelism: int = 2,
+    parallelism: int | None = None,
+    ledger: str | None = None,
 ) -> TrainedModel:
-    """Search, fit, choose the threshold on validation, and measure validation and test."""
+    """Search, fit, choose the threshold on validation, and measure validation and test.
+
+    Below the path ``ledger`` fits are remembered: begun again, a run goes on where it stopped.
+    """
     train = data.part(splitting.TRAIN)
-    search = grid_search(spec, train, metric=grid_metric, folds=folds, parallelism=parallelism)
-    cv_score, cv_std = search.means[search.best], search.stds[search.best]
-    grid_score = cv_score if len(spec.grid) > 1 else None
-    if curves.resolve_metric(grid_metric) != curves.resolve_metric(select_metric):
-        chosen = replace(spec, grid=[spec.grid[search.best]])
-        (cv_score,), (cv_std,) = cross_validate(chosen, train, metric=select_metric, folds=folds)
+    search = grid_search(
+        spec,
+        train,
+        metric=grid_metric,
+        select_metric=select_metric,
+        folds=folds,
+        parallelism=parallelism,
+        ledger=Ledger(train.sparkSession, ledger, train) if ledger else None,
+    )
+    cv_score, cv_std = search.selected, search.selected_std
+    grid_score = search.means[search.best] if len(spec.grid) > 1 else None
     pipeline = search.model
     # Validation and test are scored once and written; the metrics read that table.
     held_out = data.rows.filter(F.col("split") != splitting.TRAIN)
@@ -351,7 +361,7 @@ class RunSettings:
     save_baseline: bool = False
     run_shap: bool = True
     folds: int = splitting.FOLDS
-    parallelism: int = 2
+    parallelism: int | None = None
 
     def resolved(self) -> RunSettings:
         """The settings with the grid and selection metrics filled in."""
