@@ -56,10 +56,9 @@ def test_trees_are_the_defaults(asked):
 
 @pytest.mark.usefixtures("spark")
 def test_grids_and_runs_are_whole(asked):
-    assert settings(asked(model_queries.grid_search)[0][0])
     assert len(asked(model_queries.cv_score)[0][0].grid) == 32
-    for name, maps in (("grid_search_forest", 32), ("grid_search_gbt_a", 12), ("grid_search_gbt_b", 12)):
-        spec = asked(model_queries.WHOLE[name])[0][0]
+    for name, maps in (("grid_search", 32), ("grid_search_forest", 32), ("grid_search_gbt_a", 12), ("grid_search_gbt_b", 12)):
+        spec = asked(model_queries.QUERIES[name])[0][0]
         assert settings(spec) and len(spec.grid) == maps
     args, options = asked(model_queries.WHOLE["training_run_whole"])
     assert options["settings"] == training.RunSettings(probe_train=True)

@@ -564,17 +564,45 @@ measured AS (
 SELECT run_id, model, split, n, positives, true AS in_order FROM models, measured"""
 
 
+def _stump() -> str:
+    """The best split of all dummies by gradient and curvature, for both presets of the booster."""
+    sides = " UNION ALL ".join(
+        f"""SELECT model, {i} AS place, '{n}' AS feature, sum(g) AS g, sum(h) AS h, count(*) AS n,
+  coalesce(sum(g) FILTER (WHERE {e} = 0), 0) AS lg, coalesce(sum(h) FILTER (WHERE {e} = 0), 0) AS lh,
+  count(*) FILTER (WHERE {e} = 0) AS ln FROM gr GROUP BY model"""
+        for i, (e, n) in enumerate(_dummies(prefix="cat__"))
+    )
+    return f"""{FROM_PARTS}, fit AS (SELECT * FROM parts WHERE split = 'train'),
+wt AS (SELECT *, CASE WHEN y = 1 THEN sqrt(CAST(count(*) FILTER (WHERE y = 0) OVER () AS DOUBLE)
+  / greatest(count(*) FILTER (WHERE y = 1) OVER (), 1)) ELSE CAST(1 AS DOUBLE) END AS weight FROM fit),
+presets(model, l2, least_h, least_n) AS (VALUES ('gbt_a', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), 1),
+  ('gbt_b', CAST(0 AS DOUBLE), CAST(0.001 AS DOUBLE), 20)),
+pr AS (SELECT *, CASE model WHEN 'gbt_a' THEN CAST(0.5 AS DOUBLE) ELSE sum(weight * y) OVER (PARTITION BY model) / sum(weight) OVER (PARTITION BY model) END AS p
+  FROM wt, presets),
+gr AS (SELECT *, weight * (p - y) AS g, weight * p * (1 - p) AS h FROM pr),
+st AS ({sides}),
+ca AS (SELECT st.model, place, feature, ln AS n_low, n - ln AS n_high, -lg / (lh + l2) * 0.1 AS low, -(g - lg) / (h - lh + l2) * 0.1 AS high,
+  lg * lg / (lh + l2) + (g - lg) * (g - lg) / (h - lh + l2) - g * g / (h + l2) AS gain
+  FROM st JOIN presets USING (model) WHERE lh >= least_h AND h - lh >= least_h AND ln >= least_n AND n - ln >= least_n)
+SELECT model, feature, round(gain, 6) AS gain, round(low, 6) AS low, round(high, 6) AS high, n_low, n_high FROM ca
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY round(gain, 7) DESC, place) = 1"""
+
+
 _ENCODED = len(NUMERIC) + len(_dummies())
 _ALL = ["logreg", "random_forest", "gbt_a", "gbt_b"]
 
 ORACLE.update({f"train_{m}": _measured({"run": [m]}) for m in _ALL})
 ORACLE.update(
     {
+        "booster_stump": _stump(),
         "train_engineered": _measured({"run": ["logreg"]}),
         "train_suite": _measured({"run": _ALL}),
         "training_run": _measured({r: ["logreg", "random_forest"] for r in ("r1", "r1-slim")}),
-        "grid_search": """SELECT CAST(4 AS BIGINT) AS maps, CAST(4 AS BIGINT) AS settings, true AS best_taken,
-            true AS in_order""",
+        **{
+            q: f"""SELECT CAST({maps} AS BIGINT) AS maps, CAST({maps} AS BIGINT) AS settings, true AS best_taken,
+            true AS in_order"""
+            for q, maps in (("grid_search", 32), ("grid_search_forest", 32), ("grid_search_gbt_a", 12), ("grid_search_gbt_b", 12))
+        },
         "cv_score": """SELECT metric, true AS in_order
             FROM (VALUES ('cv_score'), ('cv_mcc'), ('cv_std'), ('grid_score')) AS m(metric)""",
         "suite_winner": "SELECT CAST(4 AS BIGINT) AS models, true AS best_won, true AS known",
@@ -596,7 +624,7 @@ WHERE NOT drop_first OR feature <> (SELECT min(feature) FROM levels)""",
 SELECT 'run' AS run_id, knob, value FROM (VALUES ('feature_set', 'baseline'), ('tune', 'false'), ('metric', 'f2'),
   ('grid_metric', 'f2'), ('select_metric', 'f2'), ('metrics_aligned', 'true'), ('pos_weight_mode', 'sqrt'),
   ('threshold_strategy', 'f2'), ('recall_floor', '0.8'), ('probe_audit', 'false'), ('probe_train', 'false'),
-  ('save_baseline', 'false'), ('run_shap', 'true'), ('folds', '5'), ('parallelism', '2'),
+  ('save_baseline', 'false'), ('run_shap', 'true'), ('folds', '5'),
   ('threshold_tuned_on', 'validation'),
   ('data_split', '{{"test":0.15,"train":0.7,"validation":0.15}}')) AS k(knob, value)
 UNION ALL SELECT 'run', 'pos_weight_value', CAST(weight AS VARCHAR) FROM w""",
