@@ -136,7 +136,32 @@ def test_large_weights(spark):
     )
     got = {(r["query_id"], r["vec_id"]): r["score"] for r in topk.top_products(df, F.lit(True)).collect()}
     assert got[0, 1] == 2**63 - 1 and got[0, 2] == -(2**63) and got[0, 3] == 256 * 128
-    assert not any(4 in pair for pair in got)
+    # A weight beyond a long is the largest one.
+    assert got[4, 3] == 0 and got[4, 1] == 2**63 - 1 and got[4, 2] == -(2**63)
+
+
+def test_each_dimension_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.integers(-9, 9, 3 + i % 3)], 0) for i in range(120)]
+    rows += [(0, [0.5] * 5, 0), (3, [9.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    asked = F.col("vec_id") % 10 == 0
+
+    def want(score, better, k):
+        out = []
+        for d in (1, 3, 4, 5):
+            own = [r[:2] for r in rows if len(r[1]) == d]
+            out += exact(own, lambda i: i % 10 == 0 and not (i == 0 and d == 5 and rows[0][1] < [0.5] * 5), k, score, better)
+        return sorted(out)
+
+    assert sorted(map(tuple, topk.top_products(df, asked).collect())) == want(inner, lambda s: -s, 5)
+    got = ann.nearest(df, asked, k=10).collect()
+    assert {r["query_id"] for r in got} == set(range(0, 120, 10))
+    size = {r[0]: len(r[1]) for r in rows[:120]}
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    near = {(q, i) for q, _, i, _ in want(euclid, lambda s: s, 10)}
+    assert len(found & near) / len(near) > 0.9
+    assert all(size[r["vec_id"]] == size[r["query_id"]] for r in got if r["vec_id"] not in (0, 3))
 
 
 def test_bounds_stop_early():

@@ -13,10 +13,10 @@ the test's confidence are abandoned. The distances of those that stay are comput
 original vectors in double precision. Lists are cut into parts and queries into blocks, so
 no task holds a whole hot list or all queries.
 
-Vectors that are null, empty or zero, hold a null or non-finite component or are not of
-the usual dimension take no part, nor do rows with a null id. A query's candidates are all
-rows of other ids. Of rows that repeat an id the smallest vector is the query, and all
-are candidates of others. Ties go to the smaller id. A query with fewer results than k
+Vectors that are null, empty or zero or hold a null or non-finite component take no part, nor
+do rows with a null id. Vectors of another dimension than the query's are no candidates:
+each dimension is searched among its own. A query's candidates are all rows of other ids.
+Of rows that repeat an id the smallest vector is the query, and all are candidates of others. Ties go to the smaller id. A query with fewer results than k
 searches all lists. Only id and vector are read.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Work
-from tidemark.llm.vectors import finite, usual_dimension
+from tidemark.llm.vectors import finite, dimensions
 from tidemark.session import materialise
 
 SAMPLE = 20_000
@@ -62,8 +62,7 @@ class Lists:
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(vec_id, vector) of the rows that take part."""
     rows = df.where(F.col(vec_id).isNotNull() & finite(vector) & F.exists(vector, lambda x: x != 0))
-    rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    return rows.where(F.size("vector") == usual_dimension(rows, "vector"))
+    return rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -279,6 +278,30 @@ def _searched(placed: DataFrame, probes: DataFrame, parts: np.ndarray, k: int) -
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, RESULT)
 
 
+def _nearest_of(work: Work, rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Rows (query_id, rank, vec_id, score) of vectors of one dimension."""
+    total = rows.count()
+    lists = fit(rows, total, k)
+    placed = work.table(index(rows, lists), "index")
+    sizes = np.zeros(len(lists.centroids), int)
+    for r in placed.groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
+    parts = np.maximum(1, -(-sizes // ROWS_PER_PART))
+    probes = work.table(_probes(queries, lists, sizes, lists.share), "probes")
+    found = work.table(_searched(placed, probes, parts, k), "found")
+    if lists.share < 1:
+        # Queries whose lists hold fewer than k others: all lists.
+        enough = found.groupBy("query_id").count().where(F.col("count") >= k)
+        short = queries.join(enough, queries["vec_id"] == enough["query_id"], "left_anti")
+        short = work.table(short, "short")
+        if not short.isEmpty():
+            again = _searched(placed, work.table(_probes(short, lists, sizes, 1.0), "probes"), parts, k)
+            found = found.join(short, found["query_id"] == short["vec_id"], "left_anti").unionByName(again)
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
 def nearest(
     df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -286,26 +309,9 @@ def nearest(
     spark = df.sparkSession
     with Work(spark) as work:
         rows = work.table(usable(df, vec_id, vector), "vectors")
-        total = rows.count()
-        if not total:
-            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-        lists = fit(rows, total, k)
-        placed = work.table(index(rows, lists), "index")
-        sizes = np.zeros(len(lists.centroids), int)
-        for r in placed.groupBy("list").count().collect():
-            sizes[r["list"]] = r["count"]
-        parts = np.maximum(1, -(-sizes // ROWS_PER_PART))
         queries = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-        probes = work.table(_probes(queries, lists, sizes, lists.share), "probes")
-        found = work.table(_searched(placed, probes, parts, k), "found")
-        if lists.share < 1:
-            # Queries whose lists hold fewer than k others: all lists.
-            enough = found.groupBy("query_id").count().where(F.col("count") >= k)
-            short = queries.join(enough, queries["vec_id"] == enough["query_id"], "left_anti")
-            short = work.table(short, "short")
-            if not short.isEmpty():
-                again = _searched(placed, work.table(_probes(short, lists, sizes, 1.0), "probes"), parts, k)
-                found = found.join(short, found["query_id"] == short["vec_id"], "left_anti").unionByName(again)
-        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        return materialise(ranked.select("query_id", "rank", "vec_id", "score"), "nearest")
+        found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        for d in dimensions(rows, "vector"):
+            own = F.size("vector") == d
+            found = found.unionByName(_nearest_of(work, rows.where(own), queries.where(own), k))
+        return materialise(found, "nearest")

@@ -7,16 +7,17 @@ score in a block. It visits blocks by descending bound and stops when the bound
 the k-th score so far. Each query begins with the k-th score in a bounded sample of the
 rows, which is no larger than its true k-th score, so pruning holds from the first block.
 
-Vectors that are null or empty, hold a null or non-finite component, a weight that is no
-long, or are not of the usual dimension take no part, nor do rows with a null id; zero
-vectors do. A query's candidates are all rows of other ids. Of rows that repeat an id the
-smallest vector is the query, and all are candidates of others. Ties go to the smaller
-id. Scores beyond a long are set to its largest or smallest value. Only id and vector are
-read.
+Vectors that are null or empty or hold a null or non-finite component take no part, nor do
+rows with a null id; zero vectors do. Vectors of another dimension than the query's are no
+candidates: each dimension is searched among its own. A query's candidates are all rows of
+other ids. Of rows that repeat an id the smallest vector is the query, and all are
+candidates of others. Ties go to the smaller id. Weights and scores beyond a long are set to
+its largest or smallest value. Only id and vector are read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Work
-from tidemark.llm.vectors import finite, usual_dimension
+from tidemark.llm.vectors import finite, dimensions
 from tidemark.session import materialise
 
 SAMPLE = 2_048
@@ -40,11 +41,11 @@ LOWEST = -(2**63)
 
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(vec_id, weights) of the rows that take part."""
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * 256))
-    fits = F.forall(vector, lambda x: F.abs(x.cast("double") * 256) < -float(LOWEST))
-    rows = df.where(F.col(vec_id).isNotNull() & finite(vector) & fits)
-    rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("weights"))
-    return rows.where(F.size("weights") == usual_dimension(rows, "weights"))
+    # The largest double below 2**63; weights beyond a long are set to it or its negative.
+    edge = F.lit(math.nextafter(2.0**63, 0))
+    scaled = F.transform(vector, lambda x: F.floor(F.greatest(-edge, F.least(edge, x.cast("double") * 256))))
+    rows = df.where(F.col(vec_id).isNotNull() & finite(vector))
+    return rows.select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("weights"))
 
 
 def _matrix(column: pd.Series | pa.Array) -> np.ndarray:
@@ -108,6 +109,59 @@ def best_of(
     return ids, scores
 
 
+def _top_of(work: Work, rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Rows (query_id, rank, vec_id, score) of vectors of one dimension."""
+    spark = rows.sparkSession
+    ranges = -(-rows.count() // ROWS_PER_RANGE)
+    ranges = max(ranges, spark.sparkContext.defaultParallelism)
+    blocks = work.table(block_index(rows, ranges), "blocks")
+    few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "weights").limit(SAMPLE).collect()
+    seed_ids, seed = np.array([r["vec_id"] for r in few]), _matrix([r["weights"] for r in few])
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                own, ids = _matrix(part.column(1).to_pylist()), part.column(0).to_pylist()
+                least = []
+                for i, scores in zip(ids, products(own, seed), strict=True):
+                    others = np.sort(scores[seed_ids != i])
+                    least.append(int(others[-k]) if len(others) >= k else LOWEST)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([q.tobytes() for q in own], pa.binary()), pa.array(least, pa.int64())],
+                    names=["query_id", "query", "least"],
+                )
+
+    begun = work.table(queries.mapInArrow(begin, "query_id long, query binary, least long"), "queries")
+    # Every query meets every range of rows, in cells of bounded size.
+    own_ranges = [r["range"] for r in blocks.select("range").distinct().collect()]
+    cells = -(-begun.count() // QUERIES_PER_CELL) or 1
+    asked = begun.withColumns({
+        "cell": F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(cells)).cast("int"),
+        "range": F.explode(F.array(*map(F.lit, own_ranges))),
+    })
+    held = blocks.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+
+    def search(block: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(block) and len(query):
+            longs = lambda column: [np.frombuffer(x, np.int64) for x in column]
+            low, high = np.array(longs(block["low"])), np.array(longs(block["high"]))
+            dims = low.shape[1]
+            kept = [(i, w.reshape(-1, dims)) for i, w in zip(longs(block["ids"]), longs(block["weights"]), strict=True)]
+            for query_id, q, at_least in zip(query["query_id"], longs(query["query"]), query["least"], strict=True):
+                bounds = _bounds(q, low, high)
+                ids, scores = best_of(query_id, q, at_least, kept, bounds, k)
+                found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+
+    keys = ("range", "cell")
+    found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
 def top_products(
     df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -115,55 +169,9 @@ def top_products(
     spark = df.sparkSession
     with Work(spark) as work:
         rows = work.table(usable(df, vec_id, vector), "weights")
-        total = rows.count()
-        if not total:
-            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-        ranges = -(-total // ROWS_PER_RANGE)
-        ranges = max(ranges, spark.sparkContext.defaultParallelism)
-        blocks = work.table(block_index(rows, ranges), "blocks")
-        few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "weights").limit(SAMPLE).collect()
-        seed_ids, seed = np.array([r["vec_id"] for r in few]), _matrix([r["weights"] for r in few])
         queries = rows.where(is_query).groupBy("vec_id").agg(F.min("weights").alias("weights"))
-
-        def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256)
-                    own, ids = _matrix(part.column(1).to_pylist()), part.column(0).to_pylist()
-                    least = []
-                    for i, scores in zip(ids, products(own, seed), strict=True):
-                        others = np.sort(scores[seed_ids != i])
-                        least.append(int(others[-k]) if len(others) >= k else LOWEST)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array([q.tobytes() for q in own], pa.binary()), pa.array(least, pa.int64())],
-                        names=["query_id", "query", "least"],
-                    )
-
-        begun = work.table(queries.mapInArrow(begin, "query_id long, query binary, least long"), "queries")
-        # Every query meets every range of rows, in cells of bounded size.
-        own_ranges = [r["range"] for r in blocks.select("range").distinct().collect()]
-        cells = -(-begun.count() // QUERIES_PER_CELL) or 1
-        asked = begun.withColumns({
-            "cell": F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(cells)).cast("int"),
-            "range": F.explode(F.array(*map(F.lit, own_ranges))),
-        })
-        held = blocks.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-
-        def search(block: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
-            found = []
-            if len(block) and len(query):
-                longs = lambda column: [np.frombuffer(x, np.int64) for x in column]
-                low, high = np.array(longs(block["low"])), np.array(longs(block["high"]))
-                dims = low.shape[1]
-                kept = [(i, w.reshape(-1, dims)) for i, w in zip(longs(block["ids"]), longs(block["weights"]), strict=True)]
-                for query_id, q, at_least in zip(query["query_id"], longs(query["query"]), query["least"], strict=True):
-                    bounds = _bounds(q, low, high)
-                    ids, scores = best_of(query_id, q, at_least, kept, bounds, k)
-                    found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
-            return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-        keys = ("range", "cell")
-        found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        return materialise(ranked.select("query_id", "rank", "vec_id", "score"), "top")
+        found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        for d in dimensions(rows, "weights"):
+            own = F.size("weights") == d
+            found = found.unionByName(_top_of(work, rows.where(own), queries.where(own), k))
+        return materialise(found, "top")

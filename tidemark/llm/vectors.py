@@ -12,7 +12,6 @@ def finite(vector: str) -> Column:
     return F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(vector, regular)
 
 
-def usual_dimension(df: DataFrame, vector: str) -> int:
-    """The dimension that most vectors have, the smaller of two; 0 without vectors."""
-    counted = df.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return counted["d"] if counted else 0
+def dimensions(df: DataFrame, vector: str) -> list[int]:
+    """The dimensions that vectors have, ascending. Each is searched among its own."""
+    return sorted(r["d"] for r in df.select(F.size(vector).alias("d")).distinct().collect())
