@@ -16,11 +16,14 @@ from tidemark.llm.common import row_key, table
 from tidemark.session import materialise
 
 
+# Stages keep a document's columns in one struct, ``row``, so that no name of theirs meets another.
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5, by a model learned from the labels."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("_toxicity", toxicity.score("text", model))
-    return scored.where(F.col("_toxicity") < 0.5).drop("_toxicity")
+    scored = docs.select(F.struct("*").alias("row"), toxicity.score("text", model).alias("toxicity"))
+    return scored.where(F.col("toxicity") < 0.5).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,21 +31,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that repeat this id one stays. Documents without words are in no group.
     """
-    found = setsketch.near_duplicates(docs)
+    found = setsketch.near_duplicates(docs.select("doc_id", "text"))
     alone = F.col("group").isNull()
     one = found.where("kept").groupBy("group", F.when(alone, F.col("row_key")).alias("own"))
-    kept = one.agg(F.min("row_key").alias("_key"), F.first(alone).alias("_alone")).select("_key", "_alone")
-    keyed = docs.withColumn("_key", row_key()).join(kept, "_key")
-    again = F.row_number().over(Window.partitionBy("_key").orderBy("doc_id"))
-    chosen = keyed.withColumn("_again", again).where(F.col("_alone") | (F.col("_again") == 1))
-    return chosen.select(*docs.columns)
+    kept = one.agg(F.min("row_key").alias("key"), F.first(alone).alias("alone")).select("key", "alone")
+    keyed = docs.select(F.struct("*").alias("row"), row_key().alias("key")).join(kept, "key")
+    again = F.row_number().over(Window.partitionBy("key").orderBy("row.doc_id"))
+    return keyed.withColumn("again", again).where(F.col("alone") | (F.col("again") == 1)).select("row.*")
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; n_chars follows the text."""
-    found = pii.find(docs, pii.fit(docs))
+    found = pii.find(docs.select(F.struct("*").alias("row"), "text"), pii.fit(docs))
     found = found.withColumn("text", pii.masked(F.col("text"), F.col("all_spans")))
-    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +53,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of equal id and text share the copies that they have together.
     """
-    mixed = mixing.mix(docs).groupBy(F.col("row_key").alias("_key"))
-    mixed = mixed.agg(F.count("*").alias("_rows"), F.sum("copies").cast("long").alias("_copies"))
-    keyed = docs.withColumn("_key", row_key(seed=mixing.SEED)).join(mixed, "_key")
-    place = F.row_number().over(Window.partitionBy("_key").orderBy("doc_id"))
-    copies = F.floor(F.col("_copies") / F.col("_rows")) + (place <= F.col("_copies") % F.col("_rows")).cast("long")
-    taken = keyed.withColumn("_own", copies).where("_own > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_own")))).select(*docs.columns)
+    mixed = mixing.mix(docs).groupBy(F.col("row_key").alias("key"))
+    mixed = mixed.agg(F.count("*").alias("rows"), F.sum("copies").cast("long").alias("copies"))
+    keyed = docs.select(F.struct("*").alias("row"), row_key(seed=mixing.SEED).alias("key")).join(mixed, "key")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("row.doc_id"))
+    own = F.floor(F.col("copies") / F.col("rows")) + (place <= F.col("copies") % F.col("rows")).cast("long")
+    taken = keyed.withColumn("own", own).where("own > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
