@@ -47,7 +47,7 @@ LEVEL, LEAF = "level", "leaf"
 # Rows of a block; a task holds one at a time.
 BLOCK_ROWS = 16_384
 # Rows that are worth a task of their own.
-TASK_ROWS = 4_096
+TASK_ROWS = 1_024
 # Passes between two writes of the margins.
 PASSES = 48
 # Sums of one pass: leaves times cells, over all models; more leaves wait for the next pass.
