@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -61,14 +62,90 @@ def test_split_sizes_and_order(spark, monkeypatch, large):
     assert {r["id"] for r in parts["validation"] if r["y"] == 1} == set(ones[75:150])
 
 
-def test_split_quotas_of_the_published_run():
-    quotas = splitting.split_quotas({0: 5174, 1: 1869})
+def quotas_of(spark, sizes, kind="int"):
+    frame = local_frame(spark, list(sizes.items()), f"stratum {kind}, n bigint")
+    return {r["stratum"]: (r["test"], r["validation"]) for r in splitting.split_quotas(frame).collect()}
+
+
+def test_split_quotas_of_the_published_run(spark):
+    quotas = quotas_of(spark, {0: 5174, 1: 1869})
     assert sum(q[0] for q in quotas.values()) == 1057
     assert quotas[1][0] == 280
     assert quotas[0][0] == 777
     assert sum(q[1] for q in quotas.values()) == 1057
 
 
+def shares_by_hand(sizes, total):
+    everything = max(sum(sizes.values()), 1)
+    shares = {c: total * n // everything for c, n in sizes.items()}
+    order = sorted(sizes, key=lambda c: (-(total * sizes[c] % everything), str(c)))
+    return {c: shares[c] + (i < total - sum(shares.values())) for i, c in enumerate(order)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shares_of_many_classes(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{i}": rng.choice([1, 3, 3, 50]) for i in range(700)} | {None: 40}
+    total = sum(sizes.values())
+    frame = local_frame(spark, list(sizes.items()), "stratum string, n bigint")
+    found = splitting.proportional(frame, "n", total, total // 3, "share").collect()
+    assert {r["stratum"]: r["share"] for r in found} == shares_by_hand(sizes, total // 3)
+
+
+def test_shares_of_large_counts(spark):
+    sizes = {"a": 4 * 10**17, "b": 2 * 10**17 + 1}
+    frame = local_frame(spark, list(sizes.items()), "stratum string, n bigint")
+    total = 5 * 10**17
+    found = splitting.proportional(frame, "n", sum(sizes.values()), total, "share").collect()
+    assert {r["stratum"]: r["share"] for r in found} == shares_by_hand(sizes, total)
+
+
+def test_empty_table_is_split(spark):
+    empty = local_frame(spark, [], "id string, y int")
+    assert splitting.stratified_split(empty, "id", "y").columns == ["id", "y", "split"]
+    assert splitting.stratified_split(empty, "id", "y").count() == 0
+    assert splitting.stratified_folds(empty, "id", "y").count() == 0
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_null_class_is_a_class(spark, monkeypatch, large):
+    if large:
+        monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 5)
+        monkeypatch.setattr(ranking, "PREFIX", 1)
+    rows = [(f"c{i}", None if i % 5 == 0 else "x") for i in range(1000)]
+    df = local_frame(spark, rows, "id string, y string")
+    found = splitting.stratified_split(df, "id", "y").groupBy("y", "split").count().collect()
+    own = {"train": 140, "validation": 30, "test": 30}
+    assert {r["split"]: r["count"] for r in found if r["y"] is None} == own
+    assert {r["split"]: r["count"] for r in found if r["y"] == "x"} == {k: 4 * n for k, n in own.items()}
+
+
+def test_split_of_unknown_classes_is_null(spark):
+    df = local_frame(spark, [("a", 0), ("b", 1), ("c", 7)], "id string, y int")
+    rows = splitting.stratified_split(df, "id", "y", keys=df.filter("y < 2")).collect()
+    assert {r["id"]: r["split"] is None for r in rows} == {"a": False, "b": False, "c": True}
+
+
+def test_twenty_thousand_classes(spark):
+    # Every class but one has seven rows; the other holds a third of all rows.
+    df = spark.range(210_000).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") < 140_000, F.col("id") % 20_000).otherwise(F.lit(20_000)).alias("y"),
+    )
+    folds = splitting.stratified_folds(df, "id", "y", folds=3).groupBy("y", "fold").count()
+    spread = folds.groupBy("y").agg(F.min("count").alias("lo"), F.max("count").alias("hi"), F.count("*").alias("n"))
+    assert spread.count() == 20_001
+    assert spread.filter("hi - lo > 1 or n <> 3").count() == 0
+    # The sizes of all parts of all classes, by the rule with integers on the driver.
+    sizes = {y: 7 for y in range(20_000)} | {20_000: 70_000}
+    n_dev = 210_000 - math.ceil(0.15 * 210_000)
+    dev = shares_by_hand(sizes, n_dev)
+    train = shares_by_hand(dev, n_dev - math.ceil(0.15 / 0.85 * n_dev))
+    parts = splitting.stratified_split(df, "id", "y").groupBy("y").pivot("split", ["train", "test"]).count()
+    got = {r["y"]: (r["train"], r["test"] or 0) for r in parts.collect()}
+    assert got == {y: (train[y], sizes[y] - dev[y]) for y in sizes}
+
+
 def test_folds_are_even_in_each_class(spark, tiny_buckets):
     df = local_frame(spark, [(f"c{i}", int(i % 10 < 3)) for i in range(203)], "id string, y int")
     folded = splitting.stratified_folds(df, "id", "y", folds=5)

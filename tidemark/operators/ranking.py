@@ -9,13 +9,14 @@ table is one row of it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import hash_key, name
-from tidemark.session import local_frame
+from tidemark.session import materialise, scratch
 
 # Largest number of buckets, and the number of rows one bucket should hold.
 MAX_BUCKETS = 8192
@@ -25,7 +26,6 @@ ROWS_PER_BUCKET = 500_000
 # longest prefix tried: what is still large below it can only be copies of one id.
 PREFIX = 3
 LONGEST_PREFIX = 9
-MAX_COUNTS = 4_000_000
 
 # A cut above every md5 text, and the name of the hash while rows are assigned.
 EVERYTHING = "g"
@@ -90,114 +90,89 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str]) -> DataFrame:
     )
 
 
-Quotas = dict[object, Sequence[int]]
-Cuts = dict[object, list[str | None]]
+def positions(df: DataFrame, order: Sequence[Column], column: str) -> DataFrame:
+    """Add the position (from 1) of each row in an order without ties.
+
+    Rows are cut into ranges of the order, which are written so that their borders stay;
+    each range is sorted by itself and begins behind the rows of those before it.
+    """
+    ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranges = materialise(ranges, "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per shuffle partition, in the window and in the broadcast.
+    offsets = ranges.groupBy("_range").count()
+    offsets = offsets.select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = ranges.join(F.broadcast(offsets), "_range").withColumn(column, inside + F.col("_before"))
+    return placed.drop("_range", "_before")
 
 
 def hash_cuts(
     df: DataFrame,
     id_col: str,
-    quotas: Callable[[dict[object, int]], Quotas],
+    quotas: Callable[[DataFrame], DataFrame],
     *,
     strata: str | None = None,
     salt: str,
-) -> Cuts:
-    """Hash key at which the first ``q`` rows of a stratum end, for each quota ``q``.
-
-    ``quotas`` gets the size of each stratum (of one stratum, 0, without a column) and
-    returns the wanted quotas. The row order inside a stratum is the md5 of salt and id;
-    copies of an id share it and stay together. Counting rows by hash prefix finds the prefix a quota ends in; only rows below that
-    prefix are counted again, by a longer prefix, until few are left to sort. Shuffled are
-    counts, never rows. A quota of 0 or less has no cut (None); one above the size takes
-    everything.
+) -> DataFrame:
+    """Hash keys at which the first ``q`` rows of a stratum end: (stratum, cuts), cuts an array.
+
+    ``quotas`` gets a frame of the strata and their sizes (stratum, n; one stratum, 0, without
+    a column) and returns (stratum, n, wanted), ``wanted`` an array of quotas. The row order
+    inside a stratum is the md5 of salt and id; copies of an id share it and stay together.
+    Counting rows by hash prefix finds the prefix a quota ends in; only rows below that prefix
+    are counted again, by a longer prefix, until few are left to sort. Counts, quotas and cuts
+    are frames, for any number of strata, and shuffled are counts, never rows. A quota of 0 or
+    less has no cut (null); one above the size takes everything. A null stratum is one of its own.
     """
     stratum = name(strata) if strata else F.lit(0)
     keyed = df.select(stratum.alias("stratum"), hash_key(name(id_col), salt).alias("h"))
-    counts = _prefix_counts(keyed, PREFIX)
-    sizes: dict[object, int] = {}
-    for (s, _), n in counts.items():
-        sizes[s] = sizes.get(s, 0) + n
-    wanted = quotas(sizes)
-    cuts: Cuts = {s: [None] * len(q) for s, q in wanted.items()}
-    # Open searches: (stratum, quota position) -> (known prefix, rank wanted below it).
-    open_cuts = {
-        (s, i): ("", int(q)) for s, each in wanted.items() for i, q in enumerate(each) if q > 0
-    }
-    width = PREFIX
-    while open_cuts:
-        largest = _narrow(counts, open_cuts, cuts)
-        if largest <= ROWS_PER_BUCKET or width >= LONGEST_PREFIX:
-            break
-        width += PREFIX
-        counts = _prefix_counts(_prefix_filter(keyed, open_cuts), width)
-    if open_cuts:
-        _close_cuts(_prefix_filter(keyed, open_cuts), open_cuts, cuts)
-    return cuts
-
-
-def _prefix_counts(keyed: DataFrame, width: int) -> dict[tuple[object, str], int]:
-    """Rows per stratum and hash prefix: at most 16 ** PREFIX per stratum and open cut."""
-    grouped = keyed.groupBy("stratum", F.substring("h", 1, width).alias("p")).count()
-    rows = grouped.limit(MAX_COUNTS + 1).collect()
-    if len(rows) > MAX_COUNTS:
-        raise ValueError("Too many strata: a stratum is meant to be a class label")
-    return {(r["stratum"], r["p"]): r["count"] for r in rows}
-
-
-def _narrow(counts: dict, open_cuts: dict, cuts: Cuts) -> int:
-    """Move each open cut into the prefix its quota ends in; the size of the largest."""
-    ordered = sorted(counts.items(), key=lambda item: item[0][1])
-    largest = 0
-    for (s, i), (prefix, rank) in list(open_cuts.items()):
-        seen = 0
-        for (t, p), size in ordered:
-            if t != s or not p.startswith(prefix):
-                continue
-            if seen + size >= rank:
-                open_cuts[s, i] = (p, rank - seen)
-                largest = max(largest, size)
-                break
-            seen += size
-        else:
-            cuts[s][i] = EVERYTHING
-            del open_cuts[s, i]
-    return largest
-
-
-def _prefix_filter(keyed: DataFrame, open_cuts: dict) -> DataFrame:
-    wanted = sorted({(s, p) for (s, _), (p, _) in open_cuts.items()}, key=str)
-    condition = F.lit(False)
-    for s, p in wanted:
-        condition = condition | (F.col("stratum").eqNullSafe(F.lit(s)) & F.col("h").startswith(p))
-    return keyed.filter(condition)
-
-
-def _close_cuts(rows: DataFrame, open_cuts: dict, cuts: Cuts) -> None:
-    """Find the last rows of the open quotas by rank inside their prefix."""
-    spark = rows.sparkSession
-    wanted = local_frame(
-        spark,
-        [(s, i, p, rank) for (s, i), (p, rank) in open_cuts.items()],
-        f"stratum {dict(rows.dtypes)['stratum']}, cut int, prefix string, wanted bigint",
-    )
-    # Copies of one id are merged first: they share their hash and are one row here.
-    merged = rows.groupBy("stratum", "h").count()
-    matched = merged.join(
-        wanted,
-        merged["stratum"].eqNullSafe(wanted["stratum"]) & F.col("h").startswith(F.col("prefix")),
-    ).select(wanted["stratum"], "cut", "wanted", "h", "count")
-    order = (
-        Window.partitionBy("stratum", "cut")
-        .orderBy("h")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    with ExitStack() as tables:
+
+        def written(frame: DataFrame) -> DataFrame:
+            return tables.enter_context(scratch(frame, "cuts"))
+
+        prefixes = keyed.groupBy("stratum", F.substring("h", 1, PREFIX).alias("p"))
+        counts = written(prefixes.agg(F.count("*").alias("n")))
+        sizes = counts.groupBy("stratum").agg(F.sum("n").alias("n"))
+        wanted = quotas(sizes).select("stratum", "n", F.posexplode("wanted").alias("cut", "wanted"))
+        wanted = written(wanted)
+        within = wanted.filter("wanted between 1 and n").select("stratum", "cut", F.col("wanted").alias("rank"))
+        ends = written(_narrowed(_same_stratum(counts, within)))
+        width, last = PREFIX, False
+        while not last and (largest := ends.agg(F.max("size")).first()[0]) is not None:
+            last = largest <= ROWS_PER_BUCKET or width >= LONGEST_PREFIX
+            below = _same_stratum(keyed, ends, F.substring("h", 1, width) == F.col("prefix"))
+            width += PREFIX
+            part = F.col("h") if last else F.substring("h", 1, width)
+            # Copies of one id share their hash and are one row here.
+            below = below.groupBy("stratum", "cut", "rank", part.alias("p")).agg(F.count("*").alias("n"))
+            ends = written(_narrowed(below))
+        ends = ends.select("stratum", "cut", F.col("prefix").alias("end"))
+        found = _same_stratum(wanted, ends, F.col("cut") == F.col("own_cut"), how="left", cut="own_cut")
+        cut = F.when(F.col("wanted") > F.col("n"), EVERYTHING).otherwise(F.col("end"))
+        each = F.sort_array(F.collect_list(F.struct("cut", cut.alias("end"))))
+        return materialise(found.groupBy("stratum").agg(each["end"].alias("cuts")), "cuts")
+
+
+def _same_stratum(
+    left: DataFrame, right: DataFrame, also: Column | None = None, how: str = "inner", **renamed: str
+) -> DataFrame:
+    """Join by stratum, null with null; the planner broadcasts the written side if it is small."""
+    right = right.withColumnsRenamed({"stratum": "own_stratum", **renamed})
+    same = F.col("stratum").eqNullSafe(F.col("own_stratum"))
+    return left.join(right, same if also is None else same & also, how).drop("own_stratum")
+
+
+def _narrowed(counts: DataFrame) -> DataFrame:
+    """The part in which each cut's rank ends, the rank inside it, and its size."""
+    upto = F.sum("n").over(
+        Window.partitionBy("stratum", "cut").orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ends = (
-        matched.withColumn("upto", F.sum("count").over(order))
-        .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("count") < F.col("wanted")))
-        .collect()
+    ends = counts.withColumn("upto", upto).filter("upto >= rank and upto - n < rank")
+    return ends.select(
+        "stratum", "cut", F.col("p").alias("prefix"), F.expr("rank - (upto - n)").alias("rank"), F.col("n").alias("size")
     )
-    for row in ends:
-        cuts[row["stratum"]][row["cut"]] = row["h"]
 
 
 def with_hash(df: DataFrame, id_col: str, salt: str) -> DataFrame:
@@ -205,6 +180,6 @@ def with_hash(df: DataFrame, id_col: str, salt: str) -> DataFrame:
     return df.withColumn(HASH, hash_key(name(id_col), salt))
 
 
-def before_cut(cut: str | None) -> Column:
-    """Whether a row of :func:`with_hash` comes no later than a cut."""
-    return F.lit(False) if cut is None else F.col(HASH) <= cut
+def before_cut(cut: Column) -> Column:
+    """Whether a row of :func:`with_hash` comes no later than a cut; a null cut takes none."""
+    return F.coalesce(F.col(HASH) <= cut, F.lit(False))

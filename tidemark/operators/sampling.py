@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import HASH, before_cut, hash_cuts, with_hash
 
@@ -14,5 +15,7 @@ def sample_fixed(df: DataFrame, id_col: str, n: int, *, salt: str = "sample:") -
     shuffle of rows, whatever ``n`` is. Ids are taken to be unique; copies of an id stay
     together.
     """
-    cuts = hash_cuts(df, id_col, lambda sizes: {0: [n]}, salt=salt)
-    return with_hash(df, id_col, salt).filter(before_cut(cuts[0][0])).drop(HASH)
+    wanted = F.array(F.lit(n).cast("long")).alias("wanted")
+    row = hash_cuts(df, id_col, lambda sizes: sizes.select("stratum", "n", wanted), salt=salt).first()
+    cut = F.lit(row["cuts"][0] if row else None).cast("string")
+    return with_hash(df, id_col, salt).filter(before_cut(cut)).drop(HASH)

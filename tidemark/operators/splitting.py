@@ -1,44 +1,57 @@
 """Stratified train / validation / test split and folds, repeatable by hash order.
 
 Quotas per class come from class counts; :func:`hash_cuts` turns them into cut points of
-the hash order, and the assignment is one expression per row: the wide rows are never
-shuffled or sorted.
+the hash order, and the assignment is one expression per row on the cuts of its class:
+as long as the cuts of all classes are broadcast, the wide rows are not shuffled, and they
+are never sorted. Quotas and cuts are frames, for any number of classes.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import name
-from tidemark.operators.ranking import HASH, before_cut, hash_cuts, with_hash
+from tidemark.operators.ranking import HASH, before_cut, hash_cuts, positions, with_hash
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 VAL_SIZE = TEST_SIZE = 0.15
 FOLDS = 5
+# The cuts of a row's class while rows are assigned.
+CUTS = "_cuts"
 
 
-def proportional(sizes: dict[object, int], total: int) -> dict[object, int]:
-    """Share ``total`` among the classes by size; the largest fractions get the rest."""
-    everything = max(sum(sizes.values()), 1)
-    shares = {c: total * n // everything for c, n in sizes.items()}
-    by_fraction = sorted(sizes, key=lambda c: (-(total * sizes[c] % everything), str(c)))
-    for c in by_fraction[: total - sum(shares.values())]:
-        shares[c] += 1
-    return shares
+def proportional(sizes: DataFrame, of: str, everything: int, total: int, share: str) -> DataFrame:
+    """Add ``share``: ``total`` shared among the classes by ``of``, which sums to ``everything``.
 
-
-def split_quotas(
-    sizes: dict[object, int], val_size: float = VAL_SIZE, test_size: float = TEST_SIZE
-) -> dict[object, tuple[int, int]]:
-    """Rows of each class for (test, validation): held-out parts are rounded up overall."""
-    total = sum(sizes.values())
+    The largest fractions get the rest, of equal ones the first class by its text. Products are
+    decimals, so that they don't overflow.
+    """
+    everything = max(everything, 1)
+    product = F.col(of).cast("decimal(19,0)") * F.lit(total).cast("decimal(19,0)")
+    whole = F.lit(everything).cast("decimal(19,0)")
+    shared = sizes.withColumns({share: F.call_function("div", product, whole), "_left": product % whole})
+    rest = total - (shared.agg(F.sum(share)).first()[0] or 0)
+    if rest:
+        text = F.coalesce(F.col("stratum").cast("string"), F.lit("None"))
+        # A null class and one whose text is that of null are told apart by the last key.
+        order = [F.desc("_left"), text, F.col("stratum").isNull()]
+        shared = positions(shared, order, "_place")
+        shared = shared.withColumn(share, F.col(share) + (F.col("_place") <= rest).cast("long"))
+    return shared.drop("_left", "_place")
+
+
+def split_quotas(sizes: DataFrame, val_size: float = VAL_SIZE, test_size: float = TEST_SIZE) -> DataFrame:
+    """Add ``test`` and ``validation`` rows to (stratum, n); held-out parts are rounded up overall."""
+    total = sizes.agg(F.sum("n")).first()[0] or 0
     n_dev = total - math.ceil(test_size * total)
-    dev = proportional(sizes, n_dev)
-    train = proportional(dev, n_dev - math.ceil(val_size / (1.0 - test_size) * n_dev))
-    return {c: (n - dev[c], dev[c] - train[c]) for c, n in sizes.items()}
+    n_train = n_dev - math.ceil(val_size / (1.0 - test_size) * n_dev)
+    dev = proportional(sizes, "n", total, n_dev, "dev")
+    train = proportional(dev, "dev", n_dev, n_train, "train")
+    parts = {"test": F.col("n") - F.col("dev"), "validation": F.col("dev") - F.col("train")}
+    return train.select("stratum", "n", *[v.alias(k) for k, v in parts.items()])
 
 
 def stratified_split(
@@ -54,19 +67,17 @@ def stratified_split(
     """Add ``split``: train, validation or test, with the class proportions kept.
 
     The cuts are worked out on ``keys``, a table of the same ids and labels (default: the
-    rows themselves, of which only these two columns are read).
+    rows themselves, of which only these two columns are read). A label that ``keys`` lacks
+    gives null.
     """
 
-    def upto(sizes: dict[object, int]) -> dict[object, list[int]]:
+    def upto(sizes: DataFrame) -> DataFrame:
         quotas = split_quotas(sizes, val_size, test_size)
-        return {c: [test, test + val] for c, (test, val) in quotas.items()}
+        return quotas.withColumn("wanted", F.array("test", F.col("test") + F.col("validation")))
 
     cuts = hash_cuts(_or(keys, df), id_col, upto, strata=label, salt=salt)
-    parts = F.lit(None).cast("string")
-    for c, (test_cut, val_cut) in cuts.items():
-        part = F.when(before_cut(test_cut), TEST).when(before_cut(val_cut), VALIDATION)
-        parts = F.when(name(label).eqNullSafe(F.lit(c)), part.otherwise(TRAIN)).otherwise(parts)
-    return with_hash(df, id_col, salt).withColumn("split", parts).drop(HASH)
+    part = F.when(before_cut(F.col(CUTS)[0]), TEST).when(before_cut(F.col(CUTS)[1]), VALIDATION).otherwise(TRAIN)
+    return _assigned(df, id_col, label, cuts, salt, "split", part)
 
 
 def stratified_folds(
@@ -80,16 +91,27 @@ def stratified_folds(
 ) -> DataFrame:
     """Add ``fold`` 0..folds-1; the folds of a class differ by one row at most."""
 
-    def upto(sizes: dict[object, int]) -> dict[object, list[int]]:
-        ends = range(1, folds)
-        return {c: [k * (n // folds) + min(k, n % folds) for k in ends] for c, n in sizes.items()}
+    def upto(sizes: DataFrame) -> DataFrame:
+        ends = [F.expr(f"{k} * (n div {folds}) + least({k}, n % {folds})") for k in range(1, folds)]
+        return sizes.withColumn("wanted", F.array(*ends).cast("array<bigint>"))
 
     cuts = hash_cuts(_or(keys, df), id_col, upto, strata=label, salt=salt)
-    fold = F.lit(None).cast("int")
-    for c, ends in cuts.items():
-        passed = [(~before_cut(end)).cast("int") for end in ends]
-        fold = F.when(name(label).eqNullSafe(F.lit(c)), sum(passed, F.lit(0))).otherwise(fold)
-    return with_hash(df, id_col, salt).withColumn("fold", fold).drop(HASH)
+    passed = [(~before_cut(F.col(CUTS)[k])).cast("int") for k in range(folds - 1)]
+    return _assigned(df, id_col, label, cuts, salt, "fold", sum(passed, F.lit(0)))
+
+
+def _assigned(
+    df: DataFrame, id_col: str, label: str, cuts: DataFrame, salt: str, column: str, value: Column
+) -> DataFrame:
+    """Add a column worked out from a row's hash and the cuts of its class.
+
+    The cuts are a written table: of few classes it is broadcast, by its size on disk.
+    """
+    cuts = cuts.withColumnsRenamed({"stratum": "_stratum", "cuts": CUTS})
+    same = name(label).eqNullSafe(F.col("_stratum"))
+    rows = with_hash(df, id_col, salt).join(cuts, same, "left")
+    known = F.when(F.col(CUTS).isNotNull(), value)
+    return rows.withColumn(column, known).drop(HASH, "_stratum", CUTS)
 
 
 def _or(keys: DataFrame | None, df: DataFrame) -> DataFrame:
