@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import random
+import time
 import zlib
 
 import pytest
@@ -81,3 +82,43 @@ def test_gap_log_of_a_member(spark, tmp_path):
     assert [(r["inside_start"], r["inside_end"]) for r in gaps.collect()] == [
         (len(records[0]), len(records[0]) + len(broken))
     ]
+
+
+def damaged(n):
+    """An archive of members that are all damaged, with no version line outside of them."""
+    whole = [bytearray(gzip.compress(make(i, random.Random(i).randbytes(1_000)))) for i in range(n)]
+    for member in whole:
+        member[500] ^= 0xFF
+    return b"".join(whole)
+
+
+def test_time_grows_linearly_with_damaged_members():
+    def seconds(n):
+        data, best = damaged(n), float("inf")
+        for _ in range(3):
+            started = time.process_time()
+            found = list(warc.salvage(data))
+            best = min(best, time.process_time() - started)
+        assert len(found) == 1 and found[0][:2] == (0, len(data))
+        return best
+
+    assert seconds(8_000) <= 2.5 * seconds(4_000)
+
+
+@pytest.mark.parametrize("kind", ["member", "plain"])
+def test_records_between_much_damage(kind):
+    rng = random.Random(3)
+    parts, names = [], []
+    for i in range(400):
+        one = make(i, rng.randbytes(300))
+        sound = rng.random() < 0.3
+        if not sound:
+            at = one.index(b"\r\n\r\n") + 50
+            one = one[:at] + bytes([one[at] ^ 0xFF]) + one[at + 1 :]
+        else:
+            names.append(str(i))
+        parts.append(gzip.compress(one) if kind == "member" else one)
+    data = b"".join(parts)
+    good, gaps = parsed(data)
+    assert good == names
+    assert all(a < b for a, b, *_ in gaps)

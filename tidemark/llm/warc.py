@@ -334,23 +334,35 @@ def _found_at(data: bytes, at: int) -> tuple[list[Record | Gap], int, Gap | None
     return found, end, None
 
 
-def _next_start(data: bytes, at: int) -> int:
-    """Where the next member or version line may begin."""
-    member, version = data.find(_MAGIC, at), _VERSION.search(data, at)
-    found = [p for p in (member, version.start() if version else -1) if p >= 0]
-    return min(found, default=len(data))
+class _Starts:
+    """Where the next member or version line may begin.
+
+    A place is looked for again only once it is passed, so all searches read the data once.
+    """
+
+    def __init__(self, data: bytes):
+        self.data, self.member, self.version = data, -1, -1
+
+    def next(self, at: int) -> int:
+        if self.member < at:
+            member = self.data.find(_MAGIC, at)
+            self.member = member if member >= 0 else len(self.data)
+        if self.version < at:
+            version = _VERSION.search(self.data, at)
+            self.version = version.start() if version else len(self.data)
+        return min(self.member, self.version)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, Record | Gap]]:
     """(start, end, record) of what is valid, (start, end, reason) of the gaps between."""
-    at, gap, reason = 0, None, Gap()
+    starts, at, gap, reason = _Starts(data), 0, None, Gap()
     while at < len(data):
         try:
             records, end, lost = _found_at(data, at)
         except Damaged as error:
             if gap is None:
                 gap, reason = at, Gap(error)
-            at = _next_start(data, at + 1)
+            at = starts.next(at + 1)
             continue
         if gap is not None:
             yield gap, at, reason
@@ -359,7 +371,7 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | Gap]]:
             yield at, end, found
         if lost is not None:
             gap, reason = end, lost
-            end = _next_start(data, end)
+            end = starts.next(end)
         at = end
     if gap is not None:
         yield gap, len(data), reason
