@@ -34,9 +34,8 @@ from tidemark.llm.deobfuscation import SYMBOLS, Restorer, trigram_counts, trigra
 
 # Labelled rows that the classifier is fitted on, at most; chosen by a hash of the id.
 SAMPLE = 24_000
-# A feature is in at least so many toxic documents of the sample; the most frequent are kept.
+# A feature is in at least so many toxic documents of the sample, which bounds their number.
 SUPPORT = 4
-FEATURES = 200_000
 PREFIXES = (4, 5, 6)
 HEAVIEST = 4
 # Tokens whose restored words a Python worker remembers.
@@ -201,7 +200,7 @@ def fit(
             counted = rows.where(F.col("toxic") == toxic).select("words").mapInArrow(count, "f string, n long")
             return counted.groupBy("f").agg(F.sum("n").alias("n"))
 
-        frequent = tally(1, None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "f").limit(FEATURES)
+        frequent = tally(1, None).where(F.col("n") >= SUPPORT)
         toxic = {f: n for f, n in frequent.collect()}
         other = {f: n for f, n in tally(0, set(toxic)).collect()}
         counts = {f: (n, other.get(f, 0)) for f, n in toxic.items()}
