@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +77,53 @@ def test_a_retry_on_the_next_day_adds_nothing(spark, tmp_path):
     assert [str(r[0]) for r in table.select(F.to_date("scored_at")).distinct().collect()] == ["2026-07-02"]
 
 
+def test_days_and_runs_prune_the_scan(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    for day in range(1, 6):
+        when = datetime(2026, 7, day, 6, tzinfo=UTC)
+        predictions.write_predictions(scored(spark, ("a", day / 10)), path, run_id=f"r{day}", source_table="t", scored_at=when)
+    some = predictions.read_predictions(spark, path, since=date(2026, 7, 2), until=date(2026, 7, 3))
+    assert sorted(r["run_id"] for r in some.collect()) == ["r2", "r3"]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("score_date" in f.split("PartitionFilters: [")[1].split("]")[0] for f in filters)
+    one = predictions.read_predictions(spark, path, run_id="r4", until=date(2026, 7, 4))
+    assert one.count() == 1
+    assert predictions.read_predictions(spark, path, run_id="r4", until=date(2026, 7, 3)).count() == 0
+
+
+def test_a_run_of_several_days_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    rows = local_frame(spark, [(f"k{i}", 0.5, 1, 0.5, "m", "v") for i in range(6)], SCORED)
+    stamped = predictions.stamp(rows, run_id="r: 1/ü", source_table="t", scored_at=WHEN)
+    later = F.expr("scored_at + make_interval(0, 0, 0, int(substr(account_id, 2)))")
+    predictions.append_predictions(stamped.withColumn("scored_at", later), path)
+    assert predictions.read_runs(spark, path).agg(F.count("*"), F.sum("n")).first()[:] == (6, 6)
+    predictions.append_predictions(stamped.filter("account_id < 'k2'"), path)
+    assert [r["n"] for r in predictions.read_runs(spark, path).collect()] == [2]
+    assert sorted(r["account_id"] for r in predictions.read_predictions(spark, path, run_id="r: 1/ü").collect()) == ["k0", "k1"]
+    # The six folders of the first attempt are in no run's record.
+    assert predictions.drop_replaced(spark, path) == 6
+    assert predictions.drop_replaced(spark, path) == 0
+    assert predictions.read_predictions(spark, path).count() == 2
+
+
+def test_a_broken_attempt_is_not_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "predictions")
+    good = scored(spark, ("a", 0.9))
+    predictions.write_predictions(good, path, run_id="r1", source_table="t", scored_at=WHEN)
+    with monkeypatch.context() as m:
+        # The job ends between the rows and the record.
+        m.setattr(predictions, "_rows", lambda *_: 1 / 0)
+        for run in ("r1", "r2"):
+            with pytest.raises(ZeroDivisionError):
+                predictions.write_predictions(scored(spark, ("b", 0.1), ("c", 0.2)), path, run_id=run, source_table="t", scored_at=WHEN)
+    assert [r["account_id"] for r in predictions.read_predictions(spark, path).collect()] == ["a"]
+    predictions.write_predictions(scored(spark, ("b", 0.1)), path, run_id="r2", source_table="t", scored_at=WHEN)
+    assert sorted(r["account_id"] for r in predictions.read_predictions(spark, path).collect()) == ["a", "b"]
+    assert predictions.drop_replaced(spark, path) == 2
+
+
 def test_null_probability_is_refused(spark, tmp_path):
     rows = local_frame(spark, [("a", None, 0, 0.5, "m", "v")], SCORED)
     with pytest.raises(Exception, match="probability must not be NULL"):
