@@ -425,6 +425,7 @@ ORACLE: dict[str, str] = {
         SELECT positives, negatives, round(negatives::DOUBLE / greatest(positives, 1), 6) AS "full",
         round(sqrt(negatives::DOUBLE / greatest(positives, 1)), 6) AS "sqrt", CAST(1 AS DOUBLE) AS "none" FROM c""",
     "latest_scores": f"{FROM_LOG} {LATEST}",
+    "latest_scores_stream": f"{FROM_LOG} SELECT * REPLACE (CAST(flag AS BIGINT) AS flag) FROM ({LATEST})",
     "top_risk": f"{FROM_LOG} SELECT * FROM score_log ORDER BY probability DESC, account_id, run_id LIMIT 20",
     "newest_scores": f"{FROM_LOG} SELECT * FROM score_log ORDER BY scored_at DESC, account_id, run_id LIMIT 20",
     "peek": f"{FROM_ACCOUNTS} SELECT {ACCOUNT_COLUMNS} FROM accounts ORDER BY account_id LIMIT 20",

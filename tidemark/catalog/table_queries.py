@@ -15,6 +15,7 @@ from tidemark.roles import ACCOUNTS, ENGINEERED
 from tidemark.session import work_path
 from tidemark.sources import jsonl, predictions, tables
 from tidemark.sources.views import accounts, score_log, scored_docs, scored_events, table
+from tidemark.streaming import latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,17 @@ def write_predictions(spark, sf_dir):
     return read.withColumn("scored_at", F.col("scored_at").cast("timestamp_ntz"))
 
 
+def latest_scores_stream(spark, sf_dir):
+    """The latest scores of a log that arrives in about four batches."""
+    source, target, progress = (work_path(spark, k) for k in ("arrivals", "latest", "progress"))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    log = score_log(spark, sf_dir)
+    log.repartition(files).write.parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", max(1, files // 4)).parquet(source)
+    latest.keep_latest(stream, target, progress, compact_every=2).awaitTermination()
+    return latest.current_scores(spark, target).withColumn("scored_at", F.col("scored_at").cast("timestamp_ntz"))
+
+
 def export_jsonl(spark, sf_dir):
     target = work_path(spark, "requests")
     jsonl.export_jsonl(accounts(spark, sf_dir), ACCOUNTS, target)
@@ -496,6 +508,7 @@ QUERIES: dict[str, Query] = {
         load_scoring,
         seed_scoring,
         write_predictions,
+        latest_scores_stream,
         export_jsonl,
         parse_jsonl,
         load_batch_output,
