@@ -164,6 +164,38 @@ def test_pairs_match_numpy(spark):
     assert got["monthly", "total"] == pytest.approx(np.corrcoef([10, 20, 70], [10, 300, 200])[0, 1])
 
 
+def test_pairs_of_many_columns_with_missing_values(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 130)) + 1e6
+    x[:, 5] = 2 * x[:, 4] + 0.1 * rng.normal(size=150)
+    x[:, 9] = 7.0
+    for c in (3, 63, 64, 70, 129):
+        x[rng.random(150) < 0.3, c] = np.nan
+    names = [f"c{i}" for i in range(130)]
+    rows_ = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    matrix = local_frame(spark, rows_, ", ".join(f"{n} double" for n in names))
+    want = {}
+    for i in range(130):
+        for j in range(i):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if 9 not in (i, j):
+                want[tuple(sorted((names[i], names[j])))] = np.corrcoef(x[both, i], x[both, j])[0, 1]
+    for panel in (40, 512):
+        found = correlation.correlation_pairs(matrix, k=10_000, panel=panel).collect()
+        got = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in found}
+        assert got == pytest.approx(want, abs=1e-9)
+    strongest = correlation.correlation_pairs(matrix, k=1).first()
+    assert (strongest["feature_a"], strongest["feature_b"]) == ("c4", "c5")
+
+
+def test_pairs_that_are_constant_together_or_empty(spark):
+    rows_ = [(1.0, 5.0, 1.0), (1.0, 6.0, 2.0), (2.0, None, 4.0), (3.0, None, float("inf"))]
+    matrix = local_frame(spark, rows_, "a double, b double, c double")
+    assert correlation.correlation_pairs(matrix).collect() == []
+    assert correlation.correlation_pairs(matrix.limit(0)).columns == ["feature_a", "feature_b", "correlation"]
+    assert correlation.correlation_pairs(matrix.limit(0)).collect() == []
+
+
 def test_rates_by_bins_keep_empty_bins(spark):
     rows_ = profiling.rate_by_bins(accounts(spark), ROLES, "tenure").collect()
     assert [(r["label"], r["n"], r["rate"]) for r in rows_] == [
