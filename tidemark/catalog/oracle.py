@@ -316,6 +316,12 @@ ORACLE: dict[str, str] = {
     "lookup_keys": f"""{FROM_LOG} SELECT CAST(c_custkey AS VARCHAR) AS account_id, probability, flag, threshold, model,
         model_version, run_id, source_table, scored_at, l.account_id IS NOT NULL AS found
         FROM customer LEFT JOIN ({LATEST}) l ON l.account_id = CAST(c_custkey AS VARCHAR)""",
+    "lookup_keyed": f"""{FROM_LOG} SELECT CAST(c_custkey AS VARCHAR) AS account_id, probability, flag, threshold, model,
+        model_version, run_id, source_table, scored_at, l.account_id IS NOT NULL AS found
+        FROM customer LEFT JOIN ({LATEST}) l ON l.account_id = CAST(c_custkey AS VARCHAR)""",
+    "lookup_keyed_few": f"""{FROM_LOG} SELECT k.account_id, probability, flag, threshold, model,
+        model_version, run_id, source_table, scored_at, l.account_id IS NOT NULL AS found
+        FROM (VALUES ('7'), ('17'), ('170'), ('absent')) k(account_id) LEFT JOIN ({LATEST}) l USING (account_id)""",
     "lookup_one": f"{FROM_LOG} SELECT * FROM score_log WHERE account_id = '7'",
     "clean_customers": f"{FROM_CLEANED} SELECT {CLEANED_COLUMNS} FROM cleaned",
     "quarantine": f"""{FROM_AMOUNTS} SELECT {ACCOUNT_COLUMNS},

@@ -13,7 +13,7 @@ from tidemark.operators import profiling, sampling, scores, splitting
 from tidemark.operators.features import engineer_features
 from tidemark.roles import ACCOUNTS, ENGINEERED
 from tidemark.session import work_path
-from tidemark.sources import jsonl, predictions, tables
+from tidemark.sources import jsonl, keyed, predictions, tables
 from tidemark.sources.views import accounts, score_log, scored_docs, scored_events, table
 from tidemark.streaming import latest
 
@@ -139,6 +139,24 @@ def lookup_one(spark, sf_dir):
     return tables.lookup_one(score_log(spark, sf_dir), "account_id", "7")
 
 
+def _keyed_cache(spark, sf_dir):
+    target = work_path(spark, "keyed")
+    keyed.export_keyed_cache(score_log(spark, sf_dir), target)
+    return target
+
+
+def lookup_keyed(spark, sf_dir):
+    """All customers' keys against a cache clustered by key."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("account_id"))
+    return keyed.lookup_keyed(spark, _keyed_cache(spark, sf_dir), keys, "account_id")
+
+
+def lookup_keyed_few(spark, sf_dir):
+    """A few keys, one of them absent, by the filter that skips row groups."""
+    wanted = ["7", "17", "170", "absent"]
+    return keyed.lookup_list(spark, _keyed_cache(spark, sf_dir), wanted, "account_id")
+
+
 # Projections, filters, validation
 
 
@@ -516,6 +534,8 @@ QUERIES: dict[str, Query] = {
         load_cache,
         lookup_keys,
         lookup_one,
+        lookup_keyed,
+        lookup_keyed_few,
         clean_customers,
         quarantine,
         quarantine_summary,
