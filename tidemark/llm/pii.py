@@ -1,13 +1,15 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
 Base spans are emails, IP addresses, card numbers and phone numbers that match a pattern
-and pass its check. Wider patterns give more candidates: matches that failed the check,
-and other ways to write such data. Four labelers vote for or against a candidate or
-abstain: the pattern's check, a gazetteer (domains, issuers, address ranges, area codes),
-the words before it, and its edges. The votes of all documents are counted; expectation
-maximisation over the counts estimates how reliable each labeler is for each kind, and a
-logistic classifier of a span's votes and shape is trained on the probabilities that come
-out. Candidates that it is sure of are added to the base spans, which always stay.
+and pass its check. Candidates for more are what no base span touches: matches that failed
+the check, other ways to write such data, and look-alikes (an unclosed disguise, numbers of
+three parts, plain runs of digits). Four labelers vote for or against a span or abstain: the
+pattern's check, a gazetteer (domains, issuers, address ranges, area codes), the words before
+it, and its edges. The votes of all documents are counted; expectation maximisation over the
+counts estimates how reliable each labeler is for each kind, where base spans are known to be
+personal data and candidates are not known; to abstain is no evidence. A logistic classifier
+of votes and shape is trained on the probabilities of the candidates alone. Those that it is
+sure of are added to the base spans, which always stay.
 
 A null text is an empty one and has no spans. Positions count code points, the end is
 exclusive. Spans of one kind don't overlap. Without candidates nothing is added. Columns
@@ -42,14 +44,20 @@ WIDER = {
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "phone": r"(?<![0-9A-Za-z])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9A-Za-z])",
 }
+# Look-alikes, which the check speaks against.
+ALIKE = {
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++{_AT}[A-Za-z0-9-]++(?!(?:{_DOT}|\.)[A-Za-z0-9-])",
+    "ip": r"(?<![0-9.])[0-9]{1,3}+\.[0-9]{1,3}+\.[0-9]{1,3}+(?!\.?[0-9])",
+    "phone": r"(?<![0-9A-Za-z+])(?<![0-9][.-])[0-9]{9,11}+(?![0-9A-Za-z]|[.-][0-9])",
+}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _SEPARATORS = "+ ().-"
 
 # Gazetteers and words of context, lower case.
 DOMAINS = r"\.\s?(?:com|org|net|edu|gov|io|info|de|fr|es|uk|eu|ch|at|it|nl)$"
-AREAS = r"^[^0-9]*(?:\+?[0-9]{0,3}[^0-9]+)?[2-9]"
+AREAS = r"^(?:\+(?:[0-9]{1,3}[^0-9]+)?)?[^0-9+]*[2-9]"
 ISSUERS = r"^(?:3[4-7]|4|5[1-5]|2[2-7]|6)"
-PUBLIC = r"^0*(?:[1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])\."
+PUBLIC = r"^0*(?:[1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])(?:\.[0-9]+){3}$"
 CONTEXT = {
     "email": r"\b(?:e-?mail|mail|contact|write|address|correo|courriel|kontakt)\b",
     "ip": r"\b(?:ip|ipv6|host|server|client|login|address|adresse)\b",
@@ -180,35 +188,50 @@ def _possible(text: Column, kind: str, wider: bool) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Every match of a base or wider pattern with votes and shape."""
+    """Base spans, and the other matches that none of them touches, with votes and shape."""
     arrays = []
     for kind in KINDS:
         base = F.when(_possible(text, kind, False), _located(text, BASE[kind])).otherwise(F.array().cast(SPANS))
         if kind == "card":
             # Shorter runs of digits are numbers of any sort.
             base = F.filter(base, lambda s: F.length(F.translate(s["value"], " -", "")).between(12, 19))
-        arrays.append(F.transform(base, _description(kind, False)))
-        if kind in WIDER:
-            more = F.when(_possible(text, kind, True), _located(text, WIDER[kind])).otherwise(F.array().cast(SPANS))
-            arrays.append(F.transform(more, _description(kind, True)))
-    return F.concat(*arrays)
+        arrays.append(F.transform(base, _description(kind, None)))
+        for patterns, check in ((WIDER, 0), (ALIKE, -1)):
+            if kind in patterns:
+                # Numbers of three parts have no colon, unlike the wider form of an address.
+                possible = F.lit(True) if (kind, check) == ("ip", -1) else _possible(text, kind, True)
+                more = F.when(possible, _located(text, patterns[kind])).otherwise(F.array().cast(SPANS))
+                arrays.append(F.transform(more, _description(kind, check)))
+    return _let(F.concat(*arrays), _uncovered)
+
+
+def _uncovered(found: Column) -> Column:
+    """Without candidates that share a character with a base span."""
+
+    def free(base: Column) -> Column:
+        touches = lambda s: F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        return F.filter(found, lambda s: s["base"] | ~touches(s))
+
+    return _let(F.filter(found, lambda s: s["base"]), free)
 
 
-def _description(kind: str, wider: bool) -> Callable[[Column], Column]:
-    return lambda span: _described(span, kind, wider)
+def _description(kind: str, check: int | None) -> Callable[[Column], Column]:
+    return lambda span: _described(span, kind, check)
 
 
-def _described(span: Column, kind: str, wider: bool) -> Column:
+def _described(span: Column, kind: str, check: int | None) -> Column:
+    """Votes and shape; ``check`` is a fixed vote of the check, which else reads the value."""
     value, before, behind = span["value"], F.lower(span["before"]), span["behind"]
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
-    checked = F.lit(0) if wider else vote(_checked(kind, value), ~_checked(kind, value))
+    passes = F.lit(False) if check is not None else _checked(kind, value)
+    checked = F.lit(check) if check is not None else vote(passes, ~passes)
     known = _gazetteer(kind, value)
     cramped = before.rlike(r"[\p{L}\p{N}_]$") | behind.rlike(r"^[\p{L}\p{N}_]")
     return F.struct(
         span["start"].alias("start"),
         F.lit(KINDS.index(kind)).alias("kind"),
         span["end"].alias("end"),
-        (F.lit(not wider) & _checked(kind, value)).alias("base"),
+        passes.alias("base"),
         checked.alias("check"),
         vote(known, ~known).alias("gazetteer"),
         vote(before.rlike(CONTEXT[kind]), before.rlike(AGAINST)).alias("context"),
@@ -234,48 +257,61 @@ def _inputs(row: dict) -> list[float]:
 
 
 def fit(docs: DataFrame, text: str = "text", rounds: int = 30) -> SpanModel:
-    """Estimate and train over the votes on all candidates of all documents.
+    """Estimate over the votes on all spans of all documents, train on the candidates' part.
 
-    The counts by kind, votes and shape have at most 4 * 3**4 * 2**3 rows.
+    The counts by kind, base, votes and shape have at most 2 * 4 * 3**4 * 2**3 rows. A kind
+    without candidates has no classifier.
     """
     found = docs.select(F.explode(candidates(F.coalesce(F.col(text), F.lit("")))).alias("c")).select("c.*")
-    counted = found.groupBy("kind", *VOTES, *SHAPES).count().orderBy("kind", *VOTES, *SHAPES).collect()
+    by = ("kind", "base", *VOTES, *SHAPES)
+    counted = found.groupBy(*by).count().orderBy(*by).collect()
     rows = [r.asDict() for r in counted]
     reliability, coefficients = {}, {}
     for kind in range(len(KINDS)):
         own = [r for r in rows if r["kind"] == kind]
         if own:
             reliability[kind], belief = estimate(own, rounds)
-            coefficients[kind] = train([_inputs(r) for r in own], belief, [r["count"] for r in own])
+            open_ = [(r, b) for r, b in zip(own, belief, strict=True) if not r["base"]]
+            if open_:
+                rows_, beliefs = zip(*open_, strict=True)
+                coefficients[kind] = train([_inputs(r) for r in rows_], beliefs, [r["count"] for r in rows_])
     return SpanModel(reliability, coefficients)
 
 
 def estimate(rows: list[dict], rounds: int = 30, prior: float = 10.0) -> tuple[dict, list[float]]:
     """Reliabilities by expectation maximisation, and the probability of each row's class 1.
 
-    The prior counts say that a labeler is right more often than wrong; they keep the
-    classes from changing places.
+    Rows with ``base`` set are known to be of class 1 and have no part in its share among the
+    others. A labeler abstains equally often in both classes. The prior counts say that a
+    labeler is right more often than wrong; they keep the classes from changing places.
     """
     # Votes -1, 0 and 1 of class 0 and of class 1.
     start = [[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]]
     table = {v: [list(p) for p in start] for v in VOTES}
+    known = [bool(row.get("base")) for row in rows]
+    total = sum(r["count"] for r in rows)
+    unknown = sum(r["count"] for r, k in zip(rows, known, strict=True) if not k)
     share = 0.5
-    belief = [0.5] * len(rows)
+    belief = [1.0] * len(rows)
     for _ in range(rounds):
         for i, row in enumerate(rows):
+            if known[i]:
+                continue
             odds = math.log(share / (1 - share))
             for v in VOTES:
                 odds += math.log(table[v][1][row[v] + 1] / table[v][0][row[v] + 1])
             belief[i] = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
-        total = sum(r["count"] for r in rows)
-        positive = sum(r["count"] * b for r, b in zip(rows, belief, strict=True))
-        share = (positive + prior / 2) / (total + prior)
+        positive = sum(r["count"] * b for r, b, k in zip(rows, belief, known, strict=True) if not k)
+        share = (positive + prior / 2) / (unknown + prior)
         for v in VOTES:
+            abstained = sum(r["count"] for r in rows if r[v] == 0)
+            silent = (abstained + prior * start[0][1]) / (total + prior)
             for c in (0, 1):
                 sums = [prior * p for p in start[c]]
                 for row, b in zip(rows, belief, strict=True):
                     sums[row[v] + 1] += row["count"] * (b if c else 1 - b)
-                table[v][c] = [s / sum(sums) for s in sums]
+                voted = sums[0] + sums[2]
+                table[v][c] = [(1 - silent) * sums[0] / voted, silent, (1 - silent) * sums[2] / voted]
     return table, belief
 
 
@@ -313,8 +349,7 @@ def find(docs: DataFrame, model: SpanModel, text: str = "text", sure: float = SU
     brief = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     base = F.array_sort(F.transform(F.filter("_found", lambda s: s["base"]), brief))
     with_base = with_all.withColumn("base_spans", base)
-    free = lambda s: ~F.exists("base_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    added = F.filter("_found", lambda s: ~s["base"] & (_probability(model, s) >= sure) & free(s))
+    added = F.filter("_found", lambda s: ~s["base"] & (_probability(model, s) >= sure))
     everything = F.array_sort(F.concat("base_spans", _apart(F.transform(added, brief))))
     return with_base.withColumn("all_spans", everything).drop("_found")
 
