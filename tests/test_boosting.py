@@ -205,3 +205,55 @@ def test_edges(spark, sample):
     assert HistogramBooster(maxIter=2).fit(clash).state["trees"]
     with pytest.raises(ValueError, match="Growth"):
         HistogramBooster(growth="sideways")
+
+
+def test_a_pass_places_rows_in_few_trees(monkeypatch, sample):
+    df, *_ = sample
+    sent = []
+
+    order = boosting.Order
+    own = HistogramBooster(maxIter=10, maxDepth=2)
+    monkeypatch.setattr(boosting, "Order", lambda *args: sent.append(len(args[4])) or order(*args))
+    state = own.fit(df).state
+    # Twenty passes, none of which writes: the margins are kept on the way.
+    assert len(sent) == 20 and max(sent) <= 2
+    assert len(state["trees"]) == 10
+
+
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_sums_of_a_block_equal_its_rows(monkeypatch, dense):
+    monkeypatch.setattr(boosting, "DENSE", dense)
+    rng = np.random.default_rng(4)
+    n, zeros = 500, [np.array([0.0]), np.array([-1.0])]
+    # Eleven features of two bins, the zero's left or right of the other, one of a single bin, two of many.
+    ends = [zeros[f % 2] for f in range(11)] + [np.zeros(0), np.arange(-3.0, 4), np.arange(0.0, 300)]
+    layout = boosting.Layout(len(ends), ends)
+    x = np.c_[rng.integers(0, 2, (n, 11)) * np.where(np.arange(11) % 2, -1, 1), np.ones(n), rng.integers(-5, 6, n), rng.integers(0, 400, n)]
+    rows, index = np.nonzero(x)
+    order = rng.permutation(len(rows))
+    rows, index = rows[order], index[order]
+    y, w, g, h = (rng.random(n) for _ in range(4))
+    block = boosting.Block(layout, 0, 1, y, w, rows.astype(np.int32), layout.cells_of(index, x[rows, index].astype(float)))
+    assert block.dense == (dense > 0)
+    slot = rng.integers(-1, 3, n)
+    sums, totals = block.sums(layout, slot, 3, g, h)
+    for s in range(3):
+        at = slot == s
+        assert totals[s] == pytest.approx([g[at].sum(), h[at].sum(), at.sum()])
+        for f, own in enumerate(ends):
+            bins = np.searchsorted(own, x[:, f])
+            for b in range(len(own) + 1):
+                if b != layout.zero[f]:
+                    here = at & (bins == b)
+                    assert sums[s, layout.start[f] + b] == pytest.approx([g[here].sum(), h[here].sum(), here.sum()])
+    tree = boosting.Tree()
+    for f, b, left, right in ((12, 3, 1, 2), (9, 0, 3, 4), (8, 0, 5, 6), (13, 250, 7, 8), *[(-1, -1, -1, -1)] * 5):
+        tree.add(0.0, 0.0)
+        tree.feature[-1], tree.bin[-1], tree.left[-1], tree.right[-1] = f, b, left, right
+    places = block.chosen(layout, tree, list(range(9)), {})
+    for row, place in zip(x, places, strict=True):
+        at = 0
+        while tree.feature[at] >= 0:
+            f = tree.feature[at]
+            at = tree.left[at] if np.searchsorted(ends[f], row[f]) <= tree.bin[at] else tree.right[at]
+        assert at == place

@@ -9,8 +9,8 @@ depth; ``leaf`` growth takes the leaf of the largest gain first, up to ``maxLeav
 
 Models advance together: a pass serves the open leaves of all of them, whichever tree each is
 at. So the folds and parameter maps of a search cost the passes of one fit. Rows are binned
-once and written; every PASSES passes they are written again with the margins reached, which
-keeps lineage short and survives lost executors.
+once and written. Every ADVANCE passes the margins reached are kept in memory; every PASSES
+passes they are written, which keeps lineage short and survives lost executors.
 
 Weights multiply gradient and curvature. Rows and columns are drawn once per tree, rows by
 block, so a model depends on how its rows were cut into blocks. Vectors may be sparse: only
@@ -46,8 +46,14 @@ LEVEL, LEAF = "level", "leaf"
 
 # Rows of a block; a task holds one at a time.
 BLOCK_ROWS = 16_384
-# Rows that are worth a task of their own.
-TASK_ROWS = 1_024
+# Rows that are worth a task of their own, and rows that a task should not exceed.
+TASK_ROWS, MOST_TASK_ROWS = 1_024, 1_000_000
+# Places per row and feature that an entry by cell is worth.
+DENSE = 8
+# Features of two bins that are one number.
+CODED = 9
+# Passes between two advances of the margins, which are kept in memory.
+ADVANCE = 4
 # Passes between two writes of the margins.
 PASSES = 48
 # Sums of one pass: leaves times cells, over all models; more leaves wait for the next pass.
@@ -92,6 +98,12 @@ class Layout:
         self.feature = np.repeat(np.arange(self.size), np.diff(self.start))
         self.last = np.zeros(self.cells, bool)
         self.last[self.start[1:] - 1] = True
+        # Features of two bins, and of more; where each lies among its kind; the cells off the zero's bin of the former.
+        self.bins = np.diff(self.start)
+        self.two, self.more = np.flatnonzero(self.bins == 2), np.flatnonzero(self.bins > 2)
+        self.row = np.zeros(self.size, np.int64)
+        self.row[self.two], self.row[self.more] = np.arange(len(self.two)), np.arange(len(self.more))
+        self.off = self.start[self.two] + 1 - self.zero[self.two]
 
     @property
     def cells(self) -> int:
@@ -288,36 +300,75 @@ class Growth:
 
 
 class Block:
-    """Some rows of one group: label, weight, entries that are not zero by cell, margins by model."""
+    """Some rows of one group: label, weight, bins, margins by model.
 
-    def __init__(self, group: int, number: int, y: np.ndarray, w: np.ndarray, rows: np.ndarray, cells: np.ndarray):
-        order = np.argsort(cells, kind="stable")
+    Where most features are zero in most rows, only the entries that are not zero are held, by
+    cell. Elsewhere every row has its bin of each feature. Of a feature of two bins it has a bit,
+    set off the zero's bin, and CODED bits are one number: rows are summed by that number,
+    and the few sums by bit.
+    """
+
+    def __init__(self, layout: Layout, group: int, number: int, y: np.ndarray, w: np.ndarray, rows: np.ndarray, cells: np.ndarray):
         self.group, self.number, self.y, self.w = group, number, y, w
-        self.rows, self.cells = rows[order], cells[order]
         self.margins: dict[int, np.ndarray] = {}
-
-    def bins(self, layout: Layout, f: int) -> np.ndarray:
+        self.dense = layout.size * len(y) <= DENSE * len(cells)
+        order = np.argsort(cells, kind="stable")
+        self.rows, self.cells = rows[order], cells[order]
+        if self.dense:
+            self.codes = np.zeros((-(-len(layout.two) // CODED), len(y)), np.uint16)
+            self.many = np.empty((len(layout.more), len(y)), np.uint16 if layout.cells < 65_536 else np.int32)
+            for k, f in enumerate(layout.two):
+                bit = (self._sparse_bins(layout, f) != layout.zero[f]).astype(np.uint16)
+                self.codes[k // CODED] |= bit << np.uint16(k % CODED)
+            for k, f in enumerate(layout.more):
+                self.many[k] = self._sparse_bins(layout, f)
+            self.rows = self.cells = None
+
+    def _sparse_bins(self, layout: Layout, f: int) -> np.ndarray:
         own = np.full(len(self.y), layout.zero[f])
         first, last = np.searchsorted(self.cells, layout.start[f : f + 2])
         own[self.rows[first:last]] = self.cells[first:last] - layout.start[f]
         return own
 
-    def places(self, layout: Layout, tree: Tree, known: dict[int, np.ndarray]) -> np.ndarray:
-        """The leaf of each row."""
-        at = np.zeros(len(self.y), np.int64)
-        for i, f in enumerate(tree.feature):
-            if f >= 0:
-                if f not in known:
-                    known[f] = self.bins(layout, f)
-                here = np.flatnonzero(at == i)
-                at[here] = np.where(known[f][here] <= tree.bin[i], tree.left[i], tree.right[i])
-        return at
+    def below(self, layout: Layout, f: int, end: int, known: dict[int, np.ndarray]) -> np.ndarray:
+        """Which rows lie in a bin of a feature, or left of it."""
+        if not self.dense:
+            if f not in known:
+                known[f] = self._sparse_bins(layout, f)
+            return known[f] <= end
+        k = layout.row[f]
+        if layout.bins[f] > 2:
+            return self.many[k] <= end
+        # A split lies between the two bins, one of which is the zero's.
+        bit = self.codes[k // CODED] & np.uint16(1 << (k % CODED))
+        return bit != 0 if layout.zero[f] else bit == 0
+
+    def chosen(self, layout: Layout, tree: Tree, values: Sequence, known: dict[int, np.ndarray]) -> np.ndarray:
+        """The value of each row's leaf, of one value per node."""
+        found: dict[int, object] = {}
+        reached, at = [], [0]
+        while at:
+            i = at.pop()
+            reached.append(i)
+            if tree.feature[i] >= 0:
+                at += (tree.left[i], tree.right[i])
+        # Parents come before their children, so children are known first.
+        for i in reached[::-1]:
+            if tree.feature[i] < 0:
+                found[i] = values[i]
+                continue
+            left, right = found.pop(tree.left[i]), found.pop(tree.right[i])
+            if np.isscalar(left) and np.isscalar(right) and left == right:
+                found[i] = left
+            else:
+                found[i] = np.where(self.below(layout, tree.feature[i], tree.bin[i], known), left, right)
+        return np.broadcast_to(found[0], len(self.y))
 
     def margin(self, model: int, base: float, layout: Layout, trees: Sequence[Tree], known: dict) -> np.ndarray:
         margin = self.margins.get(model)
         margin = np.full(len(self.y), base) if margin is None else margin
         for tree in trees:
-            margin = margin + np.array(tree.value)[self.places(layout, tree, known)]
+            margin = margin + self.chosen(layout, tree, tree.value, known)
         return margin
 
     def drawn(self, settings: Settings, tree: int) -> np.ndarray:
@@ -325,6 +376,38 @@ class Block:
             return np.ones(len(self.y), bool)
         return np.random.default_rng([settings.seed, tree, self.number, 1]).random(len(self.y)) < settings.row_rate
 
+    def sums(
+        self, layout: Layout, slot: np.ndarray, slots: int, gradient: np.ndarray, curvature: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of gradient, curvature and rows by slot and cell, and by slot; slot -1 is left out."""
+        held = np.flatnonzero(slot >= 0)
+        own = slot[held]
+        parts = (gradient[held], curvature[held], None)
+
+        def summed_by(cell: np.ndarray, width: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+            found = [np.bincount(cell, x if x is None else x[at], slots * width) for x in parts]
+            return np.stack(found, -1).reshape(slots, width, 3)
+
+        out = np.zeros((slots, layout.cells, 3))
+        if self.dense:
+            for k, f in enumerate(layout.more):
+                width = int(layout.bins[f])
+                out[:, layout.start[f] : layout.start[f + 1]] = summed_by(own * width + self.many[k][held], width)
+            for k, code in enumerate(self.codes):
+                off = layout.off[k * CODED : (k + 1) * CODED]
+                width = 1 << len(off)
+                found = summed_by(own * width + code[held], width)
+                for bit, cell in enumerate(off):
+                    out[:, cell] = found.reshape(slots, -1, 2, 1 << bit, 3)[:, :, 1].sum(axis=(1, 2))
+        else:
+            place = np.full(len(slot), -1)
+            place[held] = np.arange(len(held))
+            entry = place[self.rows]
+            at = np.flatnonzero(entry >= 0)
+            entry = entry[at]
+            out = summed_by(own[entry] * layout.cells + self.cells[at], layout.cells, entry)
+        return out, summed_by(own, 1)[:, 0]
+
 
 @dataclass
 class Order:
@@ -350,18 +433,11 @@ def summed(blocks: Iterator[Block], orders: Sequence[Order], layouts: Mapping[in
                 continue
             margin = block.margin(o.model, o.base, layout, o.trees, known)
             p = 1 / (1 + np.exp(-margin))
-            slot_of = np.full(len(o.tree.feature), -1)
-            slot_of[o.asked] = np.arange(len(o.asked))
-            slot = np.where(block.drawn(o.settings, o.number), slot_of[block.places(layout, o.tree, known)], -1)
-            parts = (block.w * (p - block.y), block.w * p * (1 - p), np.ones(len(p)))
-            n = len(o.asked)
-            held = np.flatnonzero(slot[block.rows] >= 0)
-            rows = block.rows[held]
-            cell = slot[rows] * layout.cells + block.cells[held]
-            drawn = np.flatnonzero(slot >= 0)
-            sums = np.stack([np.bincount(cell, x[rows], n * layout.cells) for x in parts], -1)
-            totals = np.stack([np.bincount(slot[drawn], x[drawn], n) for x in parts], -1)
-            sums = sums.reshape(n, layout.cells, 3)
+            slot_of = [-1] * len(o.tree.feature)
+            for j, i in enumerate(o.asked):
+                slot_of[i] = j
+            slot = np.where(block.drawn(o.settings, o.number), block.chosen(layout, o.tree, slot_of, known), -1)
+            sums, totals = block.sums(layout, slot, len(o.asked), block.w * (p - block.y), block.w * p * (1 - p))
             if o.model in out:
                 sums, totals = out[o.model][0] + sums, out[o.model][1] + totals
             out[o.model] = (sums, totals)
@@ -444,7 +520,7 @@ def _blocks(rows: DataFrame, label: str, weight: str, layouts: Mapping[int, Layo
                     cells = layouts[int(group)].cells_of(flat, own.column("x").flatten().to_numpy())
                     place = np.repeat(np.arange(len(own)), lengths).astype(np.int32)
                     y, w = (own.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w"))
-                    block = Block(int(group), task * 1_000_003 + made, np.array(y), np.array(w), place, cells)
+                    block = Block(layouts[int(group)], int(group), task * 1_000_003 + made, np.array(y), np.array(w), place, cells)
                     made += 1
                     data = pa.array([pickle.dumps(block, protocol=5)], pa.binary())
                     yield pa.RecordBatch.from_arrays([data], names=["block"])
@@ -483,9 +559,11 @@ def boost(
         return context.pickleFile(paths[-1]).persist(StorageLevel.MEMORY_AND_DISK)
 
     cut = _blocks(dealt, label, weight, layouts).rdd.map(lambda r: pickle.loads(r[0]))
-    held = write(cut.coalesce(max(1, min(cut.getNumPartitions(), -(-total // TASK_ROWS)))))
+    # Each pass pays for its tasks, so there are no more than the cores need.
+    tasks = max(2 * context.defaultParallelism, -(-total // MOST_TASK_ROWS))
+    held = write(cut.coalesce(max(1, min(cut.getNumPartitions(), -(-total // TASK_ROWS), tasks))))
     base = [m.layout.base if m.settings.from_mean else 0.0 for m in models]
-    passes = 0
+    passes, former = 0, None
     while any(not m.done for m in models):
         orders, room = [], CELLS_PER_PASS
         for i, m in enumerate(models):
@@ -504,7 +582,11 @@ def boost(
             cells, totals = sums.get(o.model, (np.zeros((len(o.asked), models[o.model].layout.cells, 3)), np.zeros((len(o.asked), 3))))
             models[o.model].receive({leaf: (cells[j], totals[j]) for j, leaf in enumerate(o.asked)})
         passes += 1
-        if passes % PASSES == 0 and any(not m.done for m in models):
+        if former is not None:
+            former.unpersist()
+            former = None
+        write_now = passes % PASSES == 0
+        if (write_now or passes % ADVANCE == 0) and any(not m.done for m in models):
             reached = [(i, m.group, base[i], m.trees[m.written :]) for i, m in enumerate(models) if not m.done]
 
             def advance(block: Block, reached=reached) -> Block:
@@ -515,11 +597,19 @@ def boost(
                 }
                 return block
 
-            former, held = held, write(held.map(advance))
-            former.unpersist()
-            _remove(spark, paths.pop(0))
+            ahead = held.map(advance)
+            if write_now:
+                ahead = write(ahead)
+                held.unpersist()
+                _remove(spark, paths.pop(0))
+                held = ahead
+            else:
+                # The next pass computes it from the one before.
+                former, held = held, ahead.persist(StorageLevel.MEMORY_AND_DISK)
             for m in models:
                 m.written = len(m.trees)
+    if former is not None:
+        former.unpersist()
     held.unpersist()
     shared.destroy()
     for path in paths:
