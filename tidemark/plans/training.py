@@ -6,8 +6,10 @@ import json
 import warnings
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -231,13 +233,14 @@ def train_one(
     recall_floor: float = curves.RECALL_FLOOR,
     folds: int = splitting.FOLDS,
     parallelism: int | None = None,
-    ledger: str | None = None,
+    ledger: str | Ledger | None = None,
 ) -> TrainedModel:
     """Search, fit, choose the threshold on validation, and measure validation and test.
 
-    Below the path ``ledger`` fits are remembered: begun again, a run goes on where it stopped.
+    In ``ledger``, or below that path, fits are remembered: begun again, a run goes on where it stopped.
     """
     train = data.part(splitting.TRAIN)
+    ledger = Ledger(train.sparkSession, ledger, train) if isinstance(ledger, str) else ledger
     search = grid_search(
         spec,
         train,
@@ -245,7 +248,7 @@ def train_one(
         select_metric=select_metric,
         folds=folds,
         parallelism=parallelism,
-        ledger=Ledger(train.sparkSession, ledger, train) if ledger else None,
+        ledger=ledger,
     )
     cv_score, cv_std = search.selected, search.selected_std
     grid_score = search.means[search.best] if len(spec.grid) > 1 else None
@@ -288,10 +291,32 @@ def train_one(
 
 
 def train_suite(
-    specs: Iterable[ModelSpec], data: TrainingRows, roles: ColumnRoles, **options
+    specs: Iterable[ModelSpec],
+    data: TrainingRows,
+    roles: ColumnRoles,
+    *,
+    parallelism: int | None = None,
+    ledger: str | Ledger | None = None,
+    **options,
 ) -> dict[str, TrainedModel]:
-    """Train the models one after the other on the same rows."""
-    return {spec.name: train_one(spec, data, roles, **options) for spec in specs}
+    """Train the models on the same rows, all of them or ``parallelism`` at a time.
+
+    A booster's many short passes wait for one another, so the other models use the cores meanwhile.
+    """
+    specs = list(specs)
+    if not specs:
+        return {}
+    spark = data.table.sparkSession
+    if isinstance(ledger, str):
+        # Read once, before any model writes to it.
+        ledger = Ledger(spark, ledger, data.part(splitting.TRAIN))
+
+    def one(spec: ModelSpec) -> TrainedModel:
+        return train_one(spec, data, roles, parallelism=parallelism, ledger=ledger, **options)
+
+    with ThreadPool(min(len(specs), parallelism or len(specs))) as pool:
+        trained = pool.map(inheritable_thread_target(spark)(one), specs, chunksize=1)
+    return {spec.name: model for spec, model in zip(specs, trained, strict=True)}
 
 
 def suite_metrics(spark: SparkSession, results: dict[str, TrainedModel], run_id: str) -> DataFrame:
