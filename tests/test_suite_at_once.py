@@ -1,4 +1,4 @@
-"""Models of a suite are trained at the same time."""
+"""Models of a suite, and suites of a run, are trained at the same time."""
 
 from __future__ import annotations
 
@@ -7,13 +7,18 @@ import threading
 import pytest
 
 from tests.telco import population
-from tidemark.plans import estimators, training
+from tidemark.plans import estimators, experiment, explain, training
 from tidemark.roles import BASELINE, TELCO
+from tidemark.session import local_frame
 
 # Seconds that one waits for the others; only a sequence of them waits that long.
 PATIENCE = 20
 
 
+class Met(Exception):
+    """All were there at once."""
+
+
 @pytest.fixture(scope="module")
 def data(spark):
     return training.prepare(population(spark, 120), TELCO, BASELINE, folds=3)
@@ -55,3 +60,21 @@ def test_models_share_one_ledger(monkeypatch, data, tmp_path):
     assert len(ledgers) == 4 and len({id(own) for own in ledgers}) == 1
     assert isinstance(ledgers[0], training.Ledger) and ledgers[0].path == str(tmp_path / "ledger")
 
+
+def test_suites_of_a_run_train_at_once(monkeypatch, spark, tmp_path):
+    barrier, selected = threading.Barrier(2, timeout=PATIENCE), []
+
+    def suite(specs, *args, **options):
+        selected.append(len(specs[0].prep.getOrDefault("selected")))
+        barrier.wait()
+        raise Met
+
+    audit = local_frame(spark, [("tenure", False, 0.1)], "feature string, probe boolean, threshold double")
+    monkeypatch.setattr(training, "train_suite", suite)
+    monkeypatch.setattr(explain, "probe_audit", lambda *args, **options: audit)
+    monkeypatch.setattr(explain, "probe_kept", lambda audit: ["tenure"])
+    monkeypatch.setattr(explain, "probe_correlations", lambda *args: audit)
+    settings = training.RunSettings(tune=False, probe_train=True, folds=3)
+    with pytest.raises(Met):
+        experiment.run_training(population(spark, 120), TELCO, str(tmp_path / "run"), settings=settings)
+    assert sorted(selected) == [0, 1]
