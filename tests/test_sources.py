@@ -10,7 +10,7 @@ from tests.telco import customers
 from tidemark.operators import deltas, scores
 from tidemark.roles import TELCO
 from tidemark.session import local_frame, materialise, shared_dir
-from tidemark.sources import jsonl, metrics, predictions, tables
+from tidemark.sources import jsonl, metrics, predictions, tables, views
 
 SCORED = "account_id string, probability double, flag int, threshold double, model string, model_version string"
 LOG = SCORED + ", run_id string, source_table string, scored_at timestamp"
@@ -271,3 +271,27 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path):
     table = materialise(spark.range(3).withColumn("k", F.col("id") % 2), "t", ["k"])
     assert folder in table.inputFiles()[0]
     assert table.count() == 3
+
+
+def test_customers_are_never_broadcast(spark, tmp_path):
+    """However small their file: as rows in the driver they grow with the input."""
+    times = "timestamp_ntz'2000-01-05 00:00:00'", "timestamp_ntz'2000-03-05 00:00:00'", "timestamp_ntz'2000-12-01 00:00:00'"
+    written = {
+        # Customer 2 comes twice, 3 has no order, 4 none before the cutoff, and one has no key.
+        "customer": "select * from values (1L, 0, 5D, 'A'), (2L, 1, -5D, 'B'), (2L, 1, 7D, 'B'), (3L, 0, 1D, 'A'), (4L, 0, 1D, 'A'),"
+        " (null, 0, 1D, 'A') t(c_custkey, c_nationkey, c_acctbal, c_mktsegment)",
+        "orders": f"select * from values (1L, 10D, {times[0]}), (1L, 20D, {times[1]}), (1L, 30D, {times[2]}), (2L, 40D, {times[0]}),"
+        f" (4L, 50D, {times[2]}), (null, 60D, {times[0]}) t(o_custkey, o_totalprice, o_orderdate)",
+        "nation": "select * from values (0, 0), (1, 1) t(n_nationkey, n_regionkey)",
+    }
+    for table, rows in written.items():
+        spark.sql(rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    view = views.accounts(spark, str(tmp_path))
+    kept = view.orderBy("account_id", "in_debt").select("account_id", "in_debt", "partner", "tenure", "monthly", "total_text", "label")
+    assert [tuple(r) for r in kept.collect()] == [
+        ("1", 0, True, 2, 15.0, "30.00", "No"), ("2", 0, False, 0, 40.0, " ", "Yes"), ("2", 1, False, 0, 40.0, " ", "Yes")
+    ]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "SortMergeJoin [c_custkey" in final
+    assert "BroadcastHashJoin [c_custkey" not in plan

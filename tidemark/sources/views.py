@@ -18,7 +18,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with order history before the cutoff; label = no order after it.
 
     Orders are read once: history and label come from conditional aggregates of one
-    grouping, whose partitioning by customer key the join reuses.
+    grouping, whose partitioning by customer key the join reuses. Both sides grow with the
+    input, so neither may be broadcast: a small file of customers can be many rows in the driver.
     """
     early = f"o_orderdate < {CUTOFF}"
     history = (
@@ -33,7 +34,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .filter("n_orders > 0")
     )
-    customer = table(spark, sf_dir, "customer")
+    customer = table(spark, sf_dir, "customer").hint("merge")
     nation = table(spark, sf_dir, "nation")
     joined = customer.join(history, F.expr("c_custkey = o_custkey")).join(
         nation, F.expr("c_nationkey = n_nationkey")
