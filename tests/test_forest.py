@@ -98,6 +98,54 @@ def test_large_nodes_are_split_from_sums_of_blocks(monkeypatch, sample):
     assert len(got) == 600 and [got[i] for i in want] == pytest.approx(list(want.values()), abs=1e-9)
 
 
+@pytest.mark.parametrize(("least", "depth"), [(1, 30), (5, 6)])
+def test_sums_of_whole_numbers_grow_the_trees_of_weighted_sums(monkeypatch, least, depth):
+    """Features by bits of words, rows laid out anew by level, few looked up at once."""
+    monkeypatch.setattr(forest, "LOOKED_UP", 90)
+    rows = rows_of(11)
+    rows.w = np.where(rows.y == 1, 2.0, 1.0)
+    many = np.concatenate([rows.bins] * 9 + [np.random.default_rng(0).integers(0, 200, (7, 300)).astype(np.uint8)])
+    for bins in (rows.bins, many):
+        own = Rows(bins, rows.y, rows.w, rows.n)
+        settings = Growing(**{**vars(WHOLE), "columns": len(bins), "least_rows": least, "depth": depth})
+        fields = forest.Fields(bins.max(axis=1).astype(int) + 1)
+        assert fields.words == (1 if bins is rows.bins else 2)
+        got = forest.grow_counted(fields, fields.packed(bins), forest.counted(own.y, own.n), (1.0, 2.0), settings, 0, 0, 0)
+        want = forest.grow_weighted(own, 200, settings, 0, 0, 0)
+        assert flat(listed(got)) == pytest.approx(flat(listed(want)), rel=1e-9)
+    assert forest.weights_by_label(rows.y, rows.w) == (1.0, 2.0)
+    assert forest.weights_by_label(rows.y, np.arange(300.0)) is None
+
+
+@pytest.mark.parametrize("weight", ["weight", "id + 1"])
+def test_a_table_that_fits_is_sent_whole(monkeypatch, sample, weight):
+    """Trees of rows sent tree by tree, from sums of blocks at the top, and of rows sent once to a task are the same."""
+    rows = sample.withColumn("weight", F.expr(weight).cast("double"))
+    options = {**OPTIONS, "featureSubsetStrategy": "all"}
+    sent = []
+    send = forest._split_tops
+    monkeypatch.setattr(forest, "_split_tops", lambda *a: sent.append(1) or send(*a))
+    whole = RandomForestClassifier(**options).fit(rows)
+    assert not sent
+    monkeypatch.setattr(forest, "WHOLE_CELLS", 0)
+    monkeypatch.setattr(forest, "LOCAL_CELLS", 300)
+    spread = RandomForestClassifier(**options).fit(rows)
+    assert sent and whole.featureImportances.toArray() == pytest.approx(spread.featureImportances.toArray(), abs=1e-9)
+    want, got = probabilities(whole, rows), probabilities(spread, rows)
+    assert [got[i] for i in want] == pytest.approx(list(want.values()), abs=1e-9)
+
+
+def test_a_node_ends_a_tree_up_to_a_depth():
+    nodes = forest.assembled(None, {0: forest.grow(rows_of(5), 8, WHOLE, 0, 0, 0)}, 30)
+    until, kind = forest.ends_until(nodes), nodes.value > 0.5
+    for depth in (0, 1, 3, 6, 30):
+        ends, at = forest.ends_of(nodes.feature, nodes.left, nodes.right, kind, depth), np.array([0])
+        while len(at):
+            assert (ends[at] == (until[at] >= depth)).all()
+            inner = at[~ends[at]]
+            at = np.concatenate([nodes.left[inner], nodes.right[inner]])
+
+
 def test_the_driver_holds_no_trees_and_saving_keeps_them(sample, tmp_path):
     model = RandomForestClassifier(**OPTIONS).fit(sample)
     texts = [str(v) for v in model.extractParamMap().values()]

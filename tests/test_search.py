@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.telco import population
 from tidemark.operators import curves
 from tidemark.plans import boosting, estimators, experiment, search, training
+from tidemark.plans.forest import columns_drawn
 from tidemark.roles import BASELINE, TELCO
 
 
@@ -73,6 +74,17 @@ def test_one_forest_serves_its_smaller_shapes(data, fits):
     assert all(0 <= m <= 1 for m in means) and max(means) > 0
 
 
+def test_strategies_that_draw_as_many_features_are_one_forest(data, fits):
+    size = len(estimators.prep(TELCO).fit(data.part("train")).feature_names())
+    grid = {"numTrees": [2, 4], "featureSubsetStrategy": ["sqrt", str(columns_drawn("sqrt", size, 4)), "all"]}
+    spec = estimators.train_random_forest(TELCO, grid=grid)
+    means, _ = training.cross_validate(spec, data.part("train"), metric="pr_auc", folds=3)
+    assert fits == ["forest"] * 6
+    named = {(p["numTrees"], p["featureSubsetStrategy"]): m for p, m in zip(({q.name: v for q, v in g.items()} for g in spec.grid), means, strict=True)}
+    for n in (2, 4):
+        assert named[n, "sqrt"] == named[n, grid["featureSubsetStrategy"][1]] != named[n, "all"]
+
+
 def test_a_ledger_spares_what_was_fitted(spark, data, fits, tmp_path):
     train, path = data.part("train"), str(tmp_path / "ledger")
     spec = estimators.train_random_forest(TELCO, grid={"maxDepth": [1, 3]}, numTrees=3)
