@@ -183,6 +183,53 @@ def test_rates_are_drawn_once_per_tree(sample):
     assert len({f for t in model.state["trees"] for f in t["feature"]}) > 3
 
 
+@pytest.mark.parametrize(("growth", "leaves", "at_once"), [("level", 8, 7), ("leaf", 5, 10**6)])
+def test_a_model_that_fits_a_task_takes_no_passes(monkeypatch, sample, growth, leaves, at_once):
+    """Rows of a group are sent to the model's task once; the trees are those of passes over all tasks."""
+    df, *_ = sample
+    cut = df.withColumn("part", (F.rand(3) > 0.5).cast("int")).cache()
+    own = HistogramBooster(maxIter=20, maxDepth=3, growth=growth, maxLeaves=leaves, subsamplingRate=0.7, startFromMean=True)
+    asked = [(0, {}), (1, {}), (1, {own.maxDepth: 4}), (2, {})]
+    sent = []
+    order = boosting.Order
+    monkeypatch.setattr(boosting, "Order", lambda *args: sent.append(1) or order(*args))
+    monkeypatch.setattr(boosting, "SUMMED_AT_ONCE", at_once)
+    whole = own.fit_groups(cut, asked, "part")
+    assert not sent and whole[3].state["trees"] == []
+    monkeypatch.setattr(boosting, "WHOLE_CELLS", 0)
+    passes = own.fit_groups(cut, asked, "part")
+    assert len(sent) > 60
+    for a, b in zip(whole, passes, strict=True):
+        for s, t in zip(a.state["trees"], b.state["trees"], strict=True):
+            assert all(s[c] == t[c] for c in ("feature", "threshold", "left", "right", "rows"))
+            assert s["value"] == pytest.approx(t["value"], rel=1e-7, abs=1e-12)
+
+
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_sums_of_a_table_equal_those_of_its_blocks(monkeypatch, dense):
+    monkeypatch.setattr(boosting, "DENSE", dense)
+    rng = np.random.default_rng(6)
+    ends = [np.array([0.0 if f % 2 else -1.0]) for f in range(11)] + [np.zeros(0), np.arange(-3.0, 4), np.arange(0.0, 300)]
+    layout = boosting.Layout(len(ends), ends)
+    blocks = []
+    for number in (5, 2):
+        x = np.c_[rng.integers(0, 2, (90, 11)) * np.where(np.arange(11) % 2, 1, -1), np.ones(90), rng.integers(-5, 6, 90), rng.integers(0, 400, 90)]
+        rows, index = np.nonzero(x)
+        cells = layout.cells_of(index, x[rows, index].astype(float))
+        blocks.append(boosting.Block(layout, 0, number, rng.random(90), rng.random(90), rows.astype(np.int32), cells))
+    g, h, at = rng.random(180), rng.random(180), np.sort(rng.permutation(180)[:70])
+    slot = np.full(180, -1)
+    slot[at] = 0
+    # The block of the smaller number comes first.
+    parts = [b.sums(layout, slot[o : o + 90], 1, g[o : o + 90], h[o : o + 90]) for b, o in zip(blocks[::-1], (0, 90), strict=True)]
+    sums, total = boosting.Table(layout, blocks).sums(at, g, h)
+    assert total == pytest.approx(sum(p[1][0] for p in parts))
+    # A sparse block leaves the zeros to the rest.
+    known = np.ones(layout.cells, bool)
+    known[layout.start[:-1] + layout.zero] = False
+    assert sums[known] == pytest.approx(sum(p[0][0] for p in parts)[known])
+
+
 def test_saved_and_reloaded(tmp_path, sample):
     df, *_ = sample
     model = HistogramBooster(maxIter=3).fit(df)
